@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from civicframe.llm import automaton_dedup, language_id, line_dedup, mixing, secrets, suffix_dedup, vector_topk
+from civicframe.llm import automaton_dedup, jaccard_join, language_id, line_dedup, mixing, secrets, suffix_dedup, vector_topk
 from civicframe.llm.common import documents
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_mixing": lambda spark, d: mixing.mix_sources(documents(spark, d)),
     "op6_automaton_dedup": lambda spark, d: automaton_dedup.digest(documents(spark, d)),
     "op7_secrets": lambda spark, d: secrets.digest(documents(spark, d)),
+    "op8_jaccard_join": lambda spark, d: jaccard_join.similarity_classes(documents(spark, d)),
     "op9_line_dedup": lambda spark, d: line_dedup.digest(documents(spark, d)),
 }
 
