@@ -29,8 +29,13 @@ def lines_of(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    """The line without white space at its ends, A-Z in lower case."""
-    return F.translate(F.trim(line, F.lit(SPACE)), UPPER, LOWER)
+    """The line without white space at its ends, A-Z in lower case.
+
+    ``lower`` does the same, and much faster, where all other characters are lower-case letters.
+    """
+    line = F.trim(line, F.lit(SPACE))
+    plain = (F.octet_length(line) == F.length(line)) | ~line.rlike(r"[\P{ASCII}&&\P{Ll}]")
+    return F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
 
 
 def key_hash(key: Column) -> Column:
@@ -86,7 +91,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     documents are added in ``batches`` disjoint batches, by a hash of their id.
     """
     docs = with_id(docs, "text")
-    lines = docs.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line")).select("doc_id", "version", "pos", line_key(F.col("line")).alias("line")).where(F.length("line") >= min_chars).select("doc_id", "version", "pos", key_hash(F.col("line")).alias("key"))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line")).withColumn("line", line_key(F.col("line")))
+    lines = written(lines.where(F.length("line") >= min_chars).select("doc_id", "version", "pos", key_hash(F.col("line")).alias("key")), "lines")
     runs = LineRuns(min_docs)
     for b in range(batches):
         runs.add(lines.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == b).select("key", "doc_id"))
@@ -96,12 +102,13 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     whole = docs.withColumn("version", F.xxhash64("text")).join(drops, ["doc_id", "version"], "left")
     n = F.size(every)
     keep = F.array_except(F.sequence(F.lit(0), n - 1), F.col("drops"))
-    kept = F.when(F.col("drops").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.transform(keep, lambda i: F.get(every, i)), "\n"))
-    return whole.select("doc_id", n.cast("long").alias("n_lines"), F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"))
+    picked = F.get(F.transform(F.array(every), lambda x: F.transform(keep, lambda i: F.get(x, i))), F.lit(0))  # splits once
+    kept = F.when(F.col("drops").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(picked, "\n"))
+    return whole.select("doc_id", n.cast("long").alias("n_lines"), F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"), kept.alias("kept"))
 
 
 def digest(docs: DataFrame, **how) -> DataFrame:
-    return dedup_lines(docs, **how).select("doc_id", "n_lines", F.greatest("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
+    return dedup_lines(docs, **how).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 ORACLE = """
