@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from civicframe.llm import automaton_dedup, jaccard_join, language_id, line_dedup, mixing, secrets, suffix_dedup, vector_topk
+from civicframe.llm import automaton_dedup, jaccard_join, language_id, line_dedup, mixing, packing, secrets, suffix_dedup, vector_topk
 from civicframe.llm.common import documents
 
 QUERIES = {
     "op1_suffix_dedup": lambda spark, d: suffix_dedup.digest(documents(spark, d)),
     "op2_language_id": lambda spark, d: language_id.identify(documents(spark, d)),
+    "op3_packing": lambda spark, d: packing.pack(documents(spark, d)),
     "op4_vector_topk": lambda spark, d: vector_topk.top_k(spark.read.parquet(f"{d}/embeddings.parquet")),
     "op5_mixing": lambda spark, d: mixing.mix_sources(documents(spark, d)),
     "op6_automaton_dedup": lambda spark, d: automaton_dedup.digest(documents(spark, d)),
