@@ -12,6 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -145,7 +146,9 @@ def tie_break(column: str, seed: int):
 
 
 def bound_arrow_batches(spark: SparkSession, megabytes: int = 32) -> None:
-    """Arrow batches to Python are cut by bytes, so that a few long texts in a batch can't exhaust a worker."""
+    """Before Python runs on executors: Arrow batches are cut by bytes, so that a few long texts in a batch can't exhaust
+    a worker, and workers find this package where the driver has it (where it isn't installed)."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) != str(megabytes << 20):
         spark.conf.set(key, str(megabytes << 20))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))

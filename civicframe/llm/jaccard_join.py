@@ -7,10 +7,10 @@ which the estimated cost is least: reading the posting lists of its prefix, and
 longer prefix with l required matches leaves fewer.
 
 Posting lists are dealt by token. A short list gives its pairs, and pairs that share at least min(l, l') of such tokens
-are verified. A pair that shares a token with a long list is found there: in each round one member of the list, the
-pivot, is compared with all members that aren't yet in its component, and leaves the list; so a group of near copies
-costs a row for each member, not for each pair, and lists of one component end. No pair that may link is left out: a list
-goes on until its members are one component or all were pivots.
+are verified. A pair that shares a token with a long list is found there: members of long lists that share members form
+a group; its members are dealt into blocks of bounded size, every two blocks meet in one task, which counts all common
+tokens of its sets by products of 0/1 matrices, and returns one link for each member at most. So a group of near copies costs
+a few rows for each member, never a row for each pair, no task holds more than two blocks, and no pair is left out.
 
 Document frequencies: each task counts its tokens in a table of fixed size (WIDTH counters); the sums are exact for the
 counters, over all documents, and serve only for order and costs.
@@ -34,6 +34,8 @@ from civicframe.llm.components import components
 
 #: Counters for document frequencies, in chunks; longest posting list that gives pairs; most required matches.
 WIDTH, CHUNK, SHORT, MOST = 1 << 20, 1 << 14, 8, 4
+#: Tokens and members of a block, about, and columns of a matrix.
+BLOCK, MEMBERS, COLUMNS = 1 << 18, 500, 4096
 #: Cost of verifying a candidate, in postings read.
 VERIFY = 20.0
 
@@ -220,10 +222,61 @@ def _sets(words: int):
     return run
 
 
-def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longest: int = SHORT) -> DataFrame:
+def spanning_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(member, smallest place in its component) for the linked ones among some sets, all pairs counted."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = counts > 1
+    place = np.cumsum(often) - 1
+    keep = often[column]
+    owner, column = owner[keep], place[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, n), np.float32)
+    for at in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        part = np.zeros((n, COLUMNS), np.float32)
+        part[owner[a:b], column[a:b] - at] = 1
+        both += part @ part.T
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    label = np.arange(n)
+    while True:
+        least = np.where(linked, label[None, :], n).min(1)
+        least = np.minimum(least, label)
+        least = least[least]
+        if (least == label).all():
+            return ids, ids[label]
+        label = least
+
+
+def _cell(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        a, b = spanning_links(pdf["id"].to_numpy(np.int64), [np.asarray(x, np.int64) for x in pdf["tokens"]], percent)
+        return pd.DataFrame({"a": a[a != b], "b": b[a != b]})
+
+    return run
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+    """Links (a, b), enough for the components, among members (token, id, n) of lists whose pairs aren't listed."""
+    first = members.groupBy("token").agg(F.min("id").alias("b"))
+    groups = components(members.join(first, "token").select(F.col("id").alias("a"), "b"))
+    groups = groups.join(members.groupBy("id").agg(F.max("n").alias("n")).withColumnRenamed("id", "node"), "node")
+    size = groups.groupBy("label").agg(F.ceil(F.greatest(F.sum("n") / block_tokens, F.count("*") / MEMBERS)).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = written(groups.join(size, "label").select(F.col("node").alias("id"), "label", "blocks", mine.alias("mine")), "jaccard-blocks")
+    cells = sets.join(dealt, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "id", "tokens")
+    return written(cells.groupBy("label", "i", "j").applyInPandas(_cell(percent), "a long, b long"), "jaccard-links")
+
+
+def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longest: int = SHORT, block_tokens: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id it reaches over links with Jaccard >= percent / 100).
 
-    ``longest``: members of a posting list that gives its pairs; longer ones go through pivots.
+    ``longest``: members of a posting list that gives its pairs; ``block_tokens``: tokens of a block of longer ones, about.
     """
     spark = docs.sparkSession
     bound_arrow_batches(spark)
@@ -246,22 +299,6 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
         left = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
         return written(left.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "jaccard-links")
 
-    links = verified(short)
-    labels = components(links)
-    round_ = 0
-    while True:
-        labelled = long.join(labels.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("label", "id").alias("label"))
-        # one member of each list meets all others that aren't in its component; lists of one component have ended
-        pivot = F.struct(F.xxhash64(F.col("id"), F.lit(round_)).alias("by"), "id", "n", "label")
-        pivots = labelled.groupBy("token").agg(F.min(pivot).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token", F.col("p.id").alias("a"), F.col("p.n").alias("an"), F.col("p.label").alias("alabel"))
-        rest = written(labelled.join(pivots, "token"), "jaccard-round")
-        if rest.isEmpty():
-            break
-        near = 100 * F.least("n", "an") >= percent * F.greatest("n", "an")
-        pairs = rest.where("label <> alabel").where(near).select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        links = links.unionByName(verified(pairs))
-        labels = components(links)
-        long = rest.where("id <> a").select("token", "id", "n")
-        round_ += 1
+    labels = components(verified(short).unionByName(block_links(long, sets, percent, block_tokens)))
     owner = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("c1", "c2", F.coalesce("label", "id").alias("label"))
     return rows.join(owner, ["c1", "c2"], "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("label", "doc").alias("component_id"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from civicframe.llm import automaton_dedup, jaccard_join, language_id, line_dedup, mixing, packing, secrets, suffix_dedup, vector_topk
+from civicframe.llm import automaton_dedup, image_copies, jaccard_join, language_id, line_dedup, mixing, packing, secrets, suffix_dedup, vector_topk
 from civicframe.llm.common import documents
 
 QUERIES = {
+    "op10_image_copies": lambda spark, d: image_copies.copies(image_copies.thumbnails(spark.read.parquet(f"{d}/embeddings.parquet"))),
     "op1_suffix_dedup": lambda spark, d: suffix_dedup.digest(documents(spark, d)),
     "op2_language_id": lambda spark, d: language_id.identify(documents(spark, d)),
     "op3_packing": lambda spark, d: packing.pack(documents(spark, d)),

@@ -61,10 +61,10 @@ def test_groups_of_near_copies(spark, seed):
 
 
 def test_lists_that_are_long(spark):
-    """With a limit of two, nearly every list goes through pivots."""
+    """With a limit of two, nearly every list goes through blocks, here many small ones."""
     texts = near_copies(3)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    check(jaccard_join.similarity_classes(df, words=2, percent=80, longest=2), dict(enumerate(texts)), 2, 80)
+    check(jaccard_join.similarity_classes(df, words=2, percent=80, longest=2, block_tokens=600), dict(enumerate(texts)), 2, 80)
 
 
 def test_empty_and_repeated_rows(docs, empty, by_id):
