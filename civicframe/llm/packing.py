@@ -7,18 +7,19 @@ index returns its best unused neighbours, which fill the window greedily; the la
 what is left of it stays unused. So all windows of a shard are full but for its last few tokens, which become sequences
 whose lengths are powers of two and need no padding.
 
-Defined cases: a null text is empty and has just the closing id; rows that repeat a doc_id get pieces each, with the
-same positions; an empty table gives an empty result. ``sequence_id`` is made of the document and start of the first piece,
-so documents may have up to 2**26 tokens.
+Defined cases: a null text is empty and has just the closing id; rows that repeat a doc_id are packed each, with the same
+positions; an empty table gives an empty result. ``sequence_id`` is unique in a result, not the same in another run.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,9 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _sequence(doc: int, start: int) -> int:
-    return (doc << 26) + start
+def _numbers(kind: int) -> Iterator[int]:
+    """Sequence numbers of a task: of partition, count and kind (whole windows of a document, or a shard's)."""
+    return ((TaskContext.get().partitionId() << 34) + (n << 1) + kind for n in count())
 
 
 def _sketch(ids: np.ndarray) -> int:
@@ -53,6 +55,7 @@ def _tokenise(path: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
         close = np.array([CLOSE], tok.dtype).tobytes()
+        numbers = _numbers(0)
         for batch in batches:
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), 500):
@@ -60,7 +63,7 @@ def _tokenise(path: str, window: int):
                 for doc, raw in zip(docs[at : at + 500], tok.encode([x or "" for x in texts[at : at + 500]]), strict=True):
                     ids = np.frombuffer(raw + close, tok.dtype)
                     whole = len(ids) // window * window
-                    rows += [(doc, s, window, _crc(ids[s : s + window]), len(ids), _sequence(doc, s), 0, None, None) for s in range(0, whole, window)]
+                    rows += [(doc, s, window, _crc(ids[s : s + window]), len(ids), next(numbers), 0, None, None) for s in range(0, whole, window)]
                     if whole < len(ids):
                         rest = ids[whole:]
                         rows.append((doc, whole, len(rest), None, len(ids), None, None, _sketch(rest), rest.tobytes()))
@@ -97,7 +100,7 @@ class Index:
         return hit[np.argsort(-score[hit], kind="stable")]
 
 
-def pack_shard(docs: list[tuple[int, int, int, np.ndarray]], window: int) -> Iterator[tuple]:
+def pack_shard(docs: list[tuple[int, int, int, np.ndarray]], window: int, numbers: Iterator[int]) -> Iterator[tuple]:
     """Pieces (as PIECE) of a shard's documents (doc_id, start, tokens of the document, ids)."""
     index = Index([d[3] for d in docs])
     used = np.zeros(len(docs), np.int64)
@@ -105,10 +108,9 @@ def pack_shard(docs: list[tuple[int, int, int, np.ndarray]], window: int) -> Ite
     line: list[tuple[int, int, int]] = []  # pieces of the window: (document, from, to)
 
     def closed(line: list[tuple[int, int, int]]) -> Iterator[tuple]:
-        name, at = None, 0
+        name, at = next(numbers), 0
         for k, a, b in line:
             doc, start, tokens, ids = docs[k]
-            name = _sequence(doc, start + a) if name is None else name
             yield doc, start + a, b - a, _crc(ids[a:b]), tokens, name, at
             at += b - a
 
@@ -154,10 +156,10 @@ def pack_shard(docs: list[tuple[int, int, int, np.ndarray]], window: int) -> Ite
 
 def _shards(path: str, window: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = tokenizer(path).dtype
+        dtype, numbers = tokenizer(path).dtype, _numbers(1)
 
         def out(docs: list) -> pa.RecordBatch:
-            rows = list(pack_shard(docs, window))
+            rows = list(pack_shard(docs, window, numbers))
             return pa.RecordBatch.from_arrays([pa.array([int(r[i]) for r in rows], pa.int64()) for i in range(len(NAMES))], NAMES)
 
         docs, n = [], 0

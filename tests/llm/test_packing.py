@@ -1,5 +1,6 @@
 import zlib
 from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pytest
@@ -63,12 +64,22 @@ def test_small_windows_and_shards(docs, by_id, plain):
 def test_neighbours_are_lexical():
     r = np.random.default_rng(1)
     docs = [(i, 0, 50, r.integers(1000 * (i % 4), 1000 * (i % 4) + 60, 50)) for i in range(40)]
-    rows = list(packing.pack_shard(docs, 500))
+    rows = list(packing.pack_shard(docs, 500, count()))
     groups = defaultdict(set)
     for doc, *_, sequence, _ in rows:
         groups[sequence].add(doc % 4)
     assert sum(len(g) for g in groups.values()) <= len(groups) + 4
 
 
+def test_repeated_rows_are_packed_each(docs, by_id, plain):
+    rows = packing.pack(docs.union(docs)).collect()
+    lengths = {}
+    for r in rows:
+        lengths.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for x in lengths.values():
+        assert sum(n for _, n in x) == max(a + n for a, n in x) <= 2048
+    assert sum(r["length"] for r in rows) == 2 * sum(len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for t in by_id.values())
+
+
 def test_empty(empty):
     assert packing.pack(empty).count() == 0
