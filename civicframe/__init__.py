@@ -1,0 +1 @@
+"""Council records on Spark: places, meetings, papers, graphs and data quality as DataFrame operators."""
