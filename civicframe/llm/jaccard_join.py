@@ -6,8 +6,8 @@ share t tokens, then the first |set| - t + l tokens of each share at least l (th
 which the estimated cost is least: reading the posting lists of its prefix, and verifying the candidates, of which a
 longer prefix with l required matches leaves fewer.
 
-Posting lists are dealt by token. A short list gives its pairs, and pairs that share at least min(l, l') of such tokens
-are verified. A pair that shares a token with a long list is found there: members of long lists that share members form
+Posting lists are dealt by token. A short list gives its pairs, and pairs that share enough such tokens are verified: at
+least l, and more for sets of similar size, since beyond a prefix of p tokens a set can share |set| - p at most. A pair that shares a token with a long list is found there: members of long lists that share members form
 a group; its members are dealt into blocks of bounded size, every two blocks meet in one task, which counts all common
 tokens of its sets by products of 0/1 matrices, and returns one link for each member at most. So a group of near copies costs
 a few rows for each member, never a row for each pair, no task holds more than two blocks, and no pair is left out.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, mix, text_parts, with_id, words_of, written
+from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, broadcast_if_small, mix, text_parts, with_id, words_of, written
 from civicframe.llm.components import components
 
 #: Counters for document frequencies, in chunks; longest posting list that gives pairs; most required matches.
@@ -141,26 +141,26 @@ def _postings(words: int, percent: int, counts):
                     continue
                 seen.add(c)
                 often = np.maximum(table[(tokens & np.uint64(WIDTH - 1)).astype(np.int64)] - base, 1)
-                first, need = prefix(tokens, often, percent)
-                for x, y in zip(out, (first.view(np.int64), c[0], c[1], len(tokens), need), strict=True):
+                first, _ = prefix(tokens, often, percent)
+                for x, y in zip(out, (first.view(np.int64), c[0], c[1], len(tokens), len(tokens) - len(first)), strict=True):
                     x.append(y if isinstance(y, np.ndarray) else np.full(len(first), y, np.int64))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["token", "c1", "c2", "n", "need"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["token", "c1", "c2", "n", "beyond"])
 
     return run
 
 
 def _lists(percent: int, short: int):
     """Sorted postings -> pairs of short lists (long = false) and members of long lists."""
-    names = ["long", "token", "a1", "a2", "an", "b1", "b2", "bn", "need"]
+    names = ["long", "token", "a1", "a2", "an", "b1", "b2", "bn", "beyond"]
 
     def emit(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        token, c1, c2, n, need = rows
+        token, c1, c2, n, beyond = rows
         if not len(token):
             return
         fresh = np.ones(len(token), bool)
         fresh[1:] = (token[1:] != token[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])
-        token, c1, c2, n, need = (x[fresh] for x in rows)  # a class once
+        token, c1, c2, n, beyond = (x[fresh] for x in rows)  # a class once
         new = np.ones(len(token), bool)
         new[1:] = token[1:] != token[:-1]
         at = np.flatnonzero(new)
@@ -171,7 +171,7 @@ def _lists(percent: int, short: int):
             fine = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             i, j = i[fine], j[fine]
             if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), bool)), *(pa.array(x) for x in (token[i], c1[i], c2[i], n[i], c1[j], c2[j], n[j], np.minimum(need[i], need[j])))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), bool)), *(pa.array(x) for x in (token[i], c1[i], c2[i], n[i], c1[j], c2[j], n[j], np.maximum(beyond[i], beyond[j])))], names)
         i = np.flatnonzero(size > short)
         if len(i):
             none = pa.nulls(len(i), pa.int64())
@@ -285,15 +285,17 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
     rows = summary.where("doc is not null").select("doc", "n", "c1", "c2")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("doc").alias("id"), F.max("n").alias("n")), "jaccard-classes")
     counts = spark.sparkContext.broadcast(_frequencies(summary.where("chunk is not null").select("chunk", "counts")))
-    lists = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, need long")
+    lists = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, beyond long")
     lists = lists.repartition("token").sortWithinPartitions("token", "c1", "c2")
-    lists = written(lists.mapInArrow(_lists(percent, longest), "long boolean, token long, a1 long, a2 long, an long, b1 long, b2 long, bn long, need long"), "jaccard-lists")
+    lists = written(lists.mapInArrow(_lists(percent, longest), "long boolean, token long, a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long"), "jaccard-lists")
     named = lambda p: classes.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("id").alias(p))
-    short = lists.where("not long").groupBy("a1", "a2", "b1", "b2").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need")
+    short = lists.where("not long").groupBy("a1", "a2", "b1", "b2").agg(F.count("*").alias("shared"), F.max("beyond").alias("beyond"), F.max(F.col("an") + F.col("bn")).alias("sizes"))
+    # a pair shares at most ``beyond`` tokens after its prefixes, so the rest of what it needs must be in them
+    short = short.where(F.col("shared") >= F.ceil(percent * F.col("sizes") / (100.0 + percent) - 1e-9) - F.col("beyond"))
     short = written(short.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"]).select("a", "b"), "jaccard-candidates")
     long = written(lists.where("long").join(named("a"), ["a1", "a2"]).select("token", F.col("a").alias("id"), F.col("an").alias("n")), "jaccard-long")
     wanted = short.select(F.col("a").alias("doc_id")).union(short.select("b")).union(long.select("id")).distinct()
-    sets = written(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(words), "id long, tokens array<long>").dropDuplicates(["id"]), "jaccard-sets")
+    sets = written(docs.join(broadcast_if_small(written(wanted, "jaccard-wanted")), "doc_id", "left_semi").mapInArrow(_sets(words), "id long, tokens array<long>"), "jaccard-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
