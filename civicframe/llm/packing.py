@@ -27,7 +27,7 @@ from civicframe.llm.common import bound_arrow_batches, mix, with_id, written
 from civicframe.llm.tokens import default_path, tokenizer
 
 #: Tokens of a window, the id that closes a document, tokens of a shard, terms of a query.
-WINDOW, CLOSE, SHARD, TERMS = 2048, 1, 1_000_000, 24
+WINDOW, CLOSE, SHARD, TERMS = 2048, 1, 1_000_000, 12
 K1, B = 1.2, 0.75
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [x.split()[0] for x in PIECE.split(", ")]

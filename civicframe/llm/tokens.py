@@ -12,8 +12,9 @@ import re
 import numpy as np
 
 #: Words and parts of words that a worker remembers.
-WORDS, PARTS = 200_000, 400_000
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+WORDS, PARTS = 400_000, 700_000
+#: A word of letters and then other signs (but no apostrophe), or any other, a line each.
+_SPLIT = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
 
 
 def default_path() -> str:
@@ -31,17 +32,24 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str], plain: bool) -> None:
+        """plain: each part is one run of letters or of signs, whose last id ends a word."""
         width = self.dtype.itemsize
         for i in range(0, len(parts), 4000):
             some = parts[i : i + 4000]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(got.ids, self.dtype).tobytes()
-            begin = np.concatenate(([0], np.cumsum([len(x) + 1 for x in some])))
-            cut = np.searchsorted(np.array([a for a, _ in got.offsets]), begin) * width
-            for k, x in enumerate(some):
-                self.parts[x] = ids[cut[k] : cut[k + 1]]
+            got = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(got.ids, self.dtype)
+            cut = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1)) if plain else ()
+            if len(cut) != len(some) + 1:
+                got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)  # with offsets
+                begin = np.concatenate(([0], np.cumsum([len(x) + 1 for x in some])))
+                cut = np.searchsorted(np.array([a for a, _ in got.offsets]), begin)
+            raw, cut = ids.tobytes(), (cut * width).tolist()
+            self.parts.update(zip(some, map(raw.__getitem__, map(slice, cut, cut[1:])), strict=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
@@ -51,16 +59,15 @@ class WordTokenizer:
         if len(self.parts) > PARTS:
             self.parts = {"": b""}
         words, parts = self.words, self.parts
-        fresh = {w for x in split for w in x if w not in words}
-        how, new = {}, set()
-        for w in fresh:
-            m = _PLAIN.fullmatch(w)
-            both = (m[1].lower(), m[2]) if m else (w, "")
-            how[w] = both
-            new.update(p for p in both if p not in parts)
-        self._learn(sorted(new))
-        for w, (a, b) in how.items():
-            words[w] = parts[a] + parts[b]
+        fresh = list(set().union(*split).difference(words))
+        for i in range(0, len(fresh), 100_000):
+            some = fresh[i : i + 100_000]
+            cut = _SPLIT.findall("\n".join(some))
+            letters, signs, other = ([x[k] for x in cut] for k in range(3))
+            letters = "\n".join(letters).lower().split("\n")  # one by one, as these letters have no context
+            self._learn(list(set(letters).union(signs).difference(parts)), True)
+            self._learn([x for x in other if x and x not in parts], False)
+            words.update(zip(some, [parts[a] + parts[b] if a else parts[c] for a, b, c in zip(letters, signs, other, strict=True)], strict=True))
         return [b"".join(map(words.__getitem__, x)) for x in split]
 
 
