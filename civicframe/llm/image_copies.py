@@ -2,8 +2,8 @@
 
 Corners are found at several scales, each gets an orientation from the intensity centroid of its disc, and a 256-bit
 descriptor of brightness comparisons in the disc, turned by that orientation. Descriptors are put into TABLES Hamming
-tables by their 32-bit parts; a key is a part of a corner and of its two nearest corners, since single parts of simple
-pictures are too common. Of an image's many keys in all tables one that an edit leaves is enough. Images that share keys are
+tables by their 32-bit parts; a key is a part of a corner and of its two nearest corners with their directions, since
+single parts of simple pictures are too common. Of an image's many keys in all tables one that an edit leaves is enough. Images that share keys are
 candidates, which are verified on their whole descriptor sets: matches within DISTANCE bits must agree on one scale,
 rotation and shift. Images with equal pixels are one class and only its first image is compared. Long lists of a table go through pivots (``linking``).
 
@@ -27,6 +27,8 @@ from civicframe.llm.linking import link_members
 
 #: Pyramid, radius of a disc, tables of 64 bits, differing bits of a match, matches that agree, pixels of tolerance, longest list with pairs.
 SCALES, RADIUS, TABLES, DISTANCE, AGREE, PIXELS, SHORT = (1.0, 0.75, 0.5), 9, 8, 32, 10, 3.0, 6
+#: Sectors that the direction to a corner beside another falls into.
+SECTORS = 16
 #: Part of an image's strongest corner response that counts as a corner.
 STRENGTH = 0.03
 
@@ -148,7 +150,13 @@ def tokens_of(places: np.ndarray, bits: np.ndarray) -> np.ndarray:
     gap[gap < 1] = np.inf  # the same corner at another scale
     near = np.argpartition(gap, 1, axis=1)[:, :2]
     parts = mix(bits.view("<u4").reshape(n, TABLES).astype(np.uint64) + (np.arange(1, TABLES + 1, dtype=np.uint64) << np.uint64(32)))
-    return np.unique(mix(parts * np.uint64(3) + parts[near[:, 0]] + parts[near[:, 1]])).view(np.int64)
+    # where the two lie, as seen along the corner's own orientation: the same in any turned, scaled or cropped copy
+    step = places[near][:, :, :2] - places[:, None, :2]
+    turn = np.arctan2(step[..., 1], step[..., 0]) - places[:, None, 3]
+    sector = np.floor(turn * (SECTORS / (2 * np.pi))).astype(np.int64) % SECTORS
+    where = mix(sector.astype(np.uint64) + np.uint64(SECTORS))[:, :, None]
+    beside = mix(parts[near] ^ where).sum(1, dtype=np.uint64)
+    return np.unique(mix(parts * np.uint64(3) + beside)).view(np.int64)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
