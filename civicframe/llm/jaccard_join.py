@@ -13,7 +13,8 @@ tokens of its sets by products of 0/1 matrices, and returns one link for each me
 a few rows for each member, never a row for each pair, no task holds more than two blocks, and no pair is left out.
 
 Document frequencies: each task counts its tokens in a table of fixed size (WIDTH counters); the sums are exact for the
-counters, over all documents, and serve only for order and costs.
+counters, over all documents, and serve only for order and costs. Of the prefixes that this order gives, tokens with
+long lists are counted exactly and moved to the end of the order, before the lists are made.
 
 Defined cases: without words the set is empty and linked with nothing; fewer words than a shingle are one shingle; rows
 that repeat a doc_id with its text are one document with a row each; an empty table gives an empty result.
@@ -33,7 +34,9 @@ from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, broa
 from civicframe.llm.components import components
 
 #: Counters for document frequencies, in chunks; longest posting list that gives pairs; most required matches.
-WIDTH, CHUNK, SHORT, MOST = 1 << 20, 1 << 14, 8, 4
+WIDTH, CHUNK, SHORT, MOST = 1 << 21, 1 << 14, 8, 4
+#: Common tokens that are sent to executors at most.
+COMMON = 1 << 20
 #: Tokens and members of a block, about, and columns of a matrix.
 BLOCK, MEMBERS, COLUMNS = 1 << 18, 500, 4096
 #: Cost of verifying a candidate, in postings read.
@@ -112,10 +115,10 @@ def _frequencies(parts: DataFrame) -> np.ndarray:
     return out
 
 
-def prefix(tokens: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """(tokens of the adaptive prefix, required matches)."""
+def prefix(tokens: np.ndarray, often: np.ndarray, percent: int, last: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """(tokens of the adaptive prefix, required matches). ``last``: which tokens come after all others."""
     n = len(tokens)
-    order = np.lexsort((tokens, often))
+    order = np.lexsort((tokens, often) if last is None else (tokens, often, last))
     least = _least(n, percent)
     best, most = None, min(MOST, least)
     cost = np.cumsum(often[order].astype(float))
@@ -128,7 +131,9 @@ def prefix(tokens: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndar
     return tokens[order[: n - least + need]], need
 
 
-def _postings(words: int, percent: int, counts):
+def _postings(words: int, percent: int, counts, common=None):
+    """common: a broadcast of sorted tokens that are known to have long lists; they come last in the order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         base = int(np.median(table))  # what other tokens add to a counter
@@ -141,7 +146,11 @@ def _postings(words: int, percent: int, counts):
                     continue
                 seen.add(c)
                 often = np.maximum(table[(tokens & np.uint64(WIDTH - 1)).astype(np.int64)] - base, 1)
-                first, _ = prefix(tokens, often, percent)
+                last = None
+                if common is not None and len(common.value):
+                    own = tokens.view(np.int64)
+                    last = common.value[np.minimum(np.searchsorted(common.value, own), len(common.value) - 1)] == own
+                first, _ = prefix(tokens, often, percent, last)
                 for x, y in zip(out, (first.view(np.int64), c[0], c[1], len(tokens), len(tokens) - len(first)), strict=True):
                     x.append(y if isinstance(y, np.ndarray) else np.full(len(first), y, np.int64))
             if out[0]:
@@ -285,7 +294,14 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
     rows = summary.where("doc is not null").select("doc", "n", "c1", "c2")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("doc").alias("id"), F.max("n").alias("n")), "jaccard-classes")
     counts = spark.sparkContext.broadcast(_frequencies(summary.where("chunk is not null").select("chunk", "counts")))
-    lists = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, beyond long")
+    # tokens whose lists turn out long, though their counters don't tell, go to the end of the order; only costs depend on it
+    posted = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, beyond long")
+    long_tokens = written(posted.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > longest).select("token"), "jaccard-common")
+    common = np.zeros(0, np.int64)
+    if long_tokens.limit(COMMON + 1).count() <= COMMON:
+        common = np.sort(long_tokens.toArrow()["token"].to_numpy())
+    common = spark.sparkContext.broadcast(common)
+    lists = docs.mapInArrow(_postings(words, percent, counts, common), "token long, c1 long, c2 long, n long, beyond long")
     lists = lists.repartition("token").sortWithinPartitions("token", "c1", "c2")
     lists = written(lists.mapInArrow(_lists(percent, longest), "long boolean, token long, a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long"), "jaccard-lists")
     named = lambda p: classes.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("id").alias(p))
