@@ -79,7 +79,11 @@ class Index:
     def __init__(self, texts: list[np.ndarray]):
         size = np.array([len(t) for t in texts])
         doc = np.repeat(np.arange(len(texts)), size)
-        key, tf = np.unique(np.concatenate(texts).astype(np.int64) * len(texts) + doc, return_counts=True)
+        ids = np.concatenate(texts)
+        small = (int(ids.max()) + 1) * len(texts) < 1 << 32
+        key = np.sort(ids.astype(np.uint32 if small else np.uint64) * len(texts) + doc.astype(np.uint32 if small else np.uint64))
+        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        key, tf = key[at].astype(np.int64), np.diff(np.append(at, len(key)))
         self.doc = key % len(texts)
         terms, first, df = np.unique(key // len(texts), return_index=True, return_counts=True)
         self.first, self.df = first, df

@@ -11,8 +11,8 @@ import re
 
 import numpy as np
 
-#: Words and parts of words that a worker remembers.
-WORDS, PARTS = 400_000, 700_000
+#: Words, parts of words and whole short texts that a worker remembers, and characters of such a text.
+WORDS, PARTS, TEXTS, SHORT = 500_000, 1_200_000, 4000, 4096
 #: A word of letters and then other signs (but no apostrophe), or any other, a line each.
 _SPLIT = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
 
@@ -32,6 +32,7 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
+        self.texts: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -53,6 +54,16 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
+        known = self.texts
+        new = [x for x in dict.fromkeys(texts) if x not in known]
+        got = dict(zip(new, self._encode(new), strict=True))
+        out = [known[x] if x in known else got[x] for x in texts]
+        if len(known) > TEXTS:
+            known.clear()
+        known.update((x, ids) for x, ids in got.items() if len(x) <= SHORT)
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [x.replace("\n", " ").split(" ") for x in texts]
         if len(self.words) > WORDS:
             self.words = {"": b""}
