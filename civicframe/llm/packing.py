@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import bound_arrow_batches, mix, with_id, written
+from civicframe.llm.common import bound_arrow_batches, with_id, written
 from civicframe.llm.tokens import default_path, tokenizer
 
 #: Tokens of a window, the id that closes a document, tokens of a shard, terms of a query.
@@ -42,11 +42,14 @@ def _numbers(kind: int) -> Iterator[int]:
     return ((TaskContext.get().partitionId() << 34) + (n << 1) + kind for n in count())
 
 
+#: Odd multipliers of the sketch.
+_SKETCH = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
+
+
 def _sketch(ids: np.ndarray) -> int:
     """Smallest hash of two consecutive ids."""
-    x = ids.astype(np.uint64)
-    x = x[:-1] << np.uint64(32) | x[1:] if len(x) > 1 else x
-    return int(mix(x).min() >> np.uint64(1))
+    x = ids.astype(np.uint32) * _SKETCH[0]
+    return int(((x[:-1] ^ (x[:-1] >> np.uint32(15))) * _SKETCH[1] + x[1:]).min() if len(x) > 1 else x[0])
 
 
 def _tokenise(path: str, window: int):
@@ -189,6 +192,6 @@ def pack(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD, path:
     whole = rows.where("ids is null").select(*NAMES)
     rest = rows.where("ids is not null")
     n = rest.agg(F.sum("length")).first()[0] or 0
-    shards = max(1, -(-n // (2 * shard_tokens)))  # about two shards a partition
+    shards = max(1, -(-n // (4 * shard_tokens)))  # about four shards a partition
     dealt = rest.repartitionByRange(shards, "sketch", "doc_id").sortWithinPartitions("sketch", "doc_id", "start").select("doc_id", "start", "doc_tokens", "ids")
     return whole.unionByName(dealt.mapInArrow(_shards(path, window, shard_tokens), PIECE))
