@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicframe.llm.common import bound_arrow_batches, mix, with_id
 
@@ -149,19 +150,27 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return Model.build(found, rows)
 
 
-def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """One row per document: doc_id, held_out, lang_pred, score."""
+def annotate(docs: DataFrame, per_language: int = PER_LANGUAGE, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All rows and columns of ``docs``, and the predicted language and its score under the given names. No shuffle."""
     bound_arrow_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, per_language))
+    place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], [np.zeros(0)]
-            for part in _pieces(batch.column(2).to_pylist()):
-                got, score = model.value.predict(part)
+            for part in _pieces(batch.column(0).field(place).to_pylist()):
+                got, own = model.value.predict(part)
                 langs += got
-                scores.append(score)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], ["doc_id", "held_out", "lang_pred", "score"])
+                scores.append(own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], ["row", "lang", "score"])
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = rows.mapInArrow(run, T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns], F.col("lang").alias(lang), F.col("score").alias(score))
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """One row per document: doc_id, held_out, lang_pred, score."""
+    rows = annotate(docs.where("doc_id is not null").select("doc_id", "text", "lang"), per_language)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "lang_pred", "score")

@@ -84,13 +84,14 @@ class LineRuns:
         return out
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 3) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_dropped, kept (the text that stays).
+def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 3, carry: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_lines, n_dropped, kept (the text that stays); with ``carry`` also carried, a struct of the input's other columns.
 
     Lines whose key has at least ``min_chars`` code points and is in at least ``min_docs`` documents go everywhere. The
     documents are added in ``batches`` disjoint batches, by a hash of their id.
     """
-    docs = with_id(docs, "text")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("carried")
+    docs = with_id(docs, "text", *[others] * carry)
     lines = docs.select("doc_id", F.xxhash64("text").alias("version"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line")).withColumn("line", line_key(F.col("line")))
     lines = written(lines.where(F.length("line") >= min_chars).select("doc_id", "version", "pos", key_hash(F.col("line")).alias("key")), "lines")
     runs = LineRuns(min_docs)
@@ -104,7 +105,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     keep = F.array_except(F.sequence(F.lit(0), n - 1), F.col("drops"))
     picked = F.get(F.transform(F.array(every), lambda x: F.transform(keep, lambda i: F.get(x, i))), F.lit(0))  # splits once
     kept = F.when(F.col("drops").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(picked, "\n"))
-    return whole.select("doc_id", n.cast("long").alias("n_lines"), F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"), kept.alias("kept"))
+    return whole.select("doc_id", n.cast("long").alias("n_lines"), F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"), kept.alias("kept"), *["carried"] * carry)
 
 
 def digest(docs: DataFrame, **how) -> DataFrame:

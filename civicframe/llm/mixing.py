@@ -81,14 +81,21 @@ def mix_sources(docs: DataFrame, share: float = 1.5, most: int = 2, weights: tup
 
 
 def take_copies(docs: DataFrame, mix: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: whole copies, and of a document at a boundary its first words; same columns as ``docs``."""
-    mix = mix.where("taken > 0").select(F.col("doc_id").alias("its_id"), "size", "taken")
-    both = docs.join(mix, docs["doc_id"].cast("long") == mix["its_id"])
-    copies = F.transform(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size"))), lambda i: F.least(F.col("size"), F.col("taken") - (i - 1) * F.col("size")))
-    both = both.withColumn("its_words", F.explode(copies))
-    first = F.expr(r"array_join(slice(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), 1, cast(its_words as int)), ' ')")
-    both = both.withColumn("text", F.when(F.col("its_words") < F.col("size"), first).otherwise(F.col("text")))
-    return both.select(*docs.columns)
+    """The documents as the mix takes them: whole copies, and of a document at a boundary its first words; same columns as ``docs``.
+
+    Rows that repeat a doc_id are one document here, taken as often as the mix takes all of them.
+    """
+    words = mix.groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("size").alias("mix_size"), F.sum("taken").alias("mix_taken"), F.count("*").alias("mix_rows"))
+    words = written(words.where("mix_taken > 0"), "mix-words")
+    if not words.where("mix_rows > 1").isEmpty():
+        docs = docs.dropDuplicates(["doc_id"])
+    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(words, F.col("row.doc_id").cast("long") == F.col("mix_id"))
+    n, taken = F.col("mix_size"), F.col("mix_taken")
+    copies = F.transform(F.sequence(F.lit(1).cast("long"), F.ceil(taken / n)), lambda i: F.least(n, taken - (i - 1) * n))
+    both = both.select("row", "mix_size", F.explode(copies).alias("part"))
+    first = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("part").cast("int")), " ")
+    text = F.when(F.col("part") < n, first).otherwise(F.col("row.text")).alias("text")
+    return both.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""
