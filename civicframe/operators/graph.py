@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from civicframe.functions import fixed as X
 from civicframe.functions import text as T
 
-BASE = "http://augsburg.oparl-analytics.org/"
+BASE = "https://records.example.org/"
 TRIPLE = ["s", "p", "o", "kind", "datatype", "lang"]
 
 

@@ -25,7 +25,7 @@ from civicframe.streaming.ingest import parsed
 class Config:
     """city; folders of the input (papers as JSON lines, texts as Parquet with id and full_text, gazetteer as GeoJSON) and output."""
 
-    city: str = "augsburg"
+    city: str = "musterstadt"
     papers: str = "data/papers"
     texts: str | None = None
     gazetteer: str | None = None

@@ -256,42 +256,42 @@ def title_location(spark, d):
     return _titles(spark, d).withColumn("place", T.title_location(F.col("title")))
 
 
-@query(V.sql(_VALID + " select key, pos, md5(lower(value)) as plain, md5(concat(lower(value), '|', type, '|augsburg')) as full_key from valid", "papers"))
+@query(V.sql(_VALID + " select key, pos, md5(lower(value)) as plain, md5(concat(lower(value), '|', type, '|musterstadt')) as full_key from valid", "papers"))
 def cache_key(spark, d):
     m = L.extract(_papers(spark, d), "key")
-    return m.select("key", "pos", T.cache_key(F.col("value")).alias("plain"), T.cache_key(F.col("value"), F.col("type"), F.lit("Augsburg")).alias("full_key"))
+    return m.select("key", "pos", T.cache_key(F.col("value")).alias("plain"), T.cache_key(F.col("value"), F.col("type"), F.lit("Musterstadt")).alias("full_key"))
 
 
-@query(V.sql(_VALID + " select key, pos, case when type in ('bplan', 'flurnummer') then '' when type = 'address' then concat(value, ', Augsburg, Deutschland; Augsburg, Deutschland') else concat(value, ', Augsburg, Deutschland') end as asked from valid", "papers"))
+@query(V.sql(_VALID + " select key, pos, case when type in ('bplan', 'flurnummer') then '' when type = 'address' then concat(value, ', Musterstadt, Deutschland; Musterstadt, Deutschland') else concat(value, ', Musterstadt, Deutschland') end as asked from valid", "papers"))
 def geocode_queries(spark, d):
     m = L.extract(_papers(spark, d), "key")
-    return m.select("key", "pos", _joined(T.geocode_queries(F.col("value"), F.col("type"), F.lit("Augsburg"))).alias("asked"))
+    return m.select("key", "pos", _joined(T.geocode_queries(F.col("value"), F.col("type"), F.lit("Musterstadt"))).alias("asked"))
 
 
 def _cache(spark, d):
     g = V.gazetteer(spark, d)
-    return g.select(T.cache_key(F.col("name"), F.lit("street"), F.lit("augsburg")).alias("cache_key"), F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.concat("name", F.lit(", Augsburg")).alias("display_name"), F.lit("residential").alias("geo_type"))
+    return g.select(T.cache_key(F.col("name"), F.lit("street"), F.lit("musterstadt")).alias("cache_key"), F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.concat("name", F.lit(", Musterstadt")).alias("display_name"), F.lit("residential").alias("geo_type"))
 
 
-_CACHED = _VALID + ", cached as (select key, pos, type, value, lat, lon, case when name is not null then concat(name, ', Augsburg') end as display_name, name is not null as hit from valid v left join gazetteer g on md5(concat(lower(value), '|', type, '|augsburg')) = md5(concat(lower(g.name), '|street|augsburg')))"
+_CACHED = _VALID + ", cached as (select key, pos, type, value, lat, lon, case when name is not null then concat(name, ', Musterstadt') end as display_name, name is not null as hit from valid v left join gazetteer g on md5(concat(lower(value), '|', type, '|musterstadt')) = md5(concat(lower(g.name), '|street|musterstadt')))"
 
 
 @query(V.sql(_CACHED + " select key, pos, lat as latitude, lon as longitude, display_name, hit as cached from cached", "papers", "gazetteer"))
 def geocode_cache_join(spark, d):
     m = L.extract(_papers(spark, d), "key").withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})
-    return L.geocode(m, _cache(spark, d), F.lit("augsburg")).select("key", "pos", "latitude", "longitude", "display_name", "cached")
+    return L.geocode(m, _cache(spark, d), F.lit("musterstadt")).select("key", "pos", "latitude", "longitude", "display_name", "cached")
 
 
 @query(V.sql(_GEO + " select key, pos, value, latitude, longitude, case when type = 'street' and latitude is not null then 'residential' end as geo_type from geo", "papers", "gazetteer"))
 def geocode_batch(spark, d):
     """What the gazetteer knows stays; the cache fills the rest."""
-    return L.geocode(_located(spark, d), _cache(spark, d), F.lit("augsburg")).select("key", "pos", "value", "latitude", "longitude", "geo_type")
+    return L.geocode(_located(spark, d), _cache(spark, d), F.lit("musterstadt")).select("key", "pos", "value", "latitude", "longitude", "geo_type")
 
 
 @query(V.sql(_GEO + " select key, pos, type, value, latitude as lat, longitude as lon, case when type = 'street' and latitude is not null then 'residential' end as geo_type from geo", "papers", "gazetteer"))
 def merge_geocode(spark, d):
     """The mention's own type stays beside the geocoder's; coordinates as a struct."""
-    m = L.geocode(_located(spark, d), _cache(spark, d), F.lit("augsburg")).withColumn("coordinates", F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")))
+    m = L.geocode(_located(spark, d), _cache(spark, d), F.lit("musterstadt")).withColumn("coordinates", F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")))
     return m.select("key", "pos", "type", "value", "coordinates.lat", "coordinates.lon", "geo_type")
 
 

@@ -21,32 +21,32 @@ def _raw(spark, d):
     return o.select(k.alias("key"), date.alias("date"))
 
 
-@query(f"select o_orderkey as key, 'augsburg' as city, cast(year(try_cast({_DATES} as date)) as integer) as year, cast(month(try_cast({_DATES} as date)) as integer) as month from orders")
+@query(f"select o_orderkey as key, 'musterstadt' as city, cast(year(try_cast({_DATES} as date)) as integer) as year, cast(month(try_cast({_DATES} as date)) as integer) as month from orders")
 def papers_prepared(spark, d):
-    return S.prepare(_raw(spark, d), "Augsburg").select("key", "city", "year", "month")
+    return S.prepare(_raw(spark, d), "Musterstadt").select("key", "city", "year", "month")
 
 
 def _stored(spark, d):
     path = S.scratch(spark)
-    S.write_batch(S.prepare(V.papers(spark, d), "Augsburg").select("key", "name", "paper_type", "city", "year", "month"), path)
+    S.write_batch(S.prepare(V.papers(spark, d), "Musterstadt").select("key", "name", "paper_type", "city", "year", "month"), path)
     return path
 
 
-@query(V.sql("select key, name, paper_type, 'augsburg' as city, cast(year(date) as integer) as year, cast(month(date) as integer) as month from papers", "papers"))
+@query(V.sql("select key, name, paper_type, 'musterstadt' as city, cast(year(date) as integer) as year, cast(month(date) as integer) as month from papers", "papers"))
 def read_all_papers(spark, d):
     return S.read_all(spark, _stored(spark, d)).select("key", "name", "paper_type", "city", "year", "month")
 
 
 @query(V.sql("select key, name, cast(year(date) as integer) as year from papers where year(date) = 1996", "papers"))
 def read_partition(spark, d):
-    return S.read_partition(spark, _stored(spark, d), "augsburg", 1996).select("key", "name", "year")
+    return S.read_partition(spark, _stored(spark, d), "musterstadt", 1996).select("key", "name", "year")
 
 
-_TABLE = _GEO + ", lt as (select concat(p.id, '_', type, '_', replace(value, ' ', '_')) as location_id, p.id as paper_id, p.name as paper_name, cast(p.date as varchar) as paper_date, coalesce(p.pdf_url, '') as pdf_url, type as location_type, value as location_value, latitude, longitude, cast(null as varchar) as display_name, cast(null as varchar) as query, 'regex' as method, 'augsburg' as city from geo g join papers p on p.key = g.key)"
+_TABLE = _GEO + ", lt as (select concat(p.id, '_', type, '_', replace(value, ' ', '_')) as location_id, p.id as paper_id, p.name as paper_name, cast(p.date as varchar) as paper_date, coalesce(p.pdf_url, '') as pdf_url, type as location_type, value as location_value, latitude, longitude, cast(null as varchar) as display_name, cast(null as varchar) as query, 'regex' as method, 'musterstadt' as city from geo g join papers p on p.key = g.key)"
 
 
 def _table(spark, d):
-    return S.locations_table(_located(spark, d).drop("date", "context").withColumn("method", F.lit("regex")), V.papers(spark, d), "key", "augsburg")
+    return S.locations_table(_located(spark, d).drop("date", "context").withColumn("method", F.lit("regex")), V.papers(spark, d), "key", "musterstadt")
 
 
 @query(V.sql(_TABLE + " select * from lt", "papers", "gazetteer"))
@@ -56,7 +56,7 @@ def locations_table(spark, d):
 
 @query(V.sql(_TABLE + " select paper_id, location_name, printf('%.3f', latitude) as lat, printf('%.3f', longitude) as lon, concat('{\"type\":\"Feature\",\"title\":\"', paper_name, '\"}') as head from (select *, location_value as location_name from lt) x where latitude is not null and longitude is not null", "papers", "gazetteer"))
 def geojson_features(spark, d):
-    f = S.geojson_features(_table(spark, d), "augsburg")
+    f = S.geojson_features(_table(spark, d), "musterstadt")
     title = F.get_json_object("feature", "$.properties.paper_title")
     kind = F.get_json_object("feature", "$.type")
     head = F.concat(F.lit('{"type":"'), kind, F.lit('","title":"'), title, F.lit('"}'))
@@ -65,7 +65,7 @@ def geojson_features(spark, d):
 
 @query(V.sql(_TABLE + " select count(*) as count, count(distinct location_value) as unique_locations from lt where latitude is not null", "papers", "gazetteer"))
 def geojson_metadata(spark, d):
-    return S.geojson_metadata(S.geojson_features(_table(spark, d), "augsburg"))
+    return S.geojson_metadata(S.geojson_features(_table(spark, d), "musterstadt"))
 
 
 @query(V.sql("select key, name, modified from papers where modified >= date '1996-01-01' and modified < date '1997-01-01'", "papers"))
@@ -160,9 +160,9 @@ def extract_id(spark, d):
     return V.table(spark, d, "pages").select("page_id", T.last_segment(u).alias("id"))
 
 
-@query(V.sql("select key, concat('http://augsburg.oparl-analytics.org/paper/', key) as uri, concat('http://augsburg.oparl-analytics.org/meeting/', name) as plain from papers", "papers"))
+@query(V.sql("select key, concat('https://records.example.org/paper/', key) as uri, concat('https://records.example.org/meeting/', name) as plain from papers", "papers"))
 def generate_uri(spark, d):
-    base = "http://augsburg.oparl-analytics.org/"
+    base = "https://records.example.org/"
     return V.papers(spark, d).select("key", T.generate_uri(base, F.lit("paper"), F.col("id")).alias("uri"), T.generate_uri(base, F.lit("meeting"), F.col("name")).alias("plain"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from civicframe.functions import time as T
 
 API = "https://api.example.org/"
-CITY = "augsburg"
+CITY = "musterstadt"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -97,7 +97,7 @@ VIEWS = {
     "papers": """select o_orderkey as key, concat('https://api.example.org/paper/', o_orderkey) as id, concat('Vorlage ', o_orderkey) as name,
         case when o_orderkey % 3 <> 0 then concat('BV/', o_orderkey) end as reference, cast(o_orderdate as date) as date,
         cast(cast(o_orderdate as date) + cast(o_orderkey % 10 as integer) as date) as modified, o_orderpriority as paper_type, o_orderstatus as status,
-        case when o_orderkey % 4 <> 0 then concat('https://api.example.org/file/', o_orderkey, '.pdf') end as pdf_url, full_text, 'augsburg' as city
+        case when o_orderkey % 4 <> 0 then concat('https://api.example.org/file/', o_orderkey, '.pdf') end as pdf_url, full_text, 'musterstadt' as city
         from orders join (select k, string_agg(m, ', ' order by i, m) as full_text from mentions group by k) x on o_orderkey = k""",
     "meetings": """select event_id as id, event_type as name, ts as start, case when event_id % 3 <> 0 then ts + interval 2 hour end as finish,
         cast(user_id % 25 as integer) as organization, value from events""",

@@ -54,8 +54,8 @@ def test_enrich_and_statistics(spark):
 
 def test_geocode_keeps_the_mention_type(spark):
     m = rows(spark, [("street", "Königsplatz"), ("address", "Königsplatz")]).withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})
-    cache = spark.createDataFrame([("Königsplatz",)], "v string").select(T.cache_key(F.col("v"), F.lit("street"), F.lit("augsburg")).alias("cache_key"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), F.lit("K").alias("display_name"), F.lit("square").alias("geo_type"))
-    got = {r["type"]: r for r in L.geocode(m, cache, F.lit("Augsburg")).collect()}
+    cache = spark.createDataFrame([("Königsplatz",)], "v string").select(T.cache_key(F.col("v"), F.lit("street"), F.lit("musterstadt")).alias("cache_key"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), F.lit("K").alias("display_name"), F.lit("square").alias("geo_type"))
+    got = {r["type"]: r for r in L.geocode(m, cache, F.lit("Musterstadt")).collect()}
     assert got["street"]["latitude"] == 1.0 and got["street"]["geo_type"] == "square" and not got["address"]["cached"]
 
 

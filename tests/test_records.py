@@ -18,12 +18,12 @@ from civicframe.streaming import ingest
 
 
 def papers(spark, rows):
-    return S.prepare(spark.createDataFrame(rows, "id string, name string, date string, modified string"), "Augsburg")
+    return S.prepare(spark.createDataFrame(rows, "id string, name string, date string, modified string"), "Musterstadt")
 
 
 def test_prepare_coerces_dates(spark):
     got = papers(spark, [("a", "x", "2024-01-15", ""), ("b", "x", "unknown", "")]).collect()
-    assert [(r["city"], r["year"], r["month"]) for r in got] == [("augsburg", 2024, 1), ("augsburg", None, None)]
+    assert [(r["city"], r["year"], r["month"]) for r in got] == [("musterstadt", 2024, 1), ("musterstadt", None, None)]
     now = S.prepare(spark.createDataFrame([("a",)], "id string"), "x", datetime(2020, 5, 1)).first()
     assert (now["year"], now["month"]) == (2020, 5)
 
@@ -36,18 +36,18 @@ def test_upsert_is_idempotent_and_moves_partitions(spark, tmp_path):
         S.upsert(batch, path)
         assert sorted((r["id"], r["name"], r["year"]) for r in S.read_all(spark, path).collect()) == [("a", "new", 2024), ("b", "keep", 2023), ("c", "far", 2020)]
     S.upsert(papers(spark, [("a", "stale", "2024-01-01", "1")]), path)
-    assert S.read_partition(spark, path, "augsburg", 2024).first()["name"] == "new"
-    plan = S.read_partition(spark, path, "augsburg", 2024)._jdf.queryExecution().executedPlan().toString()
+    assert S.read_partition(spark, path, "musterstadt", 2024).first()["name"] == "new"
+    plan = S.read_partition(spark, path, "musterstadt", 2024)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024" in plan
 
 
 def test_geojson_document(spark, tmp_path):
-    t = spark.createDataFrame([("p1", "N", "2024-01-01", "u", "A", 48.0, 10.0, "regex", "augsburg"), ("p1", "N", None, "u", "B", None, None, "regex", "augsburg"), ("p2", "N", None, "u", "A", 0.0, 10.0, None, "augsburg"), ("p3", "N", None, "u", "C", 1.0, 1.0, None, "other")], "paper_id string, paper_name string, paper_date string, pdf_url string, location_value string, latitude double, longitude double, method string, city string")
+    t = spark.createDataFrame([("p1", "N", "2024-01-01", "u", "A", 48.0, 10.0, "regex", "musterstadt"), ("p1", "N", None, "u", "B", None, None, "regex", "musterstadt"), ("p2", "N", None, "u", "A", 0.0, 10.0, None, "musterstadt"), ("p3", "N", None, "u", "C", 1.0, 1.0, None, "other")], "paper_id string, paper_name string, paper_date string, pdf_url string, location_value string, latitude double, longitude double, method string, city string")
     path = tmp_path / "x" / "g.geojson"
-    assert S.write_geojson(S.geojson_features(t, "augsburg"), str(path), "augsburg") == 2
+    assert S.write_geojson(S.geojson_features(t, "musterstadt"), str(path), "musterstadt") == 2
     doc = json.loads(path.read_text())
     assert doc["metadata"]["unique_locations"] == 1 and doc["features"][0]["geometry"]["coordinates"] == [10.0, 48.0]
-    assert S.geojson_features(t, "augsburg", compat=True).count() == 1  # there 0 counts as missing
+    assert S.geojson_features(t, "musterstadt", compat=True).count() == 1  # there 0 counts as missing
 
 
 def test_sources(spark, tmp_path):
@@ -230,13 +230,13 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     folder = tmp_path / "in"
     landing(folder, [[paper(k) for k in range(5)], [paper(k, 2) for k in range(3)], [paper(9, deleted=True)]])
     paths = ingest.Paths(str(tmp_path / "out"), str(tmp_path / "log"), str(tmp_path / "cp"))
-    ingest.start(ingest.landed(spark, str(folder), 1), paths, "Augsburg").awaitTermination()
+    ingest.start(ingest.landed(spark, str(folder), 1), paths, "Musterstadt").awaitTermination()
     once = sorted((r["id"], r["name"]) for r in spark.read.parquet(paths.papers).collect())
     latest = {f"https://x/paper/{k}": f"V{k}.{2 if k < 3 else 1}" for k in range(5)}
     assert dict(once) == latest and len(once) == 5
     assert {r["resource_id"] for r in ingest.processed(spark, paths).collect()} == set(latest)
     (folder / "new.json").write_text(json.dumps(paper(7)))
-    ingest.start(ingest.landed(spark, str(folder), 1), paths, "Augsburg").awaitTermination()
+    ingest.start(ingest.landed(spark, str(folder), 1), paths, "Musterstadt").awaitTermination()
     assert spark.read.parquet(paths.papers).count() == 6
 
 
