@@ -17,6 +17,10 @@ WORDS, PARTS, TEXTS, SHORT = 500_000, 1_200_000, 4000, 4096
 _SPLIT = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
 
 
+#: Words whose ids must be the same on the quick way.
+PROBE = "der straße élève ñandú reonthhe ÿ ß ### *** &&&.%%% _[]\\^`{|}~ !\"#$%& ()*+,-./ :;<=>?@"
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -26,7 +30,7 @@ def default_path() -> str:
 class WordTokenizer:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -36,17 +40,27 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        # parts are in lower case and single words already: the same ids come without normalising and searching for words
+        self.quick = Tokenizer.from_file(path)
+        self.quick.normalizer = None
+        self.quick.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        if self._ids(self.quick, PROBE) != self._ids(self.tokenizer, PROBE):
+            self.quick = self.tokenizer
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> list[int]:
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, parts: list[str], plain: bool) -> None:
         """plain: each part is one run of letters or of signs, whose last id ends a word."""
         width = self.dtype.itemsize
         for i in range(0, len(parts), 4000):
             some = parts[i : i + 4000]
-            got = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(got.ids, self.dtype)
+            ids = np.array(self._ids(self.quick if plain else self.tokenizer, " ".join(some)), self.dtype)
             cut = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1)) if plain else ()
             if len(cut) != len(some) + 1:
                 got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)  # with offsets
+                ids = np.array(got.ids, self.dtype)
                 begin = np.concatenate(([0], np.cumsum([len(x) + 1 for x in some])))
                 cut = np.searchsorted(np.array([a for a, _ in got.offsets]), begin)
             raw, cut = ids.tobytes(), (cut * width).tolist()

@@ -83,3 +83,8 @@ def test_repeated_rows_are_packed_each(docs, by_id, plain):
 
 def test_empty(empty):
     assert packing.pack(empty).count() == 0
+
+
+def test_the_quick_way_is_taken():
+    tok = tokens.WordTokenizer(tokens.default_path())
+    assert tok.quick is not tok.tokenizer
