@@ -145,7 +145,7 @@ def tie_break(column: str, seed: int):
     return F.xxhash64(F.col(column), F.lit(seed))
 
 
-def bound_arrow_batches(spark: SparkSession, megabytes: int = 32) -> None:
+def bound_arrow_batches(spark: SparkSession, megabytes: int = 8) -> None:
     """Before Python runs on executors: Arrow batches are cut by bytes, so that a few long texts in a batch can't exhaust
     a worker, and workers find this package where the driver has it (where it isn't installed)."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -202,7 +202,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def copies(images: DataFrame) -> DataFrame:
     """One row per image: image_id, n_corners, component_id (the smallest image_id among its copies, copies of those, and so on)."""
-    bound_arrow_batches(images.sparkSession, 8)
+    bound_arrow_batches(images.sparkSession)
     images = images.where("image_id is not null").select(F.col("image_id").cast("long").alias("id"), "width", "height", "pixels").dropDuplicates(["id"])
     same = F.when(F.col("pixels").isNotNull(), F.sha2(F.concat(F.encode(F.concat_ws("x", "width", "height"), "utf-8"), F.col("pixels")), 256))
     rows = written(images.select("id", same.alias("content")), "image-contents")
@@ -231,7 +231,7 @@ def copies(images: DataFrame) -> DataFrame:
 
 def thumbnails(vectors: DataFrame, side: int = 80) -> DataFrame:
     """Grey pictures of vectors of 64 numbers: an 8 x 8 field, drawn smoothly; others have no pixels. The tables here hold no pictures of their own."""
-    bound_arrow_batches(vectors.sparkSession, 8)
+    bound_arrow_batches(vectors.sparkSession)
     grid = _resize(8, side)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

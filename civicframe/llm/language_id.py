@@ -32,7 +32,7 @@ HASHES = 3
 TOP, PER_LANGUAGE = 6000, 5000
 #: A language contains an n-gram if its share there is at least this part of the largest share in any language.
 CONTRAST = 0.35
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 
 @lru_cache(1)

@@ -12,7 +12,7 @@ import re
 import numpy as np
 
 #: Words, parts of words and whole short texts that a worker remembers, and characters of such a text.
-WORDS, PARTS, TEXTS, SHORT = 500_000, 1_200_000, 4000, 4096
+WORDS, PARTS, TEXTS, SHORT = 400_000, 1_000_000, 4000, 4096
 #: A word of letters and then other signs (but no apostrophe), or any other, a line each.
 _SPLIT = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.M)
 
