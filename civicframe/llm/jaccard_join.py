@@ -38,7 +38,7 @@ WIDTH, CHUNK, SHORT, MOST = 1 << 21, 1 << 14, 8, 4
 #: Common tokens that are sent to executors at most.
 COMMON = 1 << 20
 #: Tokens and members of a block, about, and columns of a matrix.
-BLOCK, MEMBERS, COLUMNS = 1 << 18, 500, 4096
+BLOCK, MEMBERS, COLUMNS = 1 << 19, 1000, 4096
 #: Cost of verifying a candidate, in postings read.
 VERIFY = 20.0
 
