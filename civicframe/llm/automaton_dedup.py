@@ -93,14 +93,13 @@ def _resolver(window: int):
                 yield from repeats.windows_equal_earlier([(d, lo, n, word_symbols(raw, np.array([0, len(raw)]))[0]) for d, lo, n, raw in raws], window)
                 continue
             reference = SuffixAutomaton()
-            for k, (doc, lo, n, piece) in enumerate(group):
-                words = piece.split()
-                again = group[k - 1][:2] == (doc, lo) if k else False
-                if k and not again:
+            pieces = list(repeats.fresh_starts((d, lo, n, p.split()) for d, lo, n, p in group))
+            for k, (doc, lo, n, words) in enumerate(pieces):
+                if k:
                     found = np.array(reference.statistics(words)[window - 1 :]) >= window
                     if found.any():
                         yield from repeats.flagged(doc, lo, found[:n])
-                if k + 1 < len(group) and not again:
+                if k + 1 < len(pieces):
                     reference.add(words)
 
     return resolve

@@ -16,7 +16,7 @@ Nothing is sampled or capped: a window that starts earlier elsewhere is always f
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -213,13 +213,24 @@ def repeated_ranges(docs: DataFrame, symbols: Symbols, window: int, gram: int, p
     return found.where(~F.col("ask")).select("doc", "lo", "hi").unionByName(answers)
 
 
+def fresh_starts(group: Iterable[tuple]) -> Iterator[tuple]:
+    """The pieces of a group (as below) without the windows that an earlier piece of the same document holds too: rows that repeat a doc_id give a piece each, and may be cut by segments at other places."""
+    of, end = None, 0
+    for doc, lo, n, symbols in group:
+        skip = max(0, end - lo) if doc == of else 0
+        end = max(end, lo + n) if doc == of else lo + n
+        of = doc
+        if skip < n:
+            yield doc, lo + skip, n - skip, symbols[skip:]
+
+
 def windows_equal_earlier(group: list[tuple[int, int, int, np.ndarray]], window: int) -> Iterator[tuple[int, int, int]]:
     """For an anchor with very many contents: fingerprints of the windows at each place relative to the anchor are compared; memory in proportion to the anchor's symbols.
 
     group: (document, first window start, windows, symbols), by document and start.
     """
     seen: set[int] = set()
-    for doc, lo, n, symbols in group:
+    for doc, lo, n, symbols in fresh_starts(group):
         spans = Spans(symbols)
         start = np.arange(n)
         flags = []

@@ -101,6 +101,17 @@ def test_empty_and_repeated_rows(docs, empty, by_id):
     assert {tuple(r) for r in automaton_dedup.digest(docs.union(docs)).collect()} == once
 
 
+def test_repeated_rows_of_hot_anchors(monkeypatch):
+    """A row that repeats a doc_id doesn't mark its own windows, however many contents an anchor has; also where segments cut it elsewhere."""
+    group = [(1, 0, 4, b"abcdefg"), (1, 0, 2, b"abcde"), (1, 2, 2, b"cdefg"), (2, 5, 2, b"abcde"), (2, 5, 2, b"abcde"), (3, 0, 3, b"xbcdef"), (3, 0, 3, b"xbcdef")]
+    words = [(d, lo, n, b" ".join(bytes([c]) for c in p)) for d, lo, n, p in group]
+    for hot in (1, 1 << 20):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        monkeypatch.setattr(automaton_dedup, "HOT", hot)
+        assert set(suffix_dedup._resolver(4)(iter([group]))) == {(2, 5, 6), (3, 1, 2)}
+        assert set(automaton_dedup._resolver(4)(iter([words]))) == {(2, 5, 6), (3, 1, 2)}
+
+
 def test_long_text_in_segments(monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 50)
     x = np.random.default_rng(1).integers(0, 2**63, 400).astype(np.uint64)
