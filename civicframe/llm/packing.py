@@ -2,8 +2,8 @@
 
 Whole windows of a long document are sequences of their own; what is left of each document is packed. Documents are dealt
 into shards of bounded size, ordered by a min-hash of their token pairs (so that related documents tend to meet; ranges
-of ids split equal ones). Each shard has an inverted index with BM25 weights. The first unused document is the seed; the
-index returns its best unused neighbours, which fill the window greedily; the last one is cut where the window ends, and
+of ids split equal ones). Each shard has an inverted index with BM25 weights. The first unused document is the seed and
+all its terms are the query; the index returns its best unused neighbours, which fill the window greedily; the last one is cut where the window ends, and
 what is left of it stays unused. So all windows of a shard are full but for its last few tokens, which become sequences
 whose lengths are powers of two and need no padding.
 
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from civicframe.llm.common import bound_arrow_batches, with_id, written
 from civicframe.llm.tokens import default_path, tokenizer
 
-#: Tokens of a window, the id that closes a document, tokens of a shard, terms of a query.
-WINDOW, CLOSE, SHARD, TERMS = 2048, 1, 1_000_000, 12
+#: Tokens of a window, the id that closes a document, tokens of a shard.
+WINDOW, CLOSE, SHARD = 2048, 1, 1_000_000
 K1, B = 1.2, 0.75
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [x.split()[0] for x in PIECE.split(", ")]
@@ -89,19 +89,33 @@ class Index:
         key, tf = key[at].astype(np.int64), np.diff(np.append(at, len(key)))
         self.doc = key % len(texts)
         terms, first, df = np.unique(key // len(texts), return_index=True, return_counts=True)
-        self.first, self.df = first, df
+        self.first, self.last = first, first + df
         idf = np.log(1 + (len(texts) - df + 0.5) / (df + 0.5))
         self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.doc] / size.mean()))
-        # each document's own terms, heaviest first
-        order = np.lexsort((-self.weight, self.doc))
+        # each document's own terms, but for those that no other document has
+        shared = np.flatnonzero(np.repeat(df > 1, df))
+        order = shared[np.argsort(self.doc[shared], kind="stable")]
         of = np.repeat(np.arange(len(terms)), df)[order]
         cut = np.searchsorted(self.doc[order], np.arange(len(texts) + 1))
-        self.query = [of[a : min(a + TERMS, b)] for a, b in zip(cut, cut[1:], strict=False)]
-        self.n = len(texts)
+        self.query = [of[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        self.n = self.kept = len(texts)
+
+    def drop(self, gone: np.ndarray) -> None:
+        """Postings of documents that are used up leave the index, once they are a fifth of it; the weights stay."""
+        left = self.n - int(np.count_nonzero(gone))
+        if left > 0.8 * self.kept:
+            return
+        keep = ~gone[self.doc]
+        at = np.concatenate(([0], np.cumsum(keep)))
+        self.first, self.last, self.kept = at[self.first], at[self.last], left
+        self.doc, self.weight = self.doc[keep], self.weight[keep]
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """All documents that share a heavy term with the seed, best first; ties by place."""
-        spans = [slice(self.first[t], self.first[t] + self.df[t]) for t in self.query[seed]]
+        """All documents in the index that share a term with the seed, best first; ties by place."""
+        terms = self.query[seed]
+        spans = [slice(a, b) for a, b in zip(self.first[terms].tolist(), self.last[terms].tolist(), strict=True) if a < b]
+        if not spans:
+            return np.zeros(0, np.int64)
         score = np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
         hit = np.flatnonzero(score)
         return hit[np.argsort(-score[hit], kind="stable")]
@@ -136,6 +150,7 @@ def pack_shard(docs: list[tuple[int, int, int, np.ndarray]], window: int, number
         start = seed
         room -= fill(start)
         if room:
+            index.drop(used == size)
             for k in index.neighbours(start):
                 if used[k] < size[k]:
                     room -= fill(k)

@@ -71,6 +71,28 @@ def test_neighbours_are_lexical():
     assert sum(len(g) for g in groups.values()) <= len(groups) + 4
 
 
+def test_neighbours_by_all_terms():
+    """Every document that shares any term, in the order of the whole BM25 score, also when used documents have left the index."""
+    r = np.random.default_rng(2)
+    texts = [np.concatenate((r.integers(0, 40, 10), np.arange(1000 + 30 * i, 1020 + 30 * i))) for i in range(25)]
+    size = np.array([len(t) for t in texts])
+    sets = [set(t.tolist()) for t in texts]
+    index = packing.Index(texts)
+    gone = np.arange(25) % 3 == 1
+    index.drop(gone)
+    for seed in range(25):
+        want = {}
+        for d in np.flatnonzero(~gone).tolist():
+            for t in sets[seed] & sets[d]:
+                df, tf = sum(t in s for s in sets), int((texts[d] == t).sum())
+                want[d] = want.get(d, 0) + np.log(1 + (25 - df + 0.5) / (df + 0.5)) * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * size[d] / size.mean()))
+        want.pop(seed, None)
+        got = [d for d in index.neighbours(seed).tolist() if d != seed]
+        assert set(got) == set(want)
+        scores = [want[d] for d in got]
+        assert all(a >= b - 1e-9 for a, b in zip(scores, scores[1:], strict=False))
+
+
 def test_repeated_rows_are_packed_each(docs, by_id, plain):
     rows = packing.pack(docs.union(docs)).collect()
     lengths = {}
