@@ -214,8 +214,8 @@ def copies(images: DataFrame) -> DataFrame:
     sizes = members.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     members = written(members.join(sizes, "token"), "image-lists")
     other = members.where(F.col("size") <= SHORT)
-    pairs = other.alias("x").join(other.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id"))).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("shared"))
-    pairs = written(pairs.where("shared > 1").select("a", "b"), "image-pairs")
+    pairs = other.alias("x").join(other.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    pairs = written(pairs, "image-pairs")
     long = members.where(F.col("size") > SHORT).select("token", "id")
     long = written(long, "image-long")
 

@@ -38,6 +38,22 @@ def test_crops_edits_and_turns_are_found(spark):
     assert sum(found) >= 0.95 * len(found)
 
 
+def test_one_shared_key_is_enough(spark):
+    """Noisy copies that share a single key with the picture, and pass verification, are linked."""
+    out, want = [], {}
+    for s, sigma in ((1, 16), (4, 16), (5, 12), (11, 12), (20, 12)):
+        p = picture(s)
+        q = np.clip(p + np.random.default_rng(s).normal(0, sigma, p.shape), 0, 255).astype(np.uint8)
+        (_, a, x), (_, b, y) = image_copies.describe(p[None]), image_copies.describe(q[None])
+        a, b = a.astype(np.float32), b.astype(np.float32)
+        assert len(np.intersect1d(image_copies.tokens_of(a, x), image_copies.tokens_of(b, y))) == 1
+        assert image_copies.agree(a, x, b, y) >= image_copies.AGREE
+        out += [(10 * s, p), (10 * s + 1, q)]
+        want |= {10 * s: 10 * s, 10 * s + 1: 10 * s}
+    df = spark.createDataFrame(rows_of(out), "image_id long, width int, height int, pixels binary")
+    assert {x["image_id"]: x["component_id"] for x in image_copies.copies(df).collect()} == want
+
+
 def test_ill_sized_and_empty(spark):
     schema = "image_id long, width int, height int, pixels binary"
     bad = spark.createDataFrame([(1, 5, 5, b"abc"), (2, None, 3, b"abc"), (3, -1, -3, b"abc"), (None, 1, 1, b"a")], schema)
