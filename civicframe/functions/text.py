@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def matches(text: Column, pattern: str, group: int = 1) -> Column:
     """All matches of a group, without white space at their ends."""
     return F.transform(F.regexp_extract_all(text, F.lit(X.FLAGS + pattern), F.lit(group)), lambda m: F.trim(m))
 
 
+def hits(text: Column, pattern: str) -> Column:
+    """All matches as they stand: one pass of the pattern, whose groups ``group`` then takes from the short matches."""
+    return F.regexp_extract_all(text, F.lit(X.FLAGS + pattern), F.lit(0))
+
+
+def group(hit: Column, pattern: str, number: int = 1) -> Column:
+    """A group of a match of a pattern without look-around, trimmed: the same as in the whole text."""
+    return F.trim(F.regexp_extract(hit, X.FLAGS + pattern, number))
+
+
 def bplans(text: Column, wide: bool = False) -> Column:
     return matches(text, X.BPLAN_WIDE if wide else X.BPLAN)
 
@@ -23,13 +40,17 @@ def parcels(text: Column, wide: bool = False) -> Column:
 
 def addresses(text: Column) -> Column:
     """array<struct<street, number>>"""
-    return F.arrays_zip(matches(text, X.ADDRESS, 1).alias("street"), matches(text, X.ADDRESS, 2).alias("number"))
+    return F.transform(hits(text, X.ADDRESS), lambda h: F.struct(group(h, X.ADDRESS, 1).alias("street"), group(h, X.ADDRESS, 2).alias("number")))
+
+
+def _free_streets(text: Column, taken: Column) -> Column:
+    first = F.transform(taken, lambda a: F.lower(F.split_part(a["street"], F.lit(" "), F.lit(1))))
+    return let(first, lambda words: F.filter(matches(text, X.STREET), lambda s: ~F.array_contains(words, F.lower(s))))
 
 
 def streets(text: Column) -> Column:
     """Street names that aren't the first word of an address in the text."""
-    taken = F.transform(matches(text, X.ADDRESS, 1), lambda s: F.lower(F.split_part(s, F.lit(" "), F.lit(1))))
-    return F.filter(matches(text, X.STREET), lambda s: ~F.array_contains(taken, F.lower(s)))
+    return _free_streets(text, addresses(text))
 
 
 def districts(text: Column) -> Column:
@@ -39,22 +60,20 @@ def districts(text: Column) -> Column:
 def mentions(text: Column, wide: bool = False, with_districts: bool = False) -> Column:
     """array<struct<type, value, context>> in order of extraction: plans, parcels, addresses, streets (, districts)."""
 
-    def found(kind: str, values: Column, contexts: Column | None = None) -> Column:
+    def found(kind: str, values: Column, value: Callable[[Column], Column], context: Callable[[Column], Column] | None = None) -> Column:
         none = F.lit(None).cast("string")
-        if contexts is None:
-            return F.transform(values, lambda v: F.struct(F.lit(kind).alias("type"), v.alias("value"), none.alias("context")))
-        return F.zip_with(values, contexts, lambda v, c: F.struct(F.lit(kind).alias("type"), v.alias("value"), c.alias("context")))
+        one = lambda v: F.struct(F.lit(kind).alias("type"), value(v).alias("value"), (none if context is None else context(v)).alias("context"))
+        return F.transform(values, one)
 
+    itself = lambda v: v
     text = F.coalesce(text, F.lit(""))
     plan, parcel = (X.BPLAN_WIDE, X.PARCEL_WIDE) if wide else (X.BPLAN, X.PARCEL)
-    parts = [
-        found("bplan", matches(text, plan), F.regexp_extract_all(text, F.lit(X.FLAGS + plan), F.lit(0))),
-        found("flurnummer", matches(text, parcel), F.regexp_extract_all(text, F.lit(X.FLAGS + parcel), F.lit(0))),
-        found("address", F.transform(addresses(text), lambda a: F.concat_ws(" ", a["street"], a["number"]))),
-        found("street", streets(text)),
-    ]
+    numbered = [found(kind, hits(text, p), lambda h, p=p: group(h, p), itself) for kind, p in (("bplan", plan), ("flurnummer", parcel))]
+    address = lambda a: F.concat_ws(" ", a["street"], a["number"])
+    placed = let(addresses(text), lambda taken: F.concat(found("address", taken, address), found("street", _free_streets(text, taken), itself)))
+    parts = [*numbered, placed]
     if with_districts:
-        parts.append(found("district", districts(text)))
+        parts.append(found("district", districts(text), itself))
     return F.concat(*parts)
 
 

@@ -2,37 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from civicframe.functions import fixed as X
 from civicframe.functions import text as T
+from civicframe.operators.storage import scratch
 
 BASE = "https://records.example.org/"
 TRIPLE = ["s", "p", "o", "kind", "datatype", "lang"]
 
 
-def uri(s: Column, p: str, o: Column) -> Column:
-    return _triple(s, p, o, "uri", None, None)
+def uri(s: Column, p: str, o: Column) -> tuple[str, Column]:
+    return p, _triple(s, p, o, "uri", None, None)
 
 
-def literal(s: Column, p: str, o: Column, datatype: str | None = None, lang: str | None = None) -> Column:
-    return _triple(s, p, o.cast("string"), "literal", datatype, lang)
+def literal(s: Column, p: str, o: Column, datatype: str | None = None, lang: str | None = None) -> tuple[str, Column]:
+    return p, _triple(s, p, o.cast("string"), "literal", datatype, lang)
 
 
 def _triple(s: Column, p: str, o: Column, kind: str, datatype: str | None, lang: str | None) -> Column:
     text = lambda v: F.lit(v).cast("string")
-    return F.when((s.isNotNull()) & o.isNotNull() & (o != ""), F.struct(s.alias("s"), text(p).alias("p"), o.alias("o"), text(kind).alias("kind"), text(datatype).alias("datatype"), text(lang).alias("lang")))
+    whole = F.struct(s.alias("s"), text(p).alias("p"), o.alias("o"), text(kind).alias("kind"), text(datatype).alias("datatype"), text(lang).alias("lang"))
+    return F.when((s.isNotNull()) & o.isNotNull() & (o != ""), whole)
 
 
-def _exploded(df: DataFrame, triples: list[Column]) -> DataFrame:
-    """The triples that have all parts, each once (a graph is a set)."""
-    return df.select(F.explode(F.filter(F.array(*triples), lambda t: t.isNotNull())).alias("t")).select("t.*").dropDuplicates()
+def _exploded(df: DataFrame, triples: list[tuple[str, Column]], only: Collection[str] | None = None) -> DataFrame:
+    """The triples (of the wanted predicates) that have all parts, each once (a graph is a set)."""
+    wanted = [t for p, t in triples if only is None or p in only]
+    if not wanted:
+        return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in TRIPLE))
+    return df.select(F.explode(F.filter(F.array(*wanted), lambda t: t.isNotNull())).alias("t")).select("t.*").dropDuplicates()
 
 
-def paper_triples(papers: DataFrame) -> DataFrame:
+def paper_triples(papers: DataFrame, only: Collection[str] | None = None) -> DataFrame:
+    """``only``: build just the triples of these predicates; columns that none of them needs aren't read."""
     s, c = F.col("id"), papers.columns
     stamp = lambda n: F.date_format(F.col(n).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
     out = [uri(s, X.RDF_TYPE, F.lit(X.OPARL + "Paper"))]
@@ -49,21 +57,25 @@ def paper_triples(papers: DataFrame) -> DataFrame:
     if "pdf_url" in c:
         out.append(uri(s, X.TERMS + "hasFormat", F.col("pdf_url")))
     out += [literal(s, X.TERMS + n, stamp(n), X.XSD + "dateTime") for n in ("created", "modified") if n in c]
-    return _exploded(papers, out)
+    return _exploded(papers, out, only)
 
 
-def location_triples(table: DataFrame, digits: int | None = None) -> DataFrame:
+def location_triples(table: DataFrame, digits: int | None = None, only: Collection[str] | None = None) -> DataFrame:
     """Of the locations table: relation, feature, label, type, point, coordinates, names, method, document."""
     paper = F.col("paper_id")
     s = F.concat(F.lit(BASE + "location/"), T.graph_location_id(paper, F.col("location_type"), F.col("location_value")))
     number = (lambda c: F.col(c).cast("string")) if digits is None else (lambda c: F.format_string(f"%.{digits}f", F.col(c)))
     both = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    point = T.wkt(F.col("latitude"), F.col("longitude"), digits=digits)
     return _exploded(table, [
-        uri(paper, X.OPARL + "relatesToLocation", s), uri(s, X.RDF_TYPE, F.lit(X.GEO + "Feature")), literal(s, X.LABEL, F.col("location_value"), lang="de"), literal(s, X.OPARL + "locationType", F.col("location_type")),
-        literal(s, X.GEO + "hasGeometry", F.when(both, T.wkt(F.col("latitude"), F.col("longitude"), digits=digits)), X.GEO + "wktLiteral"),
-        literal(s, X.GEO + "lat", F.when(both, number("latitude")), X.XSD + "double"), literal(s, X.GEO + "long", F.when(both, number("longitude")), X.XSD + "double"),
-        literal(s, X.OPARL + "displayName", F.col("display_name")), literal(s, X.OPARL + "extractionMethod", F.col("method")), uri(s, X.OPARL + "sourceDocument", F.col("pdf_url")),
-    ])
+        uri(paper, X.OPARL + "relatesToLocation", s), uri(s, X.RDF_TYPE, F.lit(X.GEO + "Feature")),
+        literal(s, X.LABEL, F.col("location_value"), lang="de"), literal(s, X.OPARL + "locationType", F.col("location_type")),
+        literal(s, X.GEO + "hasGeometry", F.when(both, point), X.GEO + "wktLiteral"),
+        literal(s, X.GEO + "lat", F.when(both, number("latitude")), X.XSD + "double"),
+        literal(s, X.GEO + "long", F.when(both, number("longitude")), X.XSD + "double"),
+        literal(s, X.OPARL + "displayName", F.col("display_name")), literal(s, X.OPARL + "extractionMethod", F.col("method")),
+        uri(s, X.OPARL + "sourceDocument", F.col("pdf_url")),
+    ], only)
 
 
 def relation_triples(relations: DataFrame, digits: int | None = None) -> DataFrame:
@@ -100,6 +112,14 @@ def write_ntriples(triples: DataFrame, path: str, append: bool = False) -> None:
     ntriples_lines(triples).write.mode("append" if append else "overwrite").text(path)
 
 
+def stored(triples: DataFrame) -> DataFrame:
+    """Written once, a folder for each predicate, and read again: each pattern of a query then reads its own folder."""
+    path = scratch(triples.sparkSession)
+    triples.write.partitionBy("p").parquet(path)
+    schema = StructType([*[f for f in triples.schema if f.name != "p"], triples.schema["p"]])
+    return triples.sparkSession.read.schema(schema).parquet(path).select(*TRIPLE)
+
+
 def bgp(triples: DataFrame, patterns: list[tuple[str, str, str]], optional: list[tuple[str, str, str]] = (), langs: dict[str, str] | None = None) -> DataFrame:
     """Solutions of a basic graph pattern: one join per pattern, which Catalyst orders.
 

@@ -5,13 +5,12 @@ A paper's mentions stay one array until they meet a table, so dedup and validity
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
 from civicframe.functions import text as T
+from civicframe.functions.text import let
 
 #: Largest gazetteer (names) that is broadcast without asking Spark's statistics.
 SMALL_GAZETTEER = 100_000
@@ -22,11 +21,6 @@ def small(gazetteer: DataFrame, rows: int = SMALL_GAZETTEER) -> DataFrame:
     return F.broadcast(gazetteer) if gazetteer.limit(rows + 1).count() <= rows else gazetteer
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def first_wins(mentions: Column) -> Column:
     """Drops later mentions of the same type and (lower-cased) text."""
     key = lambda m: F.concat_ws("\x00", m["type"], F.lower(m["value"]))
@@ -78,6 +72,13 @@ def cap(mentions: DataFrame, key: str, most: int = X.CAP) -> DataFrame:
     return m.where((F.col("all_") <= most) | (F.col("nth_") == 1) & (F.col("place_") <= most)).drop("all_", "nth_", "place_")
 
 
+def capped(locations: Column, most: int = X.CAP) -> Column:
+    """The same as ``cap`` for one paper's array of locations, in their order."""
+    keys = F.transform(locations, lambda m: F.lower(m["value"]))
+    firsts = let(keys, lambda ks: F.filter(locations, lambda m, i: F.array_position(ks, F.get(ks, i)) == i + 1))
+    return F.when(F.size(locations) <= most, locations).otherwise(F.slice(firsts, 1, most))
+
+
 def with_coordinates(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Adds latitude, longitude and geo_precision from the gazetteer, by the street part of the text."""
     g = small(gazetteer.select(F.lower("name").alias("name_"), F.col("lat").alias("latitude"), F.col("lon").alias("longitude")))
@@ -100,10 +101,9 @@ def extract(papers: DataFrame, *keep: str, text: str = "full_text", compat: bool
 
 def enrich(papers: DataFrame, gazetteer: DataFrame, key: str = "key") -> DataFrame:
     """Papers with ``locations`` (array of structs, in order) and ``location_count``."""
-    m = cap(firewall(extract(papers, key), gazetteer), key)
-    m = with_coordinates(m, gazetteer)
+    m = with_coordinates(firewall(extract(papers, key), gazetteer), gazetteer)
     loc = F.struct("pos", "type", "value", "context", "latitude", "longitude")
-    nested = m.groupBy(key).agg(F.array_sort(F.collect_list(loc)).alias("locations"))
+    nested = m.groupBy(key).agg(F.array_sort(F.collect_list(loc)).alias("locations")).withColumn("locations", capped(F.col("locations")))
     none = F.array().cast("array<struct<pos:int,type:string,value:string,context:string,latitude:double,longitude:double>>")
     return papers.join(nested, key, "left").withColumn("locations", F.coalesce("locations", none)).withColumn("location_count", F.size("locations"))
 

@@ -16,8 +16,13 @@ from civicframe.functions import time as D
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared one (spark.checkpoint.dir), or below a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="civicframe-")
+    """A fresh folder below the cluster's shared one (spark.checkpoint.dir). A local session without one gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="civicframe-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

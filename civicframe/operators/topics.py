@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
+from civicframe.functions.text import let
 
 
 def topic_text(name: Column, text: Column) -> Column:
@@ -17,12 +18,17 @@ def topic_text(name: Column, text: Column) -> Column:
 
 def scores(text: Column, topics: dict[str, tuple[str, ...]] | None = None, threshold: float = X.TOPIC_THRESHOLD) -> Column:
     """array<struct<category, confidence>>: share of a topic's words in the text, best first, ties in order of the topics."""
-    low = F.lower(text)
-    found = []
-    for place, (topic, words) in enumerate((topics or X.TOPICS).items()):
-        hits = sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0))
-        found.append(F.struct((-hits / float(len(words))).alias("minus"), F.lit(place).alias("place"), F.lit(topic).alias("category")))
-    best = F.array_sort(F.filter(F.array(*found), lambda s: -s["minus"] >= threshold))
+    topics = topics or X.TOPICS
+
+    def all_of(low: Column) -> Column:
+        found = []
+        for place, (topic, words) in enumerate(topics.items()):
+            hits = sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0))
+            found.append(F.struct((-hits / float(len(words))).alias("minus"), F.lit(place).alias("place"), F.lit(topic).alias("category")))
+        return F.array(*found)
+
+    # the lower-cased text is bound once: it would be computed for every word
+    best = F.array_sort(F.filter(let(F.lower(text), all_of), lambda s: -s["minus"] >= threshold))
     return F.transform(best, lambda s: F.struct(s["category"].alias("category"), (-s["minus"]).alias("confidence")))
 
 

@@ -32,19 +32,19 @@ _PLACES = " union ".join([
     _t("s_", X.GEO + "lat", "printf('%.3f', latitude)", "latitude is not null", "ln", datatype=X.XSD + "double"), _t("s_", X.GEO + "long", "printf('%.3f', longitude)", "latitude is not null", "ln", datatype=X.XSD + "double"),
     _t("s_", X.OPARL + "extractionMethod", "method", "true", "ln"), _t("s_", X.OPARL + "sourceDocument", "pdf_url", "pdf_url <> ''", "ln", "uri"),
 ])
-_BOTH = f"pt as ({_PAPER}), {_NODES}, pl as ({_PLACES}), t as (select * from pt union select * from pl)"
 
 
-def _papers(spark, d):
-    return G.paper_triples(V.papers(spark, d))
+def _papers(spark, d, *only):
+    return G.paper_triples(V.papers(spark, d), only or None)
 
 
-def _places(spark, d):
-    return G.location_triples(_table(spark, d), digits=3)
+def _places(spark, d, *only):
+    return G.location_triples(_table(spark, d), digits=3, only=only or None)
 
 
-def _all(spark, d):
-    return _papers(spark, d).unionByName(_places(spark, d))
+def _all(spark, d, *only):
+    """The graph's triples of some predicates, built once."""
+    return G.stored(_papers(spark, d, *only).unionByName(_places(spark, d, *only)))
 
 
 @query(V.sql(f"pt as ({_PAPER}) select * from pt", "papers"))
@@ -90,10 +90,11 @@ def ntriples_parse(spark, d):
     return R.parse_ntriples(G.ntriples_lines(_papers(spark, d)), "value")
 
 
-@query(V.sql("select id as paper, name as title, cast(date as varchar) as date from papers order by date desc, id limit 20", "papers"))
+@query(V.sql("select id as paper, name as title, cast(date as varchar) as date from papers order by date desc, id", "papers"))
 def bgp_paper_title_date(spark, d):
-    b = G.bgp(_papers(spark, d), [("?paper", X.RDF_TYPE, X.OPARL + "Paper"), ("?paper", X.TERMS + "title", "?title"), ("?paper", X.TERMS + "date", "?date")])
-    return b.orderBy(F.desc("date"), "paper").limit(20)
+    t = G.stored(_papers(spark, d, X.RDF_TYPE, X.TERMS + "title", X.TERMS + "date"))
+    b = G.bgp(t, [("?paper", X.RDF_TYPE, X.OPARL + "Paper"), ("?paper", X.TERMS + "title", "?title"), ("?paper", X.TERMS + "date", "?date")])
+    return b.orderBy(F.desc("date"), "paper")
 
 
 @query(V.sql("select count(*) as n from papers", "papers"))
@@ -101,14 +102,24 @@ def bgp_count_papers(spark, d):
     return G.bgp(_papers(spark, d), [("?paper", X.RDF_TYPE, X.OPARL + "Paper")]).agg(F.count("*").alias("n"))
 
 
-@query(V.sql(_TABLE + f", {_BOTH} select a.s as place, a.o as label, b.o as lat, c.o as long from t a join t b on a.s = b.s join t c on a.s = c.s where a.p = '{X.LABEL}' and b.p = '{X.GEO}lat' and c.p = '{X.GEO}long'", "papers", "gazetteer"))
+def _solved(select: str, *predicates: str) -> str:
+    """SQL of a pattern over the graph: the triples of each predicate once, as tables a, b, c."""
+    parts = [f"{n} as materialized (select distinct s, o from t where p = '{p}')" for n, p in zip("abc", predicates, strict=True)]
+    wanted = ", ".join(f"'{p}'" for p in predicates)
+    graph = f"{_NODES}, t as materialized (select * from ({_PAPER}) where p in ({wanted}) union all select * from ({_PLACES}) where p in ({wanted}))"
+    return V.sql(_TABLE.replace("geo as (", "geo as materialized (").replace("lt as (", "lt as materialized (") + f", {graph}, {', '.join(parts)} {select}", "papers", "gazetteer")
+
+
+@query(_solved("select a.s as place, a.o as label, b.o as lat, c.o as long from a join b on a.s = b.s join c on a.s = c.s", X.LABEL, X.GEO + "lat", X.GEO + "long"))
 def bgp_locations_coords(spark, d):
-    return G.bgp(_all(spark, d), [("?place", X.RDF_TYPE, X.GEO + "Feature"), ("?place", X.LABEL, "?label"), ("?place", X.GEO + "lat", "?lat"), ("?place", X.GEO + "long", "?long")])
+    t = _all(spark, d, X.RDF_TYPE, X.LABEL, X.GEO + "lat", X.GEO + "long")
+    return G.bgp(t, [("?place", X.RDF_TYPE, X.GEO + "Feature"), ("?place", X.LABEL, "?label"), ("?place", X.GEO + "lat", "?lat"), ("?place", X.GEO + "long", "?long")])
 
 
-@query(V.sql(_TABLE + f", {_BOTH} select a.s as paper, a.o as place, b.o as title, c.o as pdf from t a join t b on a.s = b.s join t c on a.o = c.s where a.p = '{X.OPARL}relatesToLocation' and b.p = '{X.TERMS}title' and c.p = '{X.OPARL}sourceDocument'", "papers", "gazetteer"))
+@query(_solved("select a.s as paper, a.o as place, b.o as title, c.o as pdf from a join b on a.s = b.s join c on a.o = c.s", X.OPARL + "relatesToLocation", X.TERMS + "title", X.OPARL + "sourceDocument"))
 def bgp_location_pdf(spark, d):
-    return G.bgp(_all(spark, d), [("?paper", X.OPARL + "relatesToLocation", "?place"), ("?paper", X.TERMS + "title", "?title"), ("?place", X.OPARL + "sourceDocument", "?pdf")])
+    t = _all(spark, d, X.OPARL + "relatesToLocation", X.TERMS + "title", X.OPARL + "sourceDocument")
+    return G.bgp(t, [("?paper", X.OPARL + "relatesToLocation", "?place"), ("?paper", X.TERMS + "title", "?title"), ("?place", X.OPARL + "sourceDocument", "?pdf")])
 
 
 @query(V.sql("select id as paper, name as label, reference as number, pdf_url as pdf from papers", "papers"))

@@ -133,13 +133,13 @@ def gazetteer_prefix_join(spark, d):
     return L.prefix_join(p, V.gazetteer(spark, d), F.col("look")).select("k", "look")
 
 
-@query(V.sql(_RAW + ", c as (select l_suppkey as key, pos, m as value, count(*) over (partition by l_suppkey) as n, row_number() over (partition by l_suppkey, lower(m) order by pos) as nth from (select l_suppkey, m, row_number() over (partition by l_suppkey order by k, i, m) as pos from (select l_suppkey, k, i, m from lineitem join mentions on k = l_orderkey and i = l_linenumber where l_suppkey % 5 = 0 group by all) x) y), r as (select *, sum(case when nth = 1 then 1 else 0 end) over (partition by key order by pos) as place from c) select key, cast(pos as integer) as pos, value from r where n <= 50 or nth = 1 and place <= 50", "papers"))
+@query(V.sql(_RAW + ", c as (select l_suppkey as key, pos, m as value, count(*) over (partition by l_suppkey) as n, row_number() over (partition by l_suppkey, lower(m) order by pos) as nth from (select l_suppkey, m, row_number() over (partition by l_suppkey order by k, i, m) as pos from (select l_suppkey, k, i, m from lineitem join mentions on k = l_orderkey and i = l_linenumber group by all) x) y), r as (select *, sum(case when nth = 1 then 1 else 0 end) over (partition by key order by pos) as place from c) select key, cast(pos as integer) as pos, value from r where n <= 50 or nth = 1 and place <= 50", "papers"))
 def cap_locations(spark, d):
     """Mentions by supplier, since papers have fewer than the cap."""
     from pyspark.sql import Window
 
     m = V.mentions(spark, d).distinct()
-    li = V.table(spark, d, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i")).where("l_suppkey % 5 = 0").distinct()
+    li = V.table(spark, d, "lineitem").select("l_suppkey", F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i")).distinct()
     m = li.join(m, ["k", "i"]).withColumn("pos", F.row_number().over(Window.partitionBy("l_suppkey").orderBy("k", "i", "m")))
     return L.cap(m.select(F.col("l_suppkey").alias("key"), "pos", F.col("m").alias("value")), "key")
 

@@ -76,3 +76,33 @@ def test_fuzzy_blocks_lose_nothing(spark):
         if -score >= 85:
             want[a] = (street, -score)
     assert got == want and len(got) >= 4
+
+
+def test_capped_array_is_the_cap(spark):
+    values = [[f"S{i % 60}" for i in range(130)], ["A", "a", "B"], ["A"] * 70, []]
+    df = spark.createDataFrame([(k, [(i, v) for i, v in enumerate(vs)]) for k, vs in enumerate(values)], "key int, locations array<struct<pos:int,value:string>>")
+    got = {r["key"]: [x["pos"] for x in r["c"]] for r in df.select("key", L.capped(F.col("locations")).alias("c")).collect()}
+    table = df.select("key", F.explode("locations").alias("l")).select("key", "l.*")
+    want = {k: [] for k in range(4)}
+    for r in L.cap(table, "key").orderBy("key", "pos").collect():
+        want[r["key"]].append(r["pos"])
+    assert got == want
+
+
+def test_fuzzy_is_exhaustive(spark):
+    """Blocks lose no pair: against all pairs, with repeated words, umlauts, short and empty names."""
+    import random
+
+    r = random.Random(3)
+    parts = ["Gase", "Gasse", "Lange", "Kurze", "Straße", "Strase", "am", "Alter", "Alte", "Markt", "Markte", "ö", "Weg", "Wegg"]
+    names = sorted({" ".join(r.choice(parts) for _ in range(r.randrange(1, 4))) for _ in range(60)} | {"Gasse", "A"})
+    some = names + ["Gase Gase", "", "  ", "-", "Lange  Lange-Gasse", "Gsase", "A", "B"]
+    some += ["".join(c for c in n if r.random() > 0.1) for n in names]
+    want = {}
+    for c in set(some):
+        best = min(((-fuzzy.token_set_ratio(c, n), n) for n in names), default=None)
+        if best and -best[0] >= 85:
+            want[c] = (best[1], -best[0])
+    got = fuzzy.best_matches(spark.createDataFrame([(c,) for c in some] + [(None,)], "candidate string"), spark.createDataFrame([(n,) for n in names] + [(None,)], "name string"))
+    assert {r["candidate"]: (r["street"], r["score"]) for r in got.collect()} == want
+    assert want["Gase Gase"] == ("Gasse", 89) or want["Gase Gase"][1] == 100
