@@ -166,3 +166,38 @@ def test_top_k_of_few_rows(spark):
     assert vector_topk.top_k(spark.createDataFrame([(50, [1.0])], schema)).count() == 0
     got = vector_topk.top_k(spark.createDataFrame([(50, [-1.0]), (51, [1.0]), (52, [0.001])], schema)).collect()
     assert [tuple(r) for r in got] == [(50, 1, 52, 0), (50, 2, 51, -65536)]
+
+
+def test_top_k_of_repeated_ids_and_clashing_columns(spark):
+    """Each row that repeats a query's id has ranks of its own; columns with names used inside don't matter."""
+    df = spark.createDataFrame([(50, [1.0], 1, 7, "a"), (50, [-1.0], 2, 8, "b"), (51, [1.0], 3, 9, "c"), (52, [2.0], 4, 9, "d"), (53, [2.0], 4, 9, "d")], "vec_id long, embedding array<double>, id int, block int, part string")
+    got = sorted(tuple(r) for r in vector_topk.top_k(df).collect())
+    assert got == sorted([(50, 1, 52, 131072), (50, 2, 53, 131072), (50, 3, 51, 65536), (50, 1, 51, -65536), (50, 2, 52, -131072), (50, 3, 53, -131072)])
+    twice = spark.createDataFrame([(50, [1.0]), (50, [1.0]), (51, [1.0]), (51, [1.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in vector_topk.top_k(twice).collect()) == sorted([(50, 1, 51, 65536), (50, 2, 51, 65536)] * 2)
+
+
+def test_top_k_of_huge_components(spark):
+    """No finite component is too large: ranks are exact, a score beyond a long shows as the nearest long."""
+    import math
+    from fractions import Fraction
+
+    v = {50: [1.0, 2.0], 51: [1.0, 1.0], 52: [2.0**21, 1.0], 53: [2.0**70, -1.0], 54: [2.0**70 + 2.0**20, -1.0], 55: [-1e300, 0.0], 56: [1.7e308, 1.0], 57: [0.1, 2.0**40], 100: [-(2.0**45), 3.5]}
+    q = {i: [math.floor(Fraction(c) * 256) for c in x] for i, x in v.items()}
+    want = []
+    for i in (50, 100):
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in q if j != i)[:5]
+        want += [(i, k + 1, j, min(max(-s, -(2**63)), 2**63 - 1)) for k, (s, j) in enumerate(best)]
+    got = [tuple(r) for r in vector_topk.top_k(spark.createDataFrame(list(v.items()), "vec_id long, embedding array<double>")).collect()]
+    assert sorted(got) == sorted(want)
+    some = [0, 1, -1, 255, 256, -255, -256, 2**63, -(2**63), 2**200, -(2**200), 7, -7, 65535, -65536]
+    assert sorted(some) == sorted(some, key=vector_topk.sort_key)
+
+
+def test_top_k_of_long_vectors(spark):
+    r = np.random.default_rng(5)
+    v = {i: r.normal(0, 1, 1000 if i % 7 == 0 else 3).tolist() for i in range(1, 120)}
+    q = {i: np.pad(np.floor(256 * np.array(x)).astype(int), (0, 1000 - len(x))) for i, x in v.items()}
+    want = [(i, k + 1, j, -s) for i in (50, 100) for k, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in q if j != i)[:5])]
+    got = [tuple(x) for x in vector_topk.top_k(spark.createDataFrame(list(v.items()), "vec_id long, embedding array<double>"), block_rows=40).collect()]
+    assert sorted(got) == sorted(want)
