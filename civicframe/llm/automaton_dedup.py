@@ -1,13 +1,15 @@
 """Substring dedup on words with suffix automata: words covered by a window that also starts earlier are removed.
 
-Where the contents of an anchor differ (see ``repeats``), the earlier contents of the anchor are the reference: a suffix
-automaton over their words, through which the next content is streamed. Its matching statistics (the longest suffix of
-what was read that occurs in the reference) show the windows that occur there; then the content is added. Reference
-shards are dealt by anchor instead of being broadcast, since here the reference is the corpus itself, which has no size
-bound; each shard meets just the words that can match it.
-
-Defined cases: a null text has no words; rows that repeat a doc_id with its text are one document with a row each; an empty
-table gives an empty result. Words keep their case; the kept words are joined by one space.
+The reference is what the corpus may repeat, in shards by key (see ``repeats``): a suffix automaton over the words of a
+key's earlier contents, through which the next content is streamed. Its matching statistics (the longest suffix of what
+was read that occurs in the reference) show the windows that occur there; then the content is added. Reference shards are
+dealt by key instead of being broadcast, since here the reference is the corpus itself, which has no size bound; each
+shard meets just the words that can match it.
+
+Defined cases: a null text has no words; rows that repeat a doc_id with its text are one document with a row each; a
+doc_id with several texts stands for as many documents (in the order of their hashes); a very long text is read in
+segments and is never cut; an empty table gives an empty result; other columns are ignored. Words keep their case; the
+kept words are joined by one space.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import DataFrame
 from civicframe.llm import repeats
 from civicframe.llm.common import BYTES, Spans, words_of
 
-#: Words of a window and of an anchor; contents of an anchor beyond which fingerprints are compared.
-WINDOW, GRAM, HOT = 20, 8, 3000
+#: Words of a window and of an anchor; windows of a hot anchor's range.
+WINDOW, GRAM, STEP = 20, 8, 2
 
 
 def word_symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,42 +87,33 @@ class SuffixAutomaton:
         return out
 
 
-def _resolver(window: int):
-    def resolve(anchors: Iterator[list[tuple]]) -> Iterator[tuple[int, int, int]]:
-        for group in anchors:
-            if len(group) > HOT:
-                raws = ((d, lo, n, np.frombuffer(p, np.uint8)) for d, lo, n, p in group)
-                yield from repeats.windows_equal_earlier([(d, lo, n, word_symbols(raw, np.array([0, len(raw)]))[0]) for d, lo, n, raw in raws], window)
-                continue
+def _resolver(window: int) -> repeats.Resolver:
+    def resolve(keys: Iterator[list[repeats.Piece]]) -> Iterator[repeats.Found]:
+        for group in keys:
             reference = SuffixAutomaton()
-            pieces = list(repeats.fresh_starts((d, lo, n, p.split()) for d, lo, n, p in group))
-            for k, (doc, lo, n, words) in enumerate(pieces):
+            for k, piece in enumerate(group):
+                words = piece.raw.split()
                 if k:
                     found = np.array(reference.statistics(words)[window - 1 :]) >= window
                     if found.any():
-                        yield from repeats.flagged(doc, lo, found[:n])
-                if k + 1 < len(pieces):
+                        yield from repeats.flagged(piece, found)
+                if k + 1 < len(group):
                     reference.add(words)
 
     return resolve
 
 
-def dedup_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def dedup_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, step: int = STEP, **bounds: int) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (text), kept_sha256."""
 
-    def piece(raw: bytes, ranges: list[tuple[int, int]]) -> list[bytes]:
-        data = np.frombuffer(raw, np.uint8)
-        starts, ends, _ = words_of(data, np.array([0, len(data)]))
-        return [raw[starts[lo] : ends[hi + window - 1]] if hi + window <= len(starts) else b"" for lo, hi in ranges]
-
-    def cut(raw: bytes, lows: list[int] | None, highs: list[int] | None) -> tuple:
+    def cut(raw: bytes, lows: np.ndarray | None, highs: np.ndarray | None) -> tuple:
         words = raw.split()
         gone = repeats.covered(len(words), lows, highs, window)
         kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
         return len(words), int(gone.sum()), kept.decode(), hashlib.sha256(kept).hexdigest()
 
-    ranges = repeats.repeated_ranges(docs, word_symbols, window, gram, piece, _resolver(window))
-    return repeats.remove(docs, ranges, cut, "n_words long,n_removed long,kept string,kept_sha256 string")
+    kind = repeats.Kind(word_symbols, words_of, window, gram, step, **bounds)
+    return repeats.remove(docs, kind, _resolver(window), cut, "n_words long,n_removed long,kept string,kept_sha256 string")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +23,20 @@ from pyspark.sql import functions as F
 #: Most rows that a size-checked broadcast sends: ids of 8 bytes and a few numbers, some tens of MB at the very most.
 BROADCAST_ROWS = 500_000
 
+#: Counters of a row of a table of counters.
+CHUNK = 1 << 14
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Odd base of the polynomial hashes.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) a fresh one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session without one gets a fresh folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="civicframe-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -49,6 +55,29 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def counter_rows(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """A task's table of counters as (chunk, counters of 32 bits), without chunks of zeros."""
+    chunks = [k for k in range(len(counts) // CHUNK) if counts[k * CHUNK : (k + 1) * CHUNK].any()]
+    return chunks, [counts[k * CHUNK : (k + 1) * CHUNK].astype(np.uint32).tobytes() for k in chunks]
+
+
+def _add_counters(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    total: dict[int, np.ndarray] = {}
+    for pdf in pdfs:
+        for k, x in zip(pdf["chunk"], pdf["counts"], strict=True):
+            x = np.frombuffer(x, np.uint32).astype(np.int64)
+            total[k] = total[k] + x if k in total else x
+    yield pd.DataFrame({"chunk": list(total), "counts": [x.tobytes() for x in total.values()]})
+
+
+def summed_counters(parts: DataFrame, width: int) -> np.ndarray:
+    """The ``width`` counters over all tasks, of (chunk, counts); a table of fixed size, whatever the corpus."""
+    out = np.zeros(width, np.int64)
+    for r in parts.repartition("chunk").mapInPandas(_add_counters, "chunk int, counts binary").collect():  # width / CHUNK rows
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, broadcast_if_small, mix, text_parts, with_id, words_of, written
+from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, broadcast_if_small, counter_rows, mix, summed_counters, text_parts, with_id, words_of, written
 from civicframe.llm.components import components
 
-#: Counters for document frequencies, in chunks; longest posting list that gives pairs; most required matches.
-WIDTH, CHUNK, SHORT, MOST = 1 << 21, 1 << 14, 8, 4
+#: Counters for document frequencies; longest posting list that gives pairs; most required matches.
+WIDTH, SHORT, MOST = 1 << 21, 8, 4
 #: Common tokens that are sent to executors at most.
 COMMON = 1 << 20
 #: Tokens and members of a block, about, and columns of a matrix.
@@ -90,31 +90,13 @@ def _summary(words: int):
             if held:
                 counts += np.bincount((np.concatenate(held) & np.uint64(WIDTH - 1)).astype(np.int64), minlength=WIDTH).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in rows], pa.int64()) for i in range(3)), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
-        chunks = [k for k in range(WIDTH // CHUNK) if counts[k * CHUNK : (k + 1) * CHUNK].any()]
+        chunks, parts = counter_rows(counts)
         none = pa.nulls(len(chunks), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(chunks, pa.int32()), pa.array([counts[k * CHUNK : (k + 1) * CHUNK].tobytes() for k in chunks], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], names)
 
     return run
 
 
-def _add(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total: dict[int, np.ndarray] = {}
-    for pdf in pdfs:
-        for k, x in zip(pdf["chunk"], pdf["counts"], strict=True):
-            x = np.frombuffer(x, np.uint32).astype(np.int64)
-            total[k] = total[k] + x if k in total else x
-    yield pd.DataFrame({"chunk": list(total), "counts": [x.tobytes() for x in total.values()]})
-
-
-def _frequencies(parts: DataFrame) -> np.ndarray:
-    """The WIDTH counters over all tasks; a table of fixed size, whatever the corpus."""
-    summed = parts.repartition("chunk").mapInPandas(_add, "chunk int, counts binary")
-    out = np.zeros(WIDTH, np.int64)
-    for r in summed.collect():  # WIDTH / CHUNK rows
-        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
-    return out
-
-
 def prefix(tokens: np.ndarray, often: np.ndarray, percent: int, last: np.ndarray | None = None) -> tuple[np.ndarray, int]:
     """(tokens of the adaptive prefix, required matches). ``last``: which tokens come after all others."""
     n = len(tokens)
@@ -293,7 +275,7 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
     summary = written(docs.mapInArrow(_summary(words), "doc long, n long, c1 long, c2 long, chunk int, counts binary"), "jaccard-summary")
     rows = summary.where("doc is not null").select("doc", "n", "c1", "c2")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("doc").alias("id"), F.max("n").alias("n")), "jaccard-classes")
-    counts = spark.sparkContext.broadcast(_frequencies(summary.where("chunk is not null").select("chunk", "counts")))
+    counts = spark.sparkContext.broadcast(summed_counters(summary.where("chunk is not null").select("chunk", "counts"), WIDTH))
     # tokens whose lists turn out long, though their counters don't tell, go to the end of the order; only costs depend on it
     posted = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, beyond long")
     long_tokens = written(posted.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > longest).select("token"), "jaccard-common")

@@ -1,35 +1,79 @@
-"""Routing of repeated windows: which windows of symbols may occur twice, without sending any text.
+"""Routing of repeated windows: which windows of symbols may occur twice, and what has to be compared to tell.
 
 A window is ``window`` consecutive symbols (bytes or words) of one document. Its anchor is the ``gram``-symbol string
 inside it with the smallest hash, the leftmost of equals; so equal windows have equal anchors at the same place in them.
 Consecutive windows of a document that share an anchor occurrence form a neighbourhood, about two per window length.
-Only (hash of the anchor, hash of the neighbourhood, document, range of window starts) is dealt out, by anchor:
-
-* neighbourhoods of one anchor with equal content: all windows of all but the first one start earlier elsewhere; equal
-  ones within a task are decided in that task, so a passage in a third of all documents is one row a task;
-* an anchor with only one content and one occurrence: none of its windows repeats;
-* otherwise the first occurrence of each distinct content is asked for its symbols, and a resolver (suffix array,
-  suffix automaton) compares the windows of one anchor.
-
-Nothing is sampled or capped: a window that starts earlier elsewhere is always found.
+Hashes only route: (key of the anchor, hash of the neighbourhood, document, range of window starts) is dealt out by key.
+
+* Documents with equal texts are one class: the first takes part, the others follow it.
+* A key with one neighbourhood: none of its windows repeats.
+* Neighbourhoods of a key with equal hashes are a class. Of each class the first member, and the second if there is one,
+  are asked for their symbols, and a resolver (suffix array, suffix automaton) compares the windows of a key. The other
+  members follow the second one: they are repeated if the resolver found all windows of the second to be.
+
+Hot anchors (a line in a third of all documents) aren't one group: occurrences of anchors are counted over all documents
+in a table of fixed size. An anchor beyond SOME splits its neighbourhoods into ranges of ``step`` windows, whose key is
+the part that all windows of the range share; beyond MANY into single windows, whose key is the window itself. If a key
+turns out to have more than CONTENTS classes, its first members are dealt anew by single windows. So a key never asks
+for more than that many contents, and no window that starts earlier elsewhere is missed at any size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import Spans, bound_arrow_batches, broadcast_if_small, mix, text_parts, with_id, written
+from civicframe.llm.common import Spans, bound_arrow_batches, broadcast_if_small, counter_rows, mix, summed_counters, text_parts, with_id, written
 
-#: Window starts that are treated together, and neighbourhoods that a task gathers before it compares them.
+#: Symbols that are treated together (a longer text by itself, in segments), and neighbourhoods that a task gathers before it compares them.
 SEGMENT, HELD = 1 << 19, 1 << 20
+#: Counters of anchors; occurrences beyond which an anchor is split into ranges, into single windows; most classes that a key asks for.
+WIDTH, SOME, MANY, CONTENTS = 1 << 20, 2048, 1 << 20, 4096
+#: Rows of asks that are broadcast.
+ASKS = 400_000
+#: Last window of a document that is a copy as a whole.
+WHOLE = 1 << 62
+
+
+@dataclass(frozen=True)
+class Kind:
+    """What a window is made of.
+
+    ``symbols``: (bytes, offsets of the texts) -> (symbols as 64-bit numbers, offsets of the texts in them).
+    ``places``: the same -> (first byte of each symbol, byte after it, offsets of the texts in symbols).
+    """
+
+    symbols: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+    places: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+    window: int
+    gram: int
+    step: int
+    some: int = SOME
+    many: int = MANY
+    contents: int = CONTENTS
+
 
-#: (bytes, offsets of the texts) -> (symbols as 64-bit numbers, offsets of the texts in them)
-Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+@dataclass(frozen=True)
+class Piece:
+    """What an ask got: windows ``lo`` to ``lo + n - 1`` of a document, as bytes of their symbols."""
+
+    doc: int
+    ver: int
+    lo: int
+    n: int
+    cls: int
+    second: bool
+    raw: bytes
+
+
+#: The windows ``lo`` to ``hi`` of a piece also start earlier.
+Found = tuple[Piece, int, int]
+Resolver = Callable[[Iterator[list[Piece]]], Iterator[Found]]
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -40,8 +84,8 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - done)], x[width - done :]) if width > done else x
 
 
-def neighbourhoods(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, first window start, last window start, anchor hash, content hash) of all neighbourhoods, by segments; starts count from the beginning of their text."""
+def _anchored(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Iterator[tuple]:
+    """(segment's start, its spans, text, first window start, last one, anchor's place, anchor's hash) of all neighbourhoods, by segments; places count from the segment's start."""
     width = window - gram + 1
     for at in range(0, max(0, len(symbols) - window + 1), SEGMENT):
         part = symbols[at : at + SEGMENT + window - 1]
@@ -63,211 +107,372 @@ def neighbourhoods(symbols: np.ndarray, offsets: np.ndarray, window: int, gram:
             continue
         broken = np.flatnonzero(fresh | ~fine)
         last = np.append(broken, n)[np.searchsorted(broken, first, side="right")] - 1
-        content = mix(spans(first, last + window) + (best[first] - first).astype(np.uint64))
-        base = offsets[text[first]] - at
-        yield text[first], first - base, last - base, h[best[first]], content
+        yield at, spans, text[first], first, last, best[first], h[best[first]]
 
 
-def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Adjoining ranges of a document as one."""
-    order = np.lexsort((lo, doc))
-    doc, lo, hi = doc[order], lo[order], hi[order]
-    fresh = np.ones(len(doc), bool)
-    fresh[1:] = (doc[1:] != doc[:-1]) | (lo[1:] > hi[:-1] + 1)
-    at = np.flatnonzero(fresh)
-    return doc[at], lo[at], np.maximum.reduceat(hi, at) if len(at) else hi
+def neighbourhoods(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int, step: int = 1, levels: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, first window start, last one, key, content) of all neighbourhoods; starts count from the beginning of their text.
 
+    ``levels``, by the last bits of an anchor's hash: 0, or 1 (split into ranges of ``step`` windows), or 2 (into single windows).
+    """
+    for at, spans, text, first, last, best, h in _anchored(symbols, offsets, window, gram):
+        key = h
+        if levels is not None and (level := levels[(h & np.uint64(len(levels) - 1)).astype(np.int64)]).any():
+            size = np.where(level == 0, window, np.where(level == 1, step, 1))  # a whole neighbourhood has fewer than ``window``
+            most = (best - first) // size  # ranges are counted from the anchor, backwards
+            parts = most - (best - last) // size + 1
+            own = np.repeat(np.arange(len(first)), parts)
+            q = most[own] - (np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts))
+            size, level, best, whole = size[own], level[own], best[own], (level == 0)[own]
+            latest, earliest = best - q * size, best - (q + 1) * size + 1
+            core = mix(spans(np.where(whole, 0, latest), np.where(whole, 0, earliest + window)) + q.astype(np.uint64) * np.uint64(4) + level.astype(np.uint64))
+            key = np.where(whole, h[own], core)
+            first, last, text = np.maximum(first[own], earliest), np.minimum(last[own], latest), text[own]
+        content = mix(spans(first, last + window) + (best - first).astype(np.uint64))
+        base = offsets[text] - at
+        yield text, first - base, last - base, key, content
+
+
+def _counts(kind: Kind):
+    """A task's table of anchor counters."""
 
-NAMES = ["key", "content", "doc", "lo", "hi", "sure"]
-SCHEMA = "key long, content long, doc long, lo long, hi long, sure boolean"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held, size = np.zeros(WIDTH, np.int64), [], 0
+        for batch in batches:
+            for _, _, raw, offsets in text_parts(batch.column(0), SEGMENT):
+                for *_, h in _anchored(*kind.symbols(raw, offsets), kind.window, kind.gram):
+                    held.append((h & np.uint64(WIDTH - 1)).astype(np.int64))
+                    size += len(h)
+                if size > HELD:
+                    counts += np.bincount(np.concatenate(held), minlength=WIDTH)
+                    held, size = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=WIDTH)
+        chunks, parts = counter_rows(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], ["chunk", "counts"])
 
+    return run
 
-def _rows(key, content, doc, lo, hi, sure: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (key.view(np.int64), content.view(np.int64), doc, lo, hi)), pa.array(np.full(len(doc), sure))], NAMES)
 
+def _levels(counts: np.ndarray, some: int, many: int) -> np.ndarray:
+    """How each counter's anchors are split; the median is what rare anchors together add to a counter."""
+    usual = float(np.median(counts))
+    over = counts - usual
+    slack = 4 * usual**0.5
+    return (over > some + slack).astype(np.uint8) + (over > many + slack).astype(np.uint8)
 
-def _keys(symbols: Symbols, window: int, gram: int):
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        doc, lo, hi, key, content = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((lo, doc, content, key))
-        doc, lo, hi, key, content = (x[order] for x in (doc, lo, hi, key, content))
-        first = np.ones(len(doc), bool)
-        first[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-        at = np.flatnonzero(first)[np.cumsum(first) - 1]
-        sure = ~first & ((doc != doc[at]) | (lo != lo[at]))
-        yield _rows(*(x[first] for x in (key, content, doc, lo, hi)), False)
-        if sure.any():
-            doc, lo, hi = _merged(doc[sure], lo[sure], hi[sure])
-            key = mix(doc.view(np.uint64) + np.arange(len(doc), dtype=np.uint64))
-            yield _rows(key, key, doc, lo, hi, True)
 
+ROUTED = "route long, member boolean, key long, content long, doc long, ver long, lo long, hi long"
+#: What the rows are for that ``_decide`` returns: follow their class; be compared under ``key``; be dealt anew by windows.
+FOLLOW, ASK, SPLIT = 0, 1, 2
+DECIDED = "what byte, key long, cls long, second boolean, doc long, ver long, lo long, hi long"
+
+
+def _class(key: np.ndarray, content: np.ndarray) -> np.ndarray:
+    return mix(key * np.uint64(0xC2B2AE3D27D4EB4F) + content)
+
+
+def _ranks(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Of rows (key, content, doc, ver, lo, hi) in order: without repeated ones, and the place of each in its class."""
+    if not len(rows[0]):
+        return rows, np.zeros(0, np.int64)
+    key, content, doc, ver, lo, _ = rows
+    differs = np.ones(len(key), bool)
+    differs[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+    new = differs.copy()
+    new[1:] |= (doc[1:] != doc[:-1]) | (ver[1:] != ver[:-1]) | (lo[1:] != lo[:-1])
+    rows, differs = [x[new] for x in rows], differs[new]
+    at = np.arange(len(differs))
+    return rows, at - np.flatnonzero(differs)[np.cumsum(differs) - 1]
+
+
+def _batch(names: str, columns: list) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "boolean": pa.bool_(), "byte": pa.int8()}
+    heads = [x.split() for x in names.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, kinds[k]) for c, (_, k) in zip(columns, heads, strict=True)], [n for n, _ in heads])
+
+
+def _flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """A task's neighbourhoods (doc, ver, lo, hi, key, content): of each class the first two go to their key, the others only follow."""
+    if not held:
+        return
+    doc, ver, lo, hi, key, content = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((lo, ver, doc, _class(key, content)))
+    rows, rank = _ranks([x[order] for x in (key, content, doc, ver, lo, hi)])
+    member = rank > 1
+    cls = _class(rows[0], rows[1])
+    route = np.where(member, mix(cls + rows[2].view(np.uint64)), rows[0])
+    yield _batch(ROUTED, [route, member, rows[0], np.where(member, cls, rows[1]), *rows[2:]])
+
+
+def _keys(kind: Kind, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for i, j, raw, offsets in text_parts(batch.column(1)):
-                for text, *rest in neighbourhoods(*symbols(raw, offsets), window, gram):
-                    held.append((ids[i:j][text], *rest))
+            ids, vers = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for i, j, raw, offsets in text_parts(batch.column(2), SEGMENT):
+                for text, *rest in neighbourhoods(*kind.symbols(raw, offsets), kind.window, kind.gram, kind.step, levels.value):
+                    held.append((ids[i:j][text], vers[i:j][text], *rest))
                     n += len(text)
                 if n > HELD:
-                    yield from flush(held)
+                    yield from _flush(held)
                     held, n = [], 0
-        yield from flush(held)
+        yield from _flush(held)
 
     return run
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of neighbourhoods sorted by (anchor, content, document, start): ranges that start earlier elsewhere, and what is asked for."""
-
-    def out(doc, lo, hi, ask, key) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(hi), pa.array(np.full(len(doc), ask)), pa.array(key.view(np.int64))], ["doc", "lo", "hi", "ask", "key"])
-
-    def groups(key, content, doc, lo, hi) -> Iterator[pa.RecordBatch]:
-        new_key = np.ones(len(key), bool)
-        new_key[1:] = key[1:] != key[:-1]
-        first = new_key.copy()
-        first[1:] |= content[1:] != content[:-1]
-        at = np.flatnonzero(first)[np.cumsum(first) - 1]
-        again = ~first & ((doc != doc[at]) | (lo != lo[at]))
-        if again.any():
-            d, a, b = _merged(doc[again], lo[again], hi[again])
-            yield out(d, a, b, False, np.zeros(len(d), np.int64))
-        contents = np.add.reduceat(first, np.flatnonzero(new_key)) if len(key) else np.zeros(0, int)
-        ask = first & (contents[np.cumsum(new_key) - 1] > 1) if len(key) else first
-        if ask.any():
-            yield out(doc[ask], lo[ask], hi[ask], True, key[ask])
-
-    rest = None
-    for batch in batches:
-        key, content, doc, lo, hi = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        sure = batch.column(5).to_numpy(zero_copy_only=False)
-        if sure.any():
-            yield out(doc[sure], lo[sure], hi[sure], False, np.zeros(int(sure.sum()), np.int64))
-        rows = [x[~sure] for x in (key, content, doc, lo, hi)]
-        if rest is not None:
-            rows = [np.concatenate(x) for x in zip(rest, rows, strict=True)]
-        cut = int(np.count_nonzero(rows[0] != rows[0][-1])) if len(rows[0]) else 0  # the last anchor may go on
-        yield from groups(*(x[:cut] for x in rows))
-        rest = [x[cut:] for x in rows]
-    if rest is not None:
-        yield from groups(*rest)
-
-
-def repeated_ranges(docs: DataFrame, symbols: Symbols, window: int, gram: int, piece: Callable, resolve: Callable) -> DataFrame:
-    """(doc, lo, hi): ranges of window starts whose windows also start earlier.
-
-    ``piece(raw bytes of a text, list of (lo, hi))`` cuts the symbols of windows lo to hi out of a text, as bytes.
-    ``resolve(list of (doc, lo, n, bytes))`` gets what one or more anchors asked for, whole anchors, each as a list, and
-    yields (doc, lo, hi) ranges.
-    """
-    bound_arrow_batches(docs.sparkSession)
-    docs = with_id(docs, "text")
-    rows = docs.mapInArrow(_keys(symbols, window, gram), SCHEMA).repartition("key").sortWithinPartitions("key", "content", "doc", "lo")
-    found = written(rows.mapInArrow(_decide, "doc long, lo long, hi long, ask boolean, key long"), "repeats")
-    asked = found.where("ask").groupBy("doc").agg(F.collect_list(F.struct("lo", "hi", "key")).alias("asks"))
-    asked = asked.withColumnRenamed("doc", "doc_id")
-    if found.where("ask").limit(400_001).count() <= 400_000:
-        asked = F.broadcast(asked)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
+    """(row of each, elements) of a column of arrays of structs."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return np.repeat(np.arange(len(column)), sizes), column.flatten()
+
+
+def _asked_places(batch: pa.RecordBatch, kind: Kind, column: int) -> Iterator[tuple]:
+    """(raw bytes, symbols' first bytes, bytes after them, symbol where each ask's text begins, row of each ask, the asks) by parts of a batch."""
+    rows, asks = _lists(batch.column(column))
+    for i, j, raw, offsets in text_parts(batch.column(2), SEGMENT):
+        a, b = np.searchsorted(rows, [i, j])
+        begin, end, first = kind.places(raw, offsets)
+        yield raw, offsets, begin, end, first, rows[a:b] - i, rows[a:b], asks.slice(a, b - a)
+
+
+def _windows(kind: Kind):
+    """Each asked-for window by itself; its key is the window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                asks = batch.column(2)[r].as_py()
-                pieces = piece((batch.column(1)[r].as_py() or "").encode(), [(a["lo"], a["hi"]) for a in asks])
-                fine = [(a, p) for a, p in zip(asks, pieces, strict=True) if p]
-                doc = batch.column(0)[r].as_py()
-                yield pa.RecordBatch.from_arrays([pa.array([a["key"] for a, _ in fine], pa.int64()), pa.array([doc] * len(fine), pa.int64()), pa.array([a["lo"] for a, _ in fine], pa.int64()), pa.array([a["hi"] - a["lo"] + 1 for a, _ in fine], pa.int64()), pa.array([p for _, p in fine], pa.binary())], ["key", "doc", "lo", "n", "piece"])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
-
-        def anchors() -> Iterator[list[tuple]]:
-            group, of = [], None
-            for key, *row in rows():
+            held = []
+            ids, vers = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for raw, offsets, _, _, first, text, row, asks in _asked_places(batch, kind, 3):
+                symbols, _ = kind.symbols(raw, offsets)
+                lo, hi = (asks.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi"))
+                own = np.repeat(np.arange(len(lo)), hi - lo + 1)
+                start = lo[own] + np.arange(len(own)) - np.repeat(np.cumsum(hi - lo + 1) - (hi - lo + 1), hi - lo + 1)
+                at = first[text[own]] + start
+                h = mix(Spans(symbols)(at, at + kind.window) + np.uint64(3))
+                held.append((ids[row[own]], vers[row[own]], start, start, h, h))
+            yield from _flush(held)
+
+    return run
+
+
+def _decide(most: int):
+    """Of rows sorted by (route, key, content, document, start): who is compared, who follows. Holds two rows of each of ``most`` classes at most."""
+
+    def out(what: int, rows: list[np.ndarray], pick: np.ndarray, key: np.ndarray | None = None, second: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        if pick.any():
+            own, content, *place = (x[pick] for x in rows)
+            n = len(own)
+            yield _batch(DECIDED, [np.full(n, what, np.int8), own if key is None else key[pick], _class(own, content), np.zeros(n, bool) if second is None else second[pick], *place])
+
+    def whole(rows: list[np.ndarray], rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Keys with all their rows."""
+        if not len(rank):
+            return
+        fresh = np.ones(len(rank), bool)
+        fresh[1:] = rows[0][1:] != rows[0][:-1]
+        at = np.flatnonzero(fresh)
+        contents = np.repeat(np.add.reduceat((rank == 0).astype(np.int64), at), np.diff(np.append(at, len(rank))))
+        paired = np.append(rank[1:] == 1, False)  # the first of a class of two
+        large = contents > most
+        yield from out(ASK, rows, ~large & ((rank == 0) & ((contents > 1) | paired) | (rank == 1)), None, rank == 1)
+        yield from split(rows, rank, large & (rank <= 1), paired)
+        yield from out(FOLLOW, rows, rank > 1)
+
+    def split(rows: list[np.ndarray], rank: np.ndarray, pick: np.ndarray, paired: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """First members are dealt anew; a class of two or more is compared under a key of its own."""
+        yield from out(SPLIT, rows, pick & (rank == 0))
+        yield from out(ASK, rows, pick & (paired | (rank == 1)), _class(rows[0], rows[1]), rank == 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] | None = None
+        streaming, sent = False, 0  # whether the open key is dealt anew already; rows of ``rest`` (its last class) that were sent
+        for batch in batches:
+            member = batch.column(1).to_numpy(zero_copy_only=False)
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, 8)]
+            rows[:2] = [x.view(np.uint64) for x in rows[:2]]
+            if member.any():
+                cls, *place = (x[member] for x in rows[1:])
+                n = len(cls)
+                yield _batch(DECIDED, [np.full(n, FOLLOW, np.int8), cls, cls, np.zeros(n, bool), *place])
+                rows = [x[~member] for x in rows]
+            if rest is not None:
+                rows = [np.concatenate(x) for x in zip(rest, rows, strict=True)]
+            if not len(rows[0]):
+                continue
+            rows, rank = _ranks(rows)
+            if streaming:  # the open key's rows come first
+                n = int(np.count_nonzero(rows[0] == rows[0][0]))
+                own, r = [x[:n] for x in rows], rank[:n]
+                new = np.arange(n) >= sent
+                paired = np.append(r[1:] == 1, False)
+                late = paired & np.append(new[1:], False)  # its second came now
+                yield from out(SPLIT, own, new & (r == 0))
+                yield from out(ASK, own, late | (new & (r == 1)), _class(own[0], own[1]), r == 1)
+                yield from out(FOLLOW, own, new & (r > 1))
+                if n == len(rows[0]):
+                    begin = n - 1 - int(r[-1])
+                    rest = [x[begin : begin + 2] for x in own]
+                    sent = len(rest[0])
+                    continue
+                rows, rank = [x[n:] for x in rows], rank[n:]
+                streaming = False
+            cut = int(np.count_nonzero(rows[0] != rows[0][-1]))  # the last key may go on
+            yield from whole([x[:cut] for x in rows], rank[:cut])
+            rest, rank = [x[cut:] for x in rows], rank[cut:]
+            yield from out(FOLLOW, rest, rank > 1)
+            rest, rank = [x[rank <= 1] for x in rest], rank[rank <= 1]
+            if int(np.count_nonzero(rank == 0)) > most:
+                yield from split(rest, rank, np.ones(len(rank), bool), np.append(rank[1:] == 1, False))
+                begin = len(rank) - 1 - int(rank[-1])
+                rest, streaming = [x[begin:] for x in rest], True
+                sent = len(rest[0])
+        if rest is not None and not streaming:
+            yield from whole(*_ranks(rest))
+
+    return run
+
+
+def _cut(kind: Kind):
+    """The symbols of asks, as bytes."""
+    names = ["key", "cls", "second", "doc", "ver", "lo", "n", "piece"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, vers = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for raw, _, begin, end, first, text, row, asks in _asked_places(batch, kind, 3):
+                if not len(row):
+                    continue
+                lo, hi = (asks.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi"))
+                a, b = begin[first[text] + lo], end[first[text] + hi + kind.window - 1]
+                data = raw.tobytes()
+                for at in range(0, len(lo), 20_000):
+                    to = min(at + 20_000, len(lo))
+                    pieces = [data[x:y] for x, y in zip(a[at:to].tolist(), b[at:to].tolist(), strict=True)]
+                    some, r = asks.slice(at, to - at), row[at:to]
+                    yield pa.RecordBatch.from_arrays([*(some.field(n) for n in ("key", "cls", "second")), *(pa.array(x) for x in (ids[r], vers[r], lo[at:to], (hi - lo + 1)[at:to])), pa.array(pieces, pa.binary())], names)
+
+    return run
+
+
+def _answers(resolve: Resolver):
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Piece]]:
+        group, of, last = [], None, None
+        for batch in batches:
+            for key, cls, second, doc, ver, lo, n, raw in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
                 if key != of and group:
                     yield group
                     group = []
-                of = key
-                group.append(tuple(row))
-            if group:
-                yield group
+                if key != of or last != (doc, ver, lo):  # a row that repeats a doc_id with its text brings its pieces again
+                    group.append(Piece(doc, ver, lo, n, cls, second, raw))
+                of, last = key, (doc, ver, lo)
+        if group:
+            yield group
 
-        out: list[tuple[int, int, int]] = []
-        for one in resolve(anchors()):
+    def rows(out: list[Found]) -> pa.RecordBatch:
+        columns = [[p.doc for p, _, _ in out], [p.ver for p, _, _ in out], [a for _, a, _ in out], [b for _, _, b in out], [p.cls for p, _, _ in out], [p.n if p.second else 0 for p, _, _ in out]]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc", "ver", "lo", "hi", "cls", "all"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[Found] = []
+        for one in resolve(groups(batches)):
             out.append(one)
             if len(out) >= 50_000:
-                yield ranges(out)
+                yield rows(out)
                 out = []
-        yield ranges(out)
-
-    def ranges(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], ["doc", "lo", "hi"])
-
-    pieces = docs.join(asked, "doc_id").mapInArrow(cut, "key long, doc long, lo long, n long, piece binary")
-    answers = pieces.repartition("key").sortWithinPartitions("key", "doc", "lo").mapInArrow(answer, "doc long, lo long, hi long")
-    return found.where(~F.col("ask")).select("doc", "lo", "hi").unionByName(answers)
+        yield rows(out)
 
-
-def fresh_starts(group: Iterable[tuple]) -> Iterator[tuple]:
-    """The pieces of a group (as below) without the windows that an earlier piece of the same document holds too: rows that repeat a doc_id give a piece each, and may be cut by segments at other places."""
-    of, end = None, 0
-    for doc, lo, n, symbols in group:
-        skip = max(0, end - lo) if doc == of else 0
-        end = max(end, lo + n) if doc == of else lo + n
-        of = doc
-        if skip < n:
-            yield doc, lo + skip, n - skip, symbols[skip:]
+    return run
 
 
-def windows_equal_earlier(group: list[tuple[int, int, int, np.ndarray]], window: int) -> Iterator[tuple[int, int, int]]:
-    """For an anchor with very many contents: fingerprints of the windows at each place relative to the anchor are compared; memory in proportion to the anchor's symbols.
+def identified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents as doc_id, ver, text; (doc_id, ver) of copies of whole documents with a smaller doc_id).
 
-    group: (document, first window start, windows, symbols), by document and start.
+    ``ver`` is 0, but for a doc_id that comes with several texts a hash of the text: these are documents of their own.
     """
-    seen: set[int] = set()
-    for doc, lo, n, symbols in fresh_starts(group):
-        spans = Spans(symbols)
-        start = np.arange(n)
-        flags = []
-        for h in spans(start, start + window).tolist():
-            flags.append(h in seen)
-            seen.add(h)
-        yield from flagged(doc, lo, np.array(flags, bool))
-
-
-def flagged(doc: int, lo: int, flags: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Ranges of set flags."""
+    docs = with_id(docs, F.coalesce("text", F.lit("")).alias("text"))
+    hashes = [F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")]
+    ident = written(docs.select("doc_id", *hashes), "repeats-texts")
+    several = written(ident.groupBy("doc_id").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select(F.col("doc_id").alias("several")), "repeats-several")
+    ver = F.lit(0).cast("long")
+    if not several.isEmpty():
+        several, ver = broadcast_if_small(several), F.when(F.col("several").isNotNull(), F.col("h1")).otherwise(0)
+        docs = docs.withColumn("h1", hashes[0]).join(several, F.col("doc_id") == F.col("several"), "left")
+        ident = ident.join(several, F.col("doc_id") == F.col("several"), "left")
+    classes = written(ident.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h1", "h2", "first"), "repeats-classes")
+    copies = ident.withColumn("ver", ver).join(broadcast_if_small(classes), ["h1", "h2"]).where("doc_id > first")
+    return docs.select("doc_id", ver.alias("ver"), "text"), written(copies.select("doc_id", "ver").distinct(), "repeats-copies")
+
+
+def repeated_ranges(docs: DataFrame, copies: DataFrame, kind: Kind, resolve: Resolver) -> DataFrame:
+    """(doc_id, ver, lo, hi): ranges of window starts whose windows also start earlier; a copy as a whole has lo 0, hi WHOLE.
+
+    ``resolve`` gets the pieces that a key asked for, each key as a list by document and start, and returns what is repeated.
+    """
+    spark = docs.sparkSession
+    bound_arrow_batches(spark)
+    once = docs.join(broadcast_if_small(copies), ["doc_id", "ver"], "left_anti").select("doc_id", "ver", "text")
+    counts = summed_counters(once.select("text").mapInArrow(_counts(kind), "chunk int, counts binary"), WIDTH)
+    levels = spark.sparkContext.broadcast(_levels(counts, kind.some, kind.many))
+
+    def decided(rows: DataFrame) -> DataFrame:
+        rows = rows.repartition("route").sortWithinPartitions("route", "key", "content", "doc", "ver", "lo")
+        return written(rows.mapInArrow(_decide(kind.contents), DECIDED), "repeats")
+
+    def with_asks(asks: DataFrame) -> DataFrame:
+        few = asks.limit(ASKS + 1).count() <= ASKS
+        asks = asks.groupBy(F.col("doc").alias("doc_id"), "ver").agg(F.collect_list(F.struct("lo", "hi", "key", "cls", "second")).alias("asks"))
+        return docs.join(F.broadcast(asks) if few else asks, ["doc_id", "ver"]).select("doc_id", "ver", "text", "asks")
+
+    found = decided(once.mapInArrow(_keys(kind, levels), ROUTED))
+    again = found.where(F.col("what") == SPLIT)
+    if not again.isEmpty():
+        found = found.unionByName(decided(with_asks(again).mapInArrow(_windows(kind), ROUTED)))
+    pieces = with_asks(found.where(F.col("what") == ASK)).mapInArrow(_cut(kind), "key long, cls long, second boolean, doc long, ver long, lo long, n long, piece binary")
+    answers = pieces.repartition("key").sortWithinPartitions("key", "doc", "ver", "lo").mapInArrow(_answers(resolve), "doc long, ver long, lo long, hi long, cls long, all long")
+    answers = written(answers, "repeats-answers")
+    sure = answers.where("all > 0").groupBy("cls").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("got"), F.max("all").alias("all"))
+    sure = written(sure.where("got >= all").select("cls"), "repeats-classes")
+    followers = found.where(F.col("what") == FOLLOW).join(broadcast_if_small(sure), "cls", "left_semi")
+    place = [F.col("doc").alias("doc_id"), "ver", "lo", "hi"]
+    whole = copies.select("doc_id", "ver", F.lit(0).cast("long").alias("lo"), F.lit(WHOLE).cast("long").alias("hi"))
+    return answers.select(*place).unionByName(followers.select(*place)).unionByName(whole)
+
+
+def flagged(piece: Piece, flags: np.ndarray) -> Iterator[Found]:
+    """Ranges of set flags of a piece's windows."""
     edge = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
     for a, b in zip(edge[::2], edge[1::2], strict=True):
-        yield doc, lo + int(a), lo + int(b) - 1
+        yield piece, piece.lo + int(a), piece.lo + int(b) - 1
 
 
-def remove(docs: DataFrame, ranges: DataFrame, cut: Callable, schema: str) -> DataFrame:
-    """Joins the ranges to the documents; ``cut(raw bytes, lows, highs)`` gives the columns of ``schema`` after doc_id."""
-    ranges = ranges.groupBy("doc").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi")).withColumnRenamed("doc", "doc_id")
+def remove(docs: DataFrame, kind: Kind, resolve: Resolver, cut: Callable, schema: str) -> DataFrame:
+    """Finds repeated windows and joins them to the documents; ``cut(raw bytes, lows, highs)`` gives the columns of ``schema`` after doc_id."""
+    docs, copies = identified(docs)
+    ranges = repeated_ranges(docs, copies, kind, resolve)
+    ranges = ranges.groupBy("doc_id", "ver").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
     names = [x.split()[0] for x in schema.split(",")]
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     kinds = [types[x.split()[1]] for x in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, los, his = (batch.column(i) for i in range(4))
-            out = [cut((texts[r].as_py() or "").encode(), los[r].as_py(), his[r].as_py()) for r in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds))], ["doc_id", *names])
+            ids, texts, lows, highs = (batch.column(i) for i in range(4))
+            out = []
+            for r in range(batch.num_rows):
+                lo, hi = (x[r].values.to_numpy() if x[r].is_valid else None for x in (lows, highs))
+                out.append(cut((texts[r].as_py() or "").encode(), lo, hi))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array([x[i] for x in out], k) for i, k in enumerate(kinds))], ["doc_id", *names])
 
-    return with_id(docs, "text").join(ranges, "doc_id", "left").select("doc_id", "text", "lo", "hi").mapInArrow(run, f"doc_id long, {schema}")
+    return docs.join(ranges, ["doc_id", "ver"], "left").select("doc_id", "text", "lo", "hi").mapInArrow(run, f"doc_id long, {schema}")
 
 
-def covered(n: int, lows: list[int] | None, highs: list[int] | None, window: int) -> np.ndarray:
+def covered(n: int, lows: np.ndarray | None, highs: np.ndarray | None, window: int) -> np.ndarray:
     """Which of n symbols lie in a window that starts in one of the ranges."""
-    if not lows:
+    if lows is None or not len(lows) or n < window:
         return np.zeros(n, bool)
     step = np.zeros(n + 1, np.int64)
-    np.add.at(step, np.minimum(np.array(lows), n), 1)
-    np.add.at(step, np.minimum(np.array(highs) + window, n), -1)
+    np.add.at(step, np.minimum(lows, n), 1)
+    np.add.at(step, np.minimum(highs + window, n), -1)
     return np.cumsum(step[:-1]) > 0

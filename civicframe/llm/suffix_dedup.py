@@ -1,11 +1,14 @@
 """Suffix-array dedup: bytes covered by a long string that also starts earlier are removed.
 
-Where the contents of an anchor differ (see ``repeats``), the shard's neighbourhoods are joined into one text, its suffix
-array is built by induced sorting, and the permuted common prefixes show which windows are equal: neighbours in the
-array with a common prefix of at least the window. Of each such run all but the first occurrence are repeated.
-
-Defined cases: a null text is empty; rows that repeat a doc_id with its text are one document with a row each; texts shorter
-than the window lose nothing; an empty table gives an empty result.
+Documents that may repeat something are compared in shards (see ``repeats``): the neighbourhoods that share a key are
+joined into one text, its suffix array is built by induced sorting, and the permuted common prefixes show which windows
+are equal: neighbours in the array with a common prefix of at least the window. Of each such run all but the first
+occurrence are repeated.
+
+Defined cases: a null text is empty; rows that repeat a doc_id with its text are one document with a row each; a doc_id
+with several texts stands for as many documents (in the order of their hashes); texts shorter than the window lose
+nothing; a very long text is read in segments and is never cut; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -21,20 +24,25 @@ from civicframe.llm import repeats
 from civicframe.llm.common import BYTES
 from civicframe.llm.suffix_array import permuted_lcp, suffix_array
 
-#: Bytes of a string that counts as repeated; of an anchor; of a shard's text; of one anchor beyond which fingerprints are compared.
-WINDOW, GRAM, SHARD, HOT = 100, 36, 1 << 20, 4 << 20
+#: Bytes of a string that counts as repeated; of an anchor; windows of a hot anchor's range; bytes of a shard's text.
+WINDOW, GRAM, STEP, SHARD = 100, 36, 8, 1 << 20
 
 
 def _bytes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return BYTES[raw], offsets
 
 
-def shard_repeats(pieces: list[tuple[int, int, int, bytes]], window: int) -> Iterator[tuple[int, int, int]]:
-    """(doc, lo, hi) of the windows among ``pieces`` (doc, first start, number of windows, bytes) that also start earlier in a piece."""
-    text = np.frombuffer(b"".join(p for *_, p in pieces), np.uint8)
-    sizes = np.array([len(p) for *_, p in pieces])
+def _places(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = np.arange(len(raw) + 1)
+    return at[:-1], at[1:], offsets
+
+
+def shard_repeats(pieces: list[repeats.Piece], window: int) -> Iterator[repeats.Found]:
+    """The windows among the pieces that also start earlier in a piece."""
+    text = np.frombuffer(b"".join(p.raw for p in pieces), np.uint8)
+    sizes = np.array([len(p.raw) for p in pieces])
     begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    n = np.array([x[2] for x in pieces])
+    n = np.array([p.n for p in pieces])
     sa = suffix_array(text, depth=window)
     plcp = permuted_lcp(text, sa, window)
     run = np.cumsum(plcp[sa] < window)  # equal windows have one number
@@ -43,32 +51,28 @@ def shard_repeats(pieces: list[tuple[int, int, int, bytes]], window: int) -> Ite
     run_at = np.empty(len(text), np.int64)
     run_at[sa] = run
     mine = run_at[begin[piece] + shift]
-    doc = np.array([x[0] for x in pieces])[piece]
-    start = np.array([x[1] for x in pieces])[piece] + shift
-    order = np.lexsort((start, doc, mine))
+    doc, ver, lo = (np.array(x)[piece] for x in ([p.doc for p in pieces], [p.ver for p in pieces], [p.lo for p in pieces]))
+    start = lo + shift
+    order = np.lexsort((start, ver, doc, mine))
     first = np.ones(len(order), bool)
     first[1:] = mine[order][1:] != mine[order][:-1]
     head = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
     again = np.zeros(len(order), bool)
-    again[order] = ~first & ((doc[order] != doc[head]) | (start[order] != start[head]))
+    again[order] = ~first & ((doc[order] != doc[head]) | (ver[order] != ver[head]) | (start[order] != start[head]))
     at = 0
-    for d, lo, k, _ in pieces:
-        if again[at : at + k].any():
-            yield from repeats.flagged(d, lo, again[at : at + k])
-        at += k
+    for p in pieces:
+        if again[at : at + p.n].any():
+            yield from repeats.flagged(p, again[at : at + p.n])
+        at += p.n
 
 
-def _resolver(window: int):
-    def resolve(anchors: Iterator[list[tuple]]) -> Iterator[tuple[int, int, int]]:
+def _resolver(window: int, most: int = SHARD) -> repeats.Resolver:
+    def resolve(keys: Iterator[list[repeats.Piece]]) -> Iterator[repeats.Found]:
         shard, size = [], 0
-        for group in anchors:
-            own = sum(len(p) for *_, p in group)
-            if own > HOT:
-                yield from repeats.windows_equal_earlier([(d, lo, n, BYTES[np.frombuffer(p, np.uint8)]) for d, lo, n, p in group], window)
-                continue
+        for group in keys:
             shard += group
-            size += own
-            if size > SHARD:
+            size += sum(len(p.raw) for p in group)
+            if size > most:
                 yield from shard_repeats(shard, window)
                 shard, size = [], 0
         if shard:
@@ -77,20 +81,17 @@ def _resolver(window: int):
     return resolve
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, step: int = STEP, **bounds: int) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (bytes), kept_sha256."""
 
-    def piece(raw: bytes, ranges: list[tuple[int, int]]) -> list[bytes]:
-        return [raw[lo : hi + window] if hi + window <= len(raw) else b"" for lo, hi in ranges]
-
-    def cut(raw: bytes, lows: list[int] | None, highs: list[int] | None) -> tuple:
+    def cut(raw: bytes, lows: np.ndarray | None, highs: np.ndarray | None) -> tuple:
         gone = repeats.covered(len(raw), lows, highs, window)
-        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if lows else raw
+        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if lows is not None else raw
         spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0])
         return len(raw), len(raw) - len(kept), spans, kept, hashlib.sha256(kept).hexdigest()
 
-    ranges = repeats.repeated_ranges(docs, _bytes, window, gram, piece, _resolver(window))
-    return repeats.remove(docs, ranges, cut, "n_bytes long,n_removed long,n_spans long,kept binary,kept_sha256 string")
+    kind = repeats.Kind(_bytes, _places, window, gram, step, **bounds)
+    return repeats.remove(docs, kind, _resolver(window), cut, "n_bytes long,n_removed long,n_spans long,kept binary,kept_sha256 string")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from civicframe.llm import automaton_dedup, repeats, suffix_dedup
 from civicframe.llm.suffix_array import permuted_lcp, suffix_array
@@ -66,12 +67,48 @@ def test_bytes_against_brute_force(docs, by_id):
     check_bytes(suffix_dedup.dedup_substrings(docs, window=30, gram=8).collect(), by_id, 30)
 
 
-def test_bytes_of_hot_anchors(docs, by_id, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT", 1)
-    shard = list(suffix_dedup._resolver(4)(iter([[(1, 0, 3, b"abcdef"), (2, 5, 2, b"abcde"), (3, 0, 3, b"xbcdef")]])))
-    assert sorted(shard) == [(2, 5, 6), (3, 1, 2)]
-    monkeypatch.setattr(suffix_dedup, "HOT", 1 << 20)
-    assert sorted(suffix_dedup._resolver(4)(iter([[(1, 0, 3, b"abcdef"), (2, 5, 2, b"abcde"), (3, 0, 3, b"xbcdef")]]))) == sorted(shard)
+def test_hot_anchors_are_split(docs, by_id):
+    """Ranges and single windows instead of neighbourhoods, and keys with many contents, give the same."""
+    for bounds in ({"some": 0}, {"some": 0, "many": 0}, {"contents": 1}, {"some": 0, "contents": 1}):
+        check_bytes(suffix_dedup.dedup_substrings(docs, window=30, gram=8, step=5, **bounds).collect(), by_id, 30)
+        check_words(automaton_dedup.dedup_words(docs, window=6, gram=2, step=2, **bounds).collect(), by_id, 6)
+
+
+def test_resolver_finds_all_but_whole_copies(docs, by_id, monkeypatch):
+    """Hashes only route: without what the resolver finds, just copies of whole documents are removed."""
+    first = {}
+    for d in sorted(by_id):
+        first.setdefault(by_id[d] or "", d)
+    nothing = lambda *_: lambda keys: iter(())
+    monkeypatch.setattr(suffix_dedup, "_resolver", nothing)
+    monkeypatch.setattr(automaton_dedup, "_resolver", nothing)
+    copies = {d for d, t in by_id.items() if first[t or ""] < d}
+    assert {r["doc_id"] for r in suffix_dedup.digest(docs).where("n_removed > 0").collect()} == {d for d in copies if len((by_id[d] or "").encode()) >= 100}
+    assert {r["doc_id"] for r in automaton_dedup.digest(docs).where("n_removed > 0").collect()} == {d for d in copies if len((by_id[d] or "").split()) >= 20}
+
+
+def test_several_texts_of_a_doc_id(spark):
+    """They are documents of their own: nothing is cut out of the wrong one."""
+    words = " ".join(f"w{i}" for i in range(60))
+    letters = "".join(random.Random(1).choices("abcdefghij", k=400))
+    rows = [(1, "p" * 150), (1, letters), (1, "a " * 60), (1, words), (2, words), (2, letters[:200]), (3, "p" * 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.digest(docs).collect()}
+    assert got == {(1, 150, 149), (1, 400, 0), (1, 120, 118), (1, len(words), 0), (2, len(words), len(words)), (2, 200, 200), (3, 150, 150)}
+    got = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in automaton_dedup.digest(docs).collect()}
+    assert got == {(1, 1, 0), (1, 60, 59), (1, 60, 0), (2, 60, 60), (2, 1, 0), (3, 1, 0)}
+
+
+def test_very_long_texts(spark):
+    """Over several segments, with repeats across their borders."""
+    r = random.Random(2)
+    long = " ".join(f"{r.choice('abcdef')}{r.randrange(10**6)}" for _ in range(160_000))
+    rows = [(1, long), (2, "start " + long[600_000:700_000] + " end"), (3, long[1000:1050])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: (x["n_removed"], x["n_spans"]) for x in suffix_dedup.digest(docs).collect()}
+    assert len(long) > 3 * (1 << 18) and got[1] == got[3] == (0, 0) and got[2][1] == 1 and 100_000 <= got[2][0] <= 100_002
+    got = {x["doc_id"]: x["n_removed"] for x in automaton_dedup.digest(docs).collect()}
+    assert got[1] == got[3] == 0 and abs(got[2] - len(long[600_000:700_000].split())) <= 2
 
 
 def test_words_against_brute_force(docs, by_id):
@@ -101,15 +138,38 @@ def test_empty_and_repeated_rows(docs, empty, by_id):
     assert {tuple(r) for r in automaton_dedup.digest(docs.union(docs)).collect()} == once
 
 
-def test_repeated_rows_of_hot_anchors(monkeypatch):
-    """A row that repeats a doc_id doesn't mark its own windows, however many contents an anchor has; also where segments cut it elsewhere."""
-    group = [(1, 0, 4, b"abcdefg"), (1, 0, 2, b"abcde"), (1, 2, 2, b"cdefg"), (2, 5, 2, b"abcde"), (2, 5, 2, b"abcde"), (3, 0, 3, b"xbcdef"), (3, 0, 3, b"xbcdef")]
-    words = [(d, lo, n, b" ".join(bytes([c]) for c in p)) for d, lo, n, p in group]
-    for hot in (1, 1 << 20):
-        monkeypatch.setattr(suffix_dedup, "HOT", hot)
-        monkeypatch.setattr(automaton_dedup, "HOT", hot)
-        assert set(suffix_dedup._resolver(4)(iter([group]))) == {(2, 5, 6), (3, 1, 2)}
-        assert set(automaton_dedup._resolver(4)(iter([words]))) == {(2, 5, 6), (3, 1, 2)}
+def test_resolvers():
+    piece = lambda d, lo, n, raw: repeats.Piece(d, 0, lo, n, d, False, raw)
+    group = [piece(1, 0, 4, b"abcdefg"), piece(2, 5, 2, b"abcde"), piece(3, 0, 3, b"xbcdef")]
+    words = [piece(p.doc, p.lo, p.n, b" ".join(bytes([c]) for c in p.raw)) for p in group]
+    for most in (1, 1 << 20):
+        assert {(p.doc, a, b) for p, a, b in suffix_dedup._resolver(4, most)(iter([group, group]))} == {(2, 5, 6), (3, 1, 2)}
+    assert {(p.doc, a, b) for p, a, b in automaton_dedup._resolver(4)(iter([words]))} == {(2, 5, 6), (3, 1, 2)}
+
+
+def decided(rows, most, size):
+    """What _decide makes of rows (key, content, doc, lo), read in batches of a size."""
+    u = lambda x: np.array(x, np.int64)
+    key, content, doc, lo = (u([r[i] for r in rows]) for i in range(4))
+    parts = [pa.RecordBatch.from_arrays([pa.array(x[a : a + size]) for x in (key, np.zeros(len(key), bool), key, content, doc, u([0] * len(key)), lo, lo)], [x.split()[0] for x in repeats.ROUTED.split(", ")]) for a in range(0, len(key), size)]
+    out = [r for b in repeats._decide(most)(iter(parts)) for r in b.to_pylist()]
+    return sorted((r["what"], r["key"] if r["key"] in (1, 2, 3, 4) else 0, r["doc"], r["second"]) for r in out)
+
+
+def test_decide_reads_keys_over_many_batches():
+    """Also a key whose classes outgrow what is held, whatever the batches."""
+    r = random.Random(4)
+    rows = []
+    for key in (1, 2, 3, 4):
+        contents = [r.choice([1, 1, 2, 5]) for _ in range([1, 3, 40, 2][key - 1])]
+        rows += [(key, c, 100 * c + k, 0) for c, n in enumerate(contents) for k in range(n)]
+    rows += [x for x in rows if r.random() < 0.2]  # repeated rows
+    rows.sort()
+    want = decided(rows, 10, 10_000)
+    for size in (1, 2, 3, 7, 20):
+        assert set(decided(rows, 10, size)) == set(want)
+    firsts = {k: {x[2] for x in want if x[:2] == (repeats.ASK if k != 3 else repeats.SPLIT, k) and not x[3]} for k in (2, 3)}
+    assert firsts == {2: {0, 100, 200}, 3: {100 * c for c in range(40)}}
 
 
 def test_long_text_in_segments(monkeypatch):
