@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 #: Most rows that a size-checked broadcast sends: ids of 8 bytes and a few numbers, some tens of MB at the very most.
 BROADCAST_ROWS = 500_000
 
+#: Setting: shuffle files are removed at the end of each query.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Counters of a row of a table of counters.
 CHUNK = 1 << 14
 
@@ -43,8 +45,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: cuts the lineage, survives lost executors."""
+    """Writes ``df`` to the shared folder and reads it again: cuts the lineage, survives lost executors.
+
+    Shuffle files of the write are of no use afterwards, so executors drop them when it is done.
+    """
     spark = df.sparkSession
+    if spark.conf.get(CLEANUP, None) != "true":
+        spark.conf.set(CLEANUP, "true")
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
