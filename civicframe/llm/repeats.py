@@ -7,9 +7,11 @@ Hashes only route: (key of the anchor, hash of the neighbourhood, document, rang
 
 * Documents with equal texts are one class: the first takes part, the others follow it.
 * A key with one neighbourhood: none of its windows repeats.
-* Neighbourhoods of a key with equal hashes are a class. Of each class the first member, and the second if there is one,
-  are asked for their symbols, and a resolver (suffix array, suffix automaton) compares the windows of a key. The other
-  members follow the second one: they are repeated if the resolver found all windows of the second to be.
+* Neighbourhoods of a key with equal hashes are a class. Where a key has several classes, their first members are asked
+  for their symbols, and a resolver (suffix array, suffix automaton) compares their windows.
+* The first and the second member of a class are compared too, under a key of the two documents and their distance, so
+  that adjoining neighbourhoods of two documents are one piece. The other members follow the second one: they are
+  repeated if the resolver found all windows of the second to be.
 
 Hot anchors (a line in a third of all documents) aren't one group: occurrences of anchors are counted over all documents
 in a table of fixed size. An anchor beyond SOME splits its neighbourhoods into ranges of ``step`` windows, whose key is
@@ -60,15 +62,14 @@ class Kind:
 
 @dataclass(frozen=True)
 class Piece:
-    """What an ask got: windows ``lo`` to ``lo + n - 1`` of a document, as bytes of their symbols."""
+    """What asks got: windows ``lo`` to ``lo + n - 1`` of a document, as bytes of their symbols. ``classes``: (class, first window, windows), 64 bits each, of the classes whose second member stands there."""
 
     doc: int
     ver: int
     lo: int
     n: int
-    cls: int
-    second: bool
     raw: bytes
+    classes: bytes = b""
 
 
 #: The windows ``lo`` to ``hi`` of a piece also start earlier.
@@ -257,33 +258,48 @@ def _windows(kind: Kind):
     return run
 
 
+def _pair_keys(rows: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
+    """Under which key the first two members of each class are compared."""
+    key, content, doc, ver, lo, _ = rows
+    j = np.flatnonzero(rank == 1)
+    i = j - 1
+    one, two = (mix(doc[x].view(np.uint64) + mix(ver[x].view(np.uint64))) for x in (i, j))
+    pair = mix(one * np.uint64(3) + mix(two + (lo[j] - lo[i]).view(np.uint64)))
+    out = np.zeros(len(rank), np.uint64)
+    out[j] = out[i] = np.where(one == two, _class(key[j], content[j]), pair)  # within a document pieces may overlap: each class by itself
+    return out
+
+
 def _decide(most: int):
-    """Of rows sorted by (route, key, content, document, start): who is compared, who follows. Holds two rows of each of ``most`` classes at most."""
+    """Of rows sorted by (key, content, document, start): who is compared, who follows. Holds two rows of each of ``most`` classes at most."""
 
     def out(what: int, rows: list[np.ndarray], pick: np.ndarray, key: np.ndarray | None = None, second: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         if pick.any():
             own, content, *place = (x[pick] for x in rows)
             n = len(own)
-            yield _batch(DECIDED, [np.full(n, what, np.int8), own if key is None else key[pick], _class(own, content), np.zeros(n, bool) if second is None else second[pick], *place])
+            none = np.zeros(n, np.int64)
+            cls = _class(own, content) if what == FOLLOW or key is not None else none
+            yield _batch(DECIDED, [np.full(n, what, np.int8), none if what == FOLLOW else own if key is None else key[pick], cls, np.zeros(n, bool) if second is None else second[pick], *place])
+
+    def classes(rows: list[np.ndarray], rank: np.ndarray, fresh: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """What comes of each class whatever its key: the first two are compared (once the second is there), the others follow."""
+        paired = np.append(rank[1:] == 1, False)
+        second = rank == 1
+        now = (fresh & second) | (paired & np.append((fresh & second)[1:], False))
+        yield from out(ASK, rows, now, _pair_keys(rows, rank), second)
+        yield from out(FOLLOW, rows, fresh & (rank > 1))
 
     def whole(rows: list[np.ndarray], rank: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Keys with all their rows."""
         if not len(rank):
             return
-        fresh = np.ones(len(rank), bool)
-        fresh[1:] = rows[0][1:] != rows[0][:-1]
-        at = np.flatnonzero(fresh)
+        new = np.ones(len(rank), bool)
+        new[1:] = rows[0][1:] != rows[0][:-1]
+        at = np.flatnonzero(new)
         contents = np.repeat(np.add.reduceat((rank == 0).astype(np.int64), at), np.diff(np.append(at, len(rank))))
-        paired = np.append(rank[1:] == 1, False)  # the first of a class of two
-        large = contents > most
-        yield from out(ASK, rows, ~large & ((rank == 0) & ((contents > 1) | paired) | (rank == 1)), None, rank == 1)
-        yield from split(rows, rank, large & (rank <= 1), paired)
-        yield from out(FOLLOW, rows, rank > 1)
-
-    def split(rows: list[np.ndarray], rank: np.ndarray, pick: np.ndarray, paired: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """First members are dealt anew; a class of two or more is compared under a key of its own."""
-        yield from out(SPLIT, rows, pick & (rank == 0))
-        yield from out(ASK, rows, pick & (paired | (rank == 1)), _class(rows[0], rows[1]), rank == 1)
+        yield from out(ASK, rows, (rank == 0) & (contents > 1) & (contents <= most))
+        yield from out(SPLIT, rows, (rank == 0) & (contents > most))
+        yield from classes(rows, rank, np.ones(len(rank), bool))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -295,7 +311,7 @@ def _decide(most: int):
             if member.any():
                 cls, *place = (x[member] for x in rows[1:])
                 n = len(cls)
-                yield _batch(DECIDED, [np.full(n, FOLLOW, np.int8), cls, cls, np.zeros(n, bool), *place])
+                yield _batch(DECIDED, [np.full(n, FOLLOW, np.int8), np.zeros(n, np.int64), cls, np.zeros(n, bool), *place])
                 rows = [x[~member] for x in rows]
             if rest is not None:
                 rows = [np.concatenate(x) for x in zip(rest, rows, strict=True)]
@@ -304,13 +320,9 @@ def _decide(most: int):
             rows, rank = _ranks(rows)
             if streaming:  # the open key's rows come first
                 n = int(np.count_nonzero(rows[0] == rows[0][0]))
-                own, r = [x[:n] for x in rows], rank[:n]
-                new = np.arange(n) >= sent
-                paired = np.append(r[1:] == 1, False)
-                late = paired & np.append(new[1:], False)  # its second came now
+                own, r, new = [x[:n] for x in rows], rank[:n], np.arange(n) >= sent
                 yield from out(SPLIT, own, new & (r == 0))
-                yield from out(ASK, own, late | (new & (r == 1)), _class(own[0], own[1]), r == 1)
-                yield from out(FOLLOW, own, new & (r > 1))
+                yield from classes(own, r, new)
                 if n == len(rows[0]):
                     begin = n - 1 - int(r[-1])
                     rest = [x[begin : begin + 2] for x in own]
@@ -324,7 +336,8 @@ def _decide(most: int):
             yield from out(FOLLOW, rest, rank > 1)
             rest, rank = [x[rank <= 1] for x in rest], rank[rank <= 1]
             if int(np.count_nonzero(rank == 0)) > most:
-                yield from split(rest, rank, np.ones(len(rank), bool), np.append(rank[1:] == 1, False))
+                yield from out(SPLIT, rest, rank == 0)
+                yield from classes(rest, rank, np.ones(len(rank), bool))
                 begin = len(rank) - 1 - int(rank[-1])
                 rest, streaming = [x[begin:] for x in rest], True
                 sent = len(rest[0])
@@ -334,9 +347,13 @@ def _decide(most: int):
     return run
 
 
+#: Windows of a piece that is joined of several.
+JOINED = 1 << 16
+
+
 def _cut(kind: Kind):
-    """The symbols of asks, as bytes."""
-    names = ["key", "cls", "second", "doc", "ver", "lo", "n", "piece"]
+    """The symbols of asks, as bytes; what adjoins in one document, of the classes that it shares with another, is one piece."""
+    names = ["key", "doc", "ver", "lo", "n", "piece", "classes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,41 +361,59 @@ def _cut(kind: Kind):
             for raw, _, begin, end, first, text, row, asks in _asked_places(batch, kind, 3):
                 if not len(row):
                     continue
-                lo, hi = (asks.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi"))
-                a, b = begin[first[text] + lo], end[first[text] + hi + kind.window - 1]
-                data = raw.tobytes()
-                for at in range(0, len(lo), 20_000):
-                    to = min(at + 20_000, len(lo))
-                    pieces = [data[x:y] for x, y in zip(a[at:to].tolist(), b[at:to].tolist(), strict=True)]
-                    some, r = asks.slice(at, to - at), row[at:to]
-                    yield pa.RecordBatch.from_arrays([*(some.field(n) for n in ("key", "cls", "second")), *(pa.array(x) for x in (ids[r], vers[r], lo[at:to], (hi - lo + 1)[at:to])), pa.array(pieces, pa.binary())], names)
+                lo, hi, key, cls, second = (asks.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi", "key", "cls", "second"))
+                order = np.lexsort((lo, second, key, row))
+                lo, hi, key, cls, second, row, text = (x[order] for x in (lo, hi, key, cls, second, row, text))
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (second[1:] != second[:-1]) | (lo[1:] != hi[:-1] + 1) | (lo[1:] // JOINED != lo[:-1] // JOINED) | (cls[1:] == 0)
+                at = np.flatnonzero(new)
+                last = np.append(at[1:], len(row)) - 1
+                a, b = begin[first[text[at]] + lo[at]].tolist(), end[first[text[at]] + hi[last] + kind.window - 1].tolist()
+                parts = np.stack([cls, lo, hi - lo + 1], 1).astype(np.int64)
+                data, marked = raw.tobytes(), second[at].tolist()
+                columns = [key[at], ids[row[at]], vers[row[at]], lo[at], hi[last] - lo[at] + 1]
+                for i in range(0, len(at), 20_000):
+                    j = min(i + 20_000, len(at))
+                    pieces = [data[x:y] for x, y in zip(a[i:j], b[i:j], strict=True)]
+                    known = [parts[x : y + 1].tobytes() if m else b"" for x, y, m in zip(at[i:j].tolist(), last[i:j].tolist(), marked[i:j], strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x[i:j]) for x in columns), pa.array(pieces, pa.binary()), pa.array(known, pa.binary())], names)
 
     return run
 
 
+#: Ranges that are repeated; and, with ``cls``, how many of the windows of a class's second member are.
+ANSWER = "doc long, ver long, lo long, hi long, cls long, found long, windows long"
+
+
 def _answers(resolve: Resolver):
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Piece]]:
         group, of, last = [], None, None
         for batch in batches:
-            for key, cls, second, doc, ver, lo, n, raw in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+            for key, *place, raw, classes in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if key != of and group:
                     yield group
                     group = []
-                if key != of or last != (doc, ver, lo):  # a row that repeats a doc_id with its text brings its pieces again
-                    group.append(Piece(doc, ver, lo, n, cls, second, raw))
-                of, last = key, (doc, ver, lo)
+                now = (key, *place, classes)
+                if now != last:  # a row that repeats a doc_id with its text brings its pieces again
+                    group.append(Piece(*place, raw, classes))
+                of, last = key, now
         if group:
             yield group
 
     def rows(out: list[Found]) -> pa.RecordBatch:
-        columns = [[p.doc for p, _, _ in out], [p.ver for p, _, _ in out], [a for _, a, _ in out], [b for _, _, b in out], [p.cls for p, _, _ in out], [p.n if p.second else 0 for p, _, _ in out]]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["doc", "ver", "lo", "hi", "cls", "all"])
+        ranges = [(p.doc, p.ver, a, b, None, None, None) for p, a, b in out]
+        for p, a, b in out:
+            if p.classes:
+                of = np.frombuffer(p.classes, np.int64).reshape(-1, 3)
+                both = np.minimum(of[:, 1] + of[:, 2], b + 1) - np.maximum(of[:, 1], a)
+                ranges += [(None, None, None, None, c, f, n) for c, f, n in zip(of[:, 0].tolist(), both.tolist(), of[:, 2].tolist(), strict=True) if f > 0]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*ranges, strict=True) if ranges else [[]] * 7)], [x.split()[0] for x in ANSWER.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[Found] = []
         for one in resolve(groups(batches)):
             out.append(one)
-            if len(out) >= 50_000:
+            if len(out) >= 20_000:
                 yield rows(out)
                 out = []
         yield rows(out)
@@ -417,7 +452,7 @@ def repeated_ranges(docs: DataFrame, copies: DataFrame, kind: Kind, resolve: Res
     levels = spark.sparkContext.broadcast(_levels(counts, kind.some, kind.many))
 
     def decided(rows: DataFrame) -> DataFrame:
-        rows = rows.repartition("route").sortWithinPartitions("route", "key", "content", "doc", "ver", "lo")
+        rows = rows.repartition("route").sortWithinPartitions("key", "content", "doc", "ver", "lo")
         return written(rows.mapInArrow(_decide(kind.contents), DECIDED), "repeats")
 
     def with_asks(asks: DataFrame) -> DataFrame:
@@ -429,15 +464,15 @@ def repeated_ranges(docs: DataFrame, copies: DataFrame, kind: Kind, resolve: Res
     again = found.where(F.col("what") == SPLIT)
     if not again.isEmpty():
         found = found.unionByName(decided(with_asks(again).mapInArrow(_windows(kind), ROUTED)))
-    pieces = with_asks(found.where(F.col("what") == ASK)).mapInArrow(_cut(kind), "key long, cls long, second boolean, doc long, ver long, lo long, n long, piece binary")
-    answers = pieces.repartition("key").sortWithinPartitions("key", "doc", "ver", "lo").mapInArrow(_answers(resolve), "doc long, ver long, lo long, hi long, cls long, all long")
+    pieces = with_asks(found.where(F.col("what") == ASK)).mapInArrow(_cut(kind), "key long, doc long, ver long, lo long, n long, piece binary, classes binary")
+    answers = pieces.repartition("key").sortWithinPartitions("key", "doc", "ver", "lo", "classes").mapInArrow(_answers(resolve), ANSWER)
     answers = written(answers, "repeats-answers")
-    sure = answers.where("all > 0").groupBy("cls").agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("got"), F.max("all").alias("all"))
-    sure = written(sure.where("got >= all").select("cls"), "repeats-classes")
+    sure = answers.where("cls is not null").groupBy("cls").agg(F.sum("found").alias("found"), F.max("windows").alias("windows"))
+    sure = written(sure.where("found >= windows").select("cls"), "repeats-classes")
     followers = found.where(F.col("what") == FOLLOW).join(broadcast_if_small(sure), "cls", "left_semi")
     place = [F.col("doc").alias("doc_id"), "ver", "lo", "hi"]
     whole = copies.select("doc_id", "ver", F.lit(0).cast("long").alias("lo"), F.lit(WHOLE).cast("long").alias("hi"))
-    return answers.select(*place).unionByName(followers.select(*place)).unionByName(whole)
+    return answers.where("doc is not null").select(*place).unionByName(followers.select(*place)).unionByName(whole)
 
 
 def flagged(piece: Piece, flags: np.ndarray) -> Iterator[Found]:

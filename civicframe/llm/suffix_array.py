@@ -100,8 +100,8 @@ def _names(text: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> np.ndarra
     return name[lms]
 
 
-def _order(names: np.ndarray, depth: int | None) -> np.ndarray:
-    """Order of the suffixes of the reduced string: ranks of twice as many names from pairs of ranks, until all differ."""
+def _order(names: np.ndarray, lms: np.ndarray, depth: int | None) -> np.ndarray:
+    """Order of the suffixes of the reduced string: ranks of twice as many names from pairs of ranks, until all differ, or cover ``depth`` bytes."""
     rank, k = names, 1
     while True:
         nxt = np.zeros_like(rank)
@@ -112,7 +112,7 @@ def _order(names: np.ndarray, depth: int | None) -> np.ndarray:
         new = np.empty_like(rank)
         new[order] = np.concatenate(([0], np.cumsum(step[1:] != step[:-1])))
         rank, k = new, 2 * k
-        if k >= len(rank) or int(rank.max()) == len(rank) - 1 or depth is not None and 2 * k >= depth:
+        if k >= len(rank) or int(rank.max()) == len(rank) - 1 or depth is not None and int((lms[k:] - lms[:-k]).min()) >= depth:
             return np.argsort(rank, kind="stable")
 
 
@@ -128,7 +128,7 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
         is_lms[lms] = True
         in_order = sa[is_lms[sa]]
         names = _names(text, lms, in_order)
-        lms = in_order if int(names.max()) == len(lms) - 1 else lms[_order(names, depth)]
+        lms = in_order if int(names.max()) == len(lms) - 1 else lms[_order(names, lms, depth)]
     return _induce(text, s_type, lms)
 
 

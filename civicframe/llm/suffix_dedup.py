@@ -41,29 +41,26 @@ def shard_repeats(pieces: list[repeats.Piece], window: int) -> Iterator[repeats.
     """The windows among the pieces that also start earlier in a piece."""
     text = np.frombuffer(b"".join(p.raw for p in pieces), np.uint8)
     sizes = np.array([len(p.raw) for p in pieces])
-    begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    begin = np.cumsum(sizes) - sizes
     n = np.array([p.n for p in pieces])
+    _, doc = np.unique(np.array([(p.doc, p.ver) for p in pieces], np.int64), axis=0, return_inverse=True)
+    # when each window starts: its document, and its start there (below 2**40); -1 where no window of a piece starts
+    when = np.full(len(text), -1)
+    at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    when[at] = np.repeat((doc.ravel() << 40) + np.array([p.lo for p in pieces]) - begin, n) + at
     sa = suffix_array(text, depth=window)
-    plcp = permuted_lcp(text, sa, window)
-    run = np.cumsum(plcp[sa] < window)  # equal windows have one number
-    piece = np.repeat(np.arange(len(pieces)), n)
-    shift = np.arange(len(piece)) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
-    run_at = np.empty(len(text), np.int64)
-    run_at[sa] = run
-    mine = run_at[begin[piece] + shift]
-    doc, ver, lo = (np.array(x)[piece] for x in ([p.doc for p in pieces], [p.ver for p in pieces], [p.lo for p in pieces]))
-    start = lo + shift
-    order = np.lexsort((start, ver, doc, mine))
-    first = np.ones(len(order), bool)
-    first[1:] = mine[order][1:] != mine[order][:-1]
-    head = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
-    again = np.zeros(len(order), bool)
-    again[order] = ~first & ((doc[order] != doc[head]) | (ver[order] != ver[head]) | (start[order] != start[head]))
-    at = 0
-    for p in pieces:
-        if again[at : at + p.n].any():
-            yield from repeats.flagged(p, again[at : at + p.n])
-        at += p.n
+    fresh = permuted_lcp(text, sa, window)[sa] < window  # in order of suffixes, equal windows stand together
+    starts = when[sa] >= 0
+    run = np.cumsum(fresh)[starts]
+    sa = sa[starts]
+    new = np.flatnonzero(np.diff(run, prepend=-1))
+    earliest = np.minimum.reduceat(when[sa], new) if len(new) else run
+    again = np.zeros(len(text), bool)
+    again[sa] = when[sa] != np.repeat(earliest, np.diff(np.append(new, len(sa))))
+    for p, x in zip(pieces, begin.tolist(), strict=True):
+        flags = again[x : x + p.n]
+        if flags.any():
+            yield from repeats.flagged(p, flags)
 
 
 def _resolver(window: int, most: int = SHARD) -> repeats.Resolver:

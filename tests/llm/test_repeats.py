@@ -139,7 +139,7 @@ def test_empty_and_repeated_rows(docs, empty, by_id):
 
 
 def test_resolvers():
-    piece = lambda d, lo, n, raw: repeats.Piece(d, 0, lo, n, d, False, raw)
+    piece = lambda d, lo, n, raw: repeats.Piece(d, 0, lo, n, raw)
     group = [piece(1, 0, 4, b"abcdefg"), piece(2, 5, 2, b"abcde"), piece(3, 0, 3, b"xbcdef")]
     words = [piece(p.doc, p.lo, p.n, b" ".join(bytes([c]) for c in p.raw)) for p in group]
     for most in (1, 1 << 20):
@@ -168,8 +168,8 @@ def test_decide_reads_keys_over_many_batches():
     want = decided(rows, 10, 10_000)
     for size in (1, 2, 3, 7, 20):
         assert set(decided(rows, 10, size)) == set(want)
-    firsts = {k: {x[2] for x in want if x[:2] == (repeats.ASK if k != 3 else repeats.SPLIT, k) and not x[3]} for k in (2, 3)}
-    assert firsts == {2: {0, 100, 200}, 3: {100 * c for c in range(40)}}
+    firsts = {k: {x[2] for x in want if x[:2] == (repeats.ASK if k != 3 else repeats.SPLIT, k) and not x[3]} for k in (1, 2, 3)}
+    assert firsts == {1: set(), 2: {0, 100, 200}, 3: {100 * c for c in range(40)}}
 
 
 def test_long_text_in_segments(monkeypatch):
