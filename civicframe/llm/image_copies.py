@@ -1,16 +1,20 @@
-"""Copies of images, cropped or edited, by local descriptors.
+"""Copies of images, cropped, resized, turned or edited, by local descriptors.
 
-Corners are found at several scales, each gets an orientation from the intensity centroid of its disc, and a 256-bit
-descriptor of brightness comparisons in the disc, turned by that orientation. Descriptors are put into TABLES Hamming
-tables by their 32-bit parts; a key is a part of a corner and of its two nearest corners with their directions, since
-single parts of simple pictures are too common. Of an image's many keys in all tables one that an edit leaves is enough. Images that share keys are
-candidates, which are verified on their whole descriptor sets: matches within DISTANCE bits must agree on one scale,
-rotation and shift. Images with equal pixels are one class and only its first image is compared. Long lists of a table go through pivots (``linking``).
+Corners are found at five scales, each gets an orientation from the intensity centroid of its disc, and a 256-bit
+descriptor of brightness comparisons in the smoothed disc, turned by that orientation. Descriptors are put into TABLES
+Hamming tables; a key is KEY_BITS of a corner's descriptor with those of two of its NEAR nearest corners of its scale, and
+where these lie and how they are turned as seen from it, in sectors and octaves: the same in any turned, resized or
+cropped copy. A corner has a key for each two neighbours in each table, of which one that an edit leaves is enough, since
+images that share a key are candidates. These are verified on their whole descriptor sets: matches within DISTANCE bits
+must agree on one scale, rotation and shift. Images with equal pixels are one class and only its first image is
+compared. Long lists of a table go through pivots (``linking``).
 
-An image is a row (image_id long, width int, height int, pixels binary): one byte of grey a pixel, by rows.
+An image is a row (image_id long, width int, height int, pixels binary): one byte of grey a pixel, by rows. Corners are
+compared in blocks, so memory follows their number, not its square.
 
 Defined cases: null or ill-sized pixels, and images without corners, are linked only with equal images (null: with
-nothing); repeated ids are one image; an empty table gives an empty result.
+nothing); of rows that repeat an id with other pixels the one with the smallest hash counts, readable ones first; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,15 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import bound_arrow_batches, mix, written
+from civicframe.llm.common import bound_arrow_batches, broadcast_if_small, mix, written
 from civicframe.llm.linking import link_members
 
-#: Pyramid, radius of a disc, tables of 64 bits, differing bits of a match, matches that agree, pixels of tolerance, longest list with pairs.
-SCALES, RADIUS, TABLES, DISTANCE, AGREE, PIXELS, SHORT = (1.0, 0.75, 0.5), 9, 8, 32, 10, 3.0, 6
-#: Sectors that the direction to a corner beside another falls into.
-SECTORS = 16
+#: Pyramid, radius of a disc, smoothing before comparisons, differing bits of a match, matches that agree, pixels of tolerance, longest list with pairs.
+SCALES, RADIUS, SMOOTH, DISTANCE, AGREE, PIXELS, SHORT = tuple(2.0 ** (-k / 4) for k in range(5)), 9, 3, 32, 12, 3.0, 6
+#: Tables, bits of a descriptor in a key, neighbours of a corner, sectors of a turn, parts of an octave.
+TABLES, KEY_BITS, NEAR, SECTORS, OCTAVE = 4, 20, 3, 16, 2.0
 #: Part of an image's strongest corner response that counts as a corner.
 STRENGTH = 0.03
+#: Entries of a block of corners x corners.
+BLOCK = 1 << 21
 
 
 def _pattern() -> np.ndarray:
@@ -104,6 +110,7 @@ def describe(images: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not len(k):
             continue
         yy, xx = yy + edge, xx + edge
+        smooth = _blur(x, SMOOTH)
         d = np.arange(-RADIUS, RADIUS + 1)
         disc = d[:, None] ** 2 + d[None, :] ** 2 <= RADIUS**2
         dy, dx = (v[disc] for v in np.meshgrid(d, d, indexing="ij"))
@@ -140,23 +147,49 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([ids[r] for r in some], pa.int64()), pa.array([x for x, _, _ in sets], pa.binary()), pa.array([x for _, x, _ in sets], pa.binary()), pa.array([x for _, _, x in sets], pa.int64())], ["id", "places", "bits", "n"])
 
 
+def _nearest(places: np.ndarray) -> np.ndarray:
+    """Up to NEAR corners of its scale that are nearest to each corner, -1 for none, in blocks; those too close to see anything else don't count."""
+    near = np.full((len(places), NEAR), -1)
+    for scale in np.unique(places[:, 2]):
+        own = np.flatnonzero(places[:, 2] == scale)
+        k = min(NEAR, len(own) - 1)
+        if k < 2:
+            continue
+        xy = places[own, :2].astype(np.float32)
+        step = max(1, BLOCK // len(own))
+        for at in range(0, len(own), step):
+            gap = np.square(xy[at : at + step, None] - xy[None]).sum(-1)
+            gap[gap < (2.5 * scale) ** 2] = np.inf
+            order = np.argpartition(gap, k - 1, axis=1)[:, :k]
+            gap = np.take_along_axis(gap, order, 1)
+            place = np.argsort(gap, axis=1, kind="stable")
+            order, gap = np.take_along_axis(order, place, 1), np.take_along_axis(gap, place, 1)
+            near[own[at : at + step], :k] = np.where(np.isfinite(gap), own[order], -1)
+    return near
+
+
 def tokens_of(places: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Distinct keys of an image in all tables: a part of a corner with the same part of its two nearest corners."""
+    """Distinct keys of an image in all tables: bits of a corner with those of two of its nearest corners, and how they lie."""
     n = len(places)
     if n < 3:
         return np.zeros(0, np.int64)
-    gap = np.square(places[:, None, :2] - places[None, :, :2]).sum(-1)
-    np.fill_diagonal(gap, np.inf)
-    gap[gap < 1] = np.inf  # the same corner at another scale
-    near = np.argpartition(gap, 1, axis=1)[:, :2]
-    parts = mix(bits.view("<u4").reshape(n, TABLES).astype(np.uint64) + (np.arange(1, TABLES + 1, dtype=np.uint64) << np.uint64(32)))
-    # where the two lie, as seen along the corner's own orientation: the same in any turned, scaled or cropped copy
-    step = places[near][:, :, :2] - places[:, None, :2]
-    turn = np.arctan2(step[..., 1], step[..., 0]) - places[:, None, 3]
-    sector = np.floor(turn * (SECTORS / (2 * np.pi))).astype(np.int64) % SECTORS
-    where = mix(sector.astype(np.uint64) + np.uint64(SECTORS))[:, :, None]
-    beside = mix(parts[near] ^ where).sum(1, dtype=np.uint64)
-    return np.unique(mix(parts * np.uint64(3) + beside)).view(np.int64)
+    near = _nearest(places)
+    xy, scale, angle = places[:, :2], places[:, 2], places[:, 3]
+    sector = lambda x: np.floor(x * (SECTORS / (2 * np.pi))).astype(np.int64) % SECTORS
+    words = np.unpackbits(bits, axis=1).reshape(n, TABLES, -1)[:, :, :KEY_BITS] @ (1 << np.arange(KEY_BITS, dtype=np.int64))
+    parts = mix(words.astype(np.uint64) + (np.arange(1, TABLES + 1, dtype=np.uint64) << np.uint64(40)))
+    beside = []
+    for b in near.T:
+        d = xy[b] - xy
+        octave = np.floor(np.log2(np.maximum(np.hypot(d[:, 0], d[:, 1]), 1e-3) / scale) * OCTAVE).astype(np.int64)
+        lies = (sector(np.arctan2(d[:, 1], d[:, 0]) - angle) * SECTORS + sector(angle[b] - angle)) * 1024 + octave + 512
+        beside.append(mix(parts[b] ^ mix(lies.astype(np.uint64))[:, None]))
+    keys = [np.zeros(0, np.uint64)]
+    for i in range(NEAR):
+        for j in range(i):
+            both = (near[:, i] >= 0) & (near[:, j] >= 0)
+            keys.append(mix(parts * np.uint64(3) + beside[i] + beside[j])[both].ravel())
+    return np.unique(np.concatenate(keys)).view(np.int64)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,23 +205,37 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def agree(places_a: np.ndarray, bits_a: np.ndarray, places_b: np.ndarray, bits_b: np.ndarray) -> int:
     """Most matches that agree on one scale, rotation and shift from a to b."""
-    a, b = bits_a.view(np.uint64), bits_b.view(np.uint64)
-    distance = np.bitwise_count(a[:, None, :] ^ b[None, :, :]).sum(-1)
-    i = np.arange(len(a))
-    j = distance.argmin(1)
-    keep = (distance[i, j] <= DISTANCE) & (distance.argmin(0)[j] == i)  # each other's nearest
-    i, j = i[keep], j[keep]
+    a, b = np.ascontiguousarray(bits_a).view(np.uint64), np.ascontiguousarray(bits_b).view(np.uint64)
+    if not len(a) or not len(b):
+        return 0
+    to_b, gap_b = np.zeros(len(a), int), np.zeros(len(a), int)
+    to_a, gap_a = np.zeros(len(b), int), np.full(len(b), 257)
+    step = max(1, BLOCK // (4 * len(b)))
+    for at in range(0, len(a), step):
+        distance = np.bitwise_count(a[at : at + step, None, :] ^ b[None, :, :]).sum(-1, dtype=np.int16)
+        to_b[at : at + step] = j = distance.argmin(1)
+        gap_b[at : at + step] = distance[np.arange(len(j)), j]
+        i = distance.argmin(0)
+        least = distance[i, np.arange(len(b))]
+        closer = least < gap_a
+        to_a[closer], gap_a[closer] = i[closer] + at, least[closer]
+    i = np.flatnonzero((gap_b <= DISTANCE) & (to_a[to_b] == np.arange(len(a))))  # each other's nearest
+    j = to_b[i]
     if len(i) < AGREE:
         return len(i)
     p, q = places_a[i], places_b[j]
     scale, turn = q[:, 2] / p[:, 2], q[:, 3] - p[:, 3]
     x, y = scale * np.cos(turn), scale * np.sin(turn)
-    # where each hypothesis (a match) puts all corners of the matches
-    dx, dy = p[None, :, 0] - p[:, None, 0], p[None, :, 1] - p[:, None, 1]
-    px = q[:, None, 0] + x[:, None] * dx - y[:, None] * dy
-    py = q[:, None, 1] + y[:, None] * dx + x[:, None] * dy
-    reach = PIXELS * np.maximum(1, np.hypot(dx, dy) * scale[:, None] / 40)
-    return int((np.hypot(px - q[None, :, 0], py - q[None, :, 1]) <= reach).sum(1).max())
+    best, step = 0, max(1, BLOCK // (4 * len(i)))
+    for at in range(0, len(i), step):
+        some = slice(at, at + step)
+        # where each hypothesis (a match) puts all corners of the matches
+        dx, dy = p[None, :, 0] - p[some, None, 0], p[None, :, 1] - p[some, None, 1]
+        px = q[some, None, 0] + x[some, None] * dx - y[some, None] * dy
+        py = q[some, None, 1] + y[some, None] * dx + x[some, None] * dy
+        reach = PIXELS * np.maximum(1, np.hypot(dx, dy) * scale[some, None] / 40)
+        best = max(best, int((np.hypot(px - q[None, :, 0], py - q[None, :, 1]) <= reach).sum(1).max()))
+    return best
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,24 +247,59 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(2)], ["a", "b"])
 
 
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (token, id) -> pairs of lists up to SHORT (a, b), members of longer ones (token, id); a list of one gives nothing."""
+    names = ["token", "a", "b"]
+
+    def emit(token: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(token):
+            return
+        at = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        size = np.diff(np.append(at, len(token)))
+        size = np.repeat(size, size)
+        for gap in range(1, SHORT):
+            i = np.flatnonzero((token[gap:] == token[:-gap]) & (size[gap:] <= SHORT))
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(i), pa.int64()), pa.array(ids[i]), pa.array(ids[i + gap])], names)
+        i = np.flatnonzero(size > SHORT)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(token[i]), pa.array(ids[i]), pa.nulls(len(i), pa.int64())], names)
+
+    open_: list[tuple[np.ndarray, np.ndarray]] = []  # the last token's rows, which may go on
+    for batch in batches:
+        token, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        if not len(token):
+            continue
+        if token[0] == token[-1] and open_ and open_[0][0][0] == token[0]:
+            open_.append((token, ids))
+            continue
+        token, ids = (np.concatenate([*(x[k] for x in open_), y]) for k, y in enumerate((token, ids)))
+        cut = int(np.count_nonzero(token != token[-1]))
+        yield from emit(token[:cut], ids[:cut])
+        open_ = [(token[cut:], ids[cut:])]
+    if open_:
+        yield from emit(*(np.concatenate(x) for x in zip(*open_, strict=True)))
+
+
 def copies(images: DataFrame) -> DataFrame:
     """One row per image: image_id, n_corners, component_id (the smallest image_id among its copies, copies of those, and so on)."""
     bound_arrow_batches(images.sparkSession)
-    images = images.where("image_id is not null").select(F.col("image_id").cast("long").alias("id"), "width", "height", "pixels").dropDuplicates(["id"])
-    same = F.when(F.col("pixels").isNotNull(), F.sha2(F.concat(F.encode(F.concat_ws("x", "width", "height"), "utf-8"), F.col("pixels")), 256))
-    rows = written(images.select("id", same.alias("content")), "image-contents")
+    content = F.sha2(F.concat(F.encode(F.concat_ws("x", "width", "height"), "utf-8"), F.col("pixels")), 256)
+    images = images.where("image_id is not null").select(F.col("image_id").cast("long").alias("id"), "width", "height", "pixels", F.when(F.col("pixels").isNotNull(), content).alias("content"))
+    rows = written(images.select("id", "content"), "image-contents")
+    wanted = written(rows.groupBy("id").agg(F.count("*").alias("rows"), F.min("content").alias("wanted")), "image-ids")
+    several = wanted.where("rows > 1").select("id", "wanted")
+    if not several.isEmpty():
+        images = images.join(broadcast_if_small(several), "id", "left").where("wanted is null or content = wanted").dropDuplicates(["id"]).drop("wanted")
+    rows = wanted.select("id", F.col("wanted").alias("content"))
     first = rows.where("content is not null").groupBy("content").agg(F.min("id").alias("first"))
     rows = written(rows.join(first, "content", "left").select("id", F.coalesce("first", "id").alias("first")), "image-classes")
-    ones = images.join(rows.where("id = first").select("id"), "id", "left_semi")
+    ones = images.join(rows.where("id = first").select("id"), "id", "left_semi").select("id", "width", "height", "pixels")
     sets = written(ones.mapInArrow(_sets, "id long, places binary, bits binary, n long"), "image-corners")
-    members = written(sets.where(F.col("n") >= AGREE).select("id", "places", "bits").mapInArrow(_parts, "token long, id long"), "image-parts")
-    sizes = members.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(members.join(sizes, "token"), "image-lists")
-    other = members.where(F.col("size") <= SHORT)
-    pairs = other.alias("x").join(other.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    pairs = written(pairs, "image-pairs")
-    long = members.where(F.col("size") > SHORT).select("token", "id")
-    long = written(long, "image-long")
+    members = sets.where(F.col("n") >= AGREE).select("id", "places", "bits").mapInArrow(_parts, "token long, id long")
+    lists = written(members.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_lists, "token long, a long, b long"), "image-lists")
+    pairs = written(lists.where("token is null").select("a", "b").distinct(), "image-pairs")
+    long = written(lists.where("token is not null").select("token", F.col("a").alias("id")), "image-long")
 
     def verified(some: DataFrame) -> DataFrame:
         left = some.join(sets.select(F.col("id").alias("a"), F.col("places").alias("pa"), F.col("bits").alias("ba")), "a")
