@@ -7,11 +7,12 @@ are ranked by u/(1-u) divided by p/(1-p), u a reproducible uniform number and p
 lowest ranks fill the rest of the target. The size of the sample is fixed in words: the document at the boundary is
 taken in part, so that a source's words meet its target to the word.
 
-No sort of a whole source: ranks fall into buckets whose words are summed (map-side combine); only the rows of the one
-bucket that a source's boundary falls into are ordered.
+No sort of a whole source: ranks fall into buckets whose words are summed (map-side combine); the one bucket that a
+source's boundary falls into is refined until it holds few rows, and only these are ordered.
 
 Defined cases: a null text has size 0 and nothing is taken; a null source is a source of its own, last; repeated rows
-count as often as they stand there; without any words all targets are 0.
+count as often as they stand there; without any words all targets are 0; ties of the rank go by doc_id; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import broadcast_if_small, with_id, written
+from civicframe.llm.common import broadcast_if_small, written
 
 WEIGHTS = (5, 2, 1)
-BUCKETS = 4096
+#: Buckets of ranks, in each of which there are as many again; most levels; rows of an edge that are ordered.
+BUCKETS, FINEST, FEW = 4096, 4, 20_000
 
 
 def n_words(text: Column) -> Column:
@@ -51,48 +53,95 @@ def source_targets(sizes: DataFrame, share: float = 1.5, most: int = 2, weights:
     return per.select("source", "source_size", F.least(F.col("cap").cast("double"), F.coalesce(F.col("water") * F.col("weight").cast("double"), F.lit(0.0))).alias("target"))
 
 
-def mix_sources(docs: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 0, propensity: Column | None = None) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words). ``propensity``: relative odds of an extra copy within a source (all alike if None)."""
-    sizes = written(with_id(docs, "source", n_words(F.col("text")).alias("size"), (F.lit(1.0) if propensity is None else propensity.cast("double")).alias("propensity")), "mix-sizes")
+def _plan(sizes: DataFrame, share: float, most: int, weights: tuple[int, ...]) -> DataFrame:
+    """One row per source: its, source_size, target, whole (certain copies), part (odds of one more), room (words for the extra copies), mean (propensity)."""
     targets = written(source_targets(sizes, share, most, weights), "mix-targets")
     targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     targets = targets.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.floor("rate"))
     targets = targets.withColumn("room", F.floor(F.col("target") + 0.5) - F.col("whole") * F.col("source_size"))
     means = sizes.groupBy("source").agg(F.avg("propensity").alias("mean"))
     targets = targets.alias("t").join(means.alias("m"), F.col("t.source").eqNullSafe(F.col("m.source")), "left").select("t.*", "mean")
-    targets = written(targets, "mix-plan").withColumnRenamed("source", "its")
+    return written(targets, "mix-plan").withColumnRenamed("source", "its")
+
+
+def _ranked(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """Rows (mix_id, mix_source, size, propensity) with their source's plan and their rank; ``place`` has the ranks' order in 0 to 1."""
     odds = F.least(F.greatest(F.col("part") * F.when(F.col("mean") > 0, F.col("propensity") / F.col("mean")).otherwise(1.0), F.lit(1e-12)), F.lit(1 - 1e-12))
-    u = uniform(F.col("doc_id"), seed)
+    u = uniform(F.col("mix_id"), seed)
     rank = (u / (1 - u)) * ((1 - odds) / odds)
-    rows = sizes.join(broadcast_if_small(targets), F.col("source").eqNullSafe(F.col("its"))).withColumn("rank", rank).withColumn("bucket", F.floor(BUCKETS * F.col("rank") / (1 + F.col("rank"))))
-    sums = rows.groupBy("its", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("its").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("earlier", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    sums = broadcast_if_small(written(sums.select(F.col("its").alias("of"), F.col("bucket").alias("b"), "words", "earlier"), "mix-buckets"))
-    rows = rows.join(sums, F.col("its").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("b")))
-    edge = (F.col("earlier") < F.col("room")) & (F.col("earlier") + F.col("words") > F.col("room"))
-    out = ["doc_id", "size", "source_size", "target"]
-    certain = F.col("whole") * F.col("size")
-    clear = rows.where(~edge).select(*out, (certain + F.when(F.col("earlier") + F.col("words") <= F.col("room"), F.col("size")).otherwise(0)).cast("long").alias("taken"))
-    within = Window.partitionBy("its").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(broadcast_if_small(plan), F.col("mix_source").eqNullSafe(F.col("its"))).withColumn("rank", rank)
+    return rows.withColumn("place", F.col("rank") / (1 + F.col("rank")))
+
+
+def _bounded(sizes: DataFrame, plan: DataFrame, seed: int) -> tuple[DataFrame, float]:
+    """(plan with ``edge`` and ``earlier``, buckets): a source takes the buckets before its edge as a whole, ``earlier`` words, and none after it.
+
+    Buckets are refined within the edge until it holds few rows, so what is left to be ordered doesn't grow with a source.
+    """
+    rows, fine = _ranked(sizes, plan, seed).withColumn("base", F.lit(0).cast("long")), 1.0
+    while True:
+        fine *= BUCKETS
+        rows = rows.withColumn("bucket", F.floor(fine * F.col("place")))
+        sums = rows.groupBy("its", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows"), F.first("room").alias("room"), F.first("base").alias("base"))
+        before = Window.partitionBy("its").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("earlier", F.col("base") + F.coalesce(F.sum("words").over(before), F.lit(0)))
+        over = sums.where(F.col("earlier") + F.col("words") > F.col("room"))
+        edges = written(over.groupBy(F.col("its").alias("of")).agg(F.min(F.struct("bucket", "earlier", "rows")).alias("e")).select("of", F.col("e.bucket").alias("edge"), F.col("e.earlier").alias("earlier"), F.col("e.rows").alias("rows")), "mix-edges")
+        if fine >= BUCKETS**FINEST or (edges.agg(F.max("rows")).first()[0] or 0) <= FEW:
+            bounded = plan.join(edges.drop("rows"), F.col("its").eqNullSafe(F.col("of")), "left").drop("of")
+            return written(bounded, "mix-bounds"), fine
+        within = broadcast_if_small(edges.select("of", "edge", F.col("earlier").alias("from")))
+        rows = rows.join(within, F.col("its").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("edge"))).withColumn("base", F.col("from")).drop("of", "edge", "from")
+
+
+def _taken(rows: DataFrame, fine: float) -> tuple[Column, Column]:
+    """(whether a row of ``_ranked`` with bounds is in its source's edge; words that it takes if it isn't)"""
+    bucket = F.floor(fine * F.col("place"))
+    extra = F.when(F.col("edge").isNull() | (bucket < F.col("edge")), F.col("size")).otherwise(0)
+    return F.coalesce(bucket == F.col("edge"), F.lit(False)), (F.col("whole") * F.col("size") + extra).cast("long")
+
+
+def _drawn(rows: DataFrame) -> DataFrame:
+    """Rows of the edges with ``taken``: in order of rank what still fits, the last of them in part."""
+    within = Window.partitionBy("its").orderBy("rank", "mix_id").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("room") - F.col("earlier") - F.coalesce(F.sum("size").over(within), F.lit(0))
-    drawn = rows.where(edge).select(*out, (certain + F.least(F.col("size"), F.greatest(left, F.lit(0)))).cast("long").alias("taken"))
-    return clear.unionByName(drawn)
+    return rows.withColumn("taken", (F.col("whole") * F.col("size") + F.least(F.col("size"), F.greatest(left, F.lit(0)))).cast("long"))
+
+
+def _sized(docs: DataFrame, propensity: Column | None) -> DataFrame:
+    odds = F.lit(1.0) if propensity is None else propensity.cast("double")
+    return written(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("mix_id"), F.col("source").alias("mix_source"), n_words(F.col("text")).alias("size"), odds.alias("propensity")), "mix-sizes")
+
+
+def mix_sources(docs: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 0, propensity: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken (words). ``propensity``: relative odds of an extra copy within a source (all alike if None)."""
+    sizes = _sized(docs, propensity)
+    plan, fine = _bounded(sizes, _plan(sizes.withColumnRenamed("mix_source", "source"), share, most, weights), seed)
+    rows = _ranked(sizes, plan, seed)
+    edge, taken = _taken(rows, fine)
+    out = [F.col("mix_id").alias("doc_id"), "size", "source_size", "target"]
+    return rows.where(~edge).select(*out, taken.alias("taken")).unionByName(_drawn(rows.where(edge)).select(*out, "taken"))
 
 
-def take_copies(docs: DataFrame, mix: DataFrame) -> DataFrame:
+def take_copies(docs: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
     """The documents as the mix takes them: whole copies, and of a document at a boundary its first words; same columns as ``docs``.
 
-    Rows that repeat a doc_id are one document here, taken as often as the mix takes all of them.
+    Each row knows from its source's bounds what it takes, so no text is shuffled; only rows in an edge are looked up.
+    Rows that repeat a doc_id are taken each; at an edge they share evenly what they take together.
     """
-    words = mix.groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("size").alias("mix_size"), F.sum("taken").alias("mix_taken"), F.count("*").alias("mix_rows"))
-    words = written(words.where("mix_taken > 0"), "mix-words")
-    if not words.where("mix_rows > 1").isEmpty():
-        docs = docs.dropDuplicates(["doc_id"])
-    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(words, F.col("row.doc_id").cast("long") == F.col("mix_id"))
-    n, taken = F.col("mix_size"), F.col("mix_taken")
+    sizes = _sized(docs, None)
+    plan, fine = _bounded(sizes, _plan(sizes.withColumnRenamed("mix_source", "source"), share, most, weights), seed)
+    ranked = _ranked(sizes, plan, seed)
+    drawn = _drawn(ranked.where(_taken(ranked, fine)[0])).groupBy(F.col("mix_id").alias("drawn_id"), F.col("its").alias("drawn_source")).agg(F.floor(F.sum("taken") / F.count("*")).alias("drawn"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.where("doc_id is not null").select(row, F.col("doc_id").cast("long").alias("mix_id"), F.col("source").alias("mix_source"), n_words(F.col("text")).alias("size"), F.lit(1.0).alias("propensity"))
+    rows = _ranked(rows, plan, seed)
+    rows = rows.join(broadcast_if_small(written(drawn, "mix-drawn")), (F.col("mix_id") == F.col("drawn_id")) & F.col("its").eqNullSafe(F.col("drawn_source")), "left")
+    edge, taken = _taken(rows, fine)
+    rows = rows.select("row", "size", F.when(edge, F.coalesce("drawn", F.lit(0))).otherwise(taken).alias("taken")).where("taken > 0")
+    n, taken = F.col("size"), F.col("taken")
     copies = F.transform(F.sequence(F.lit(1).cast("long"), F.ceil(taken / n)), lambda i: F.least(n, taken - (i - 1) * n))
-    both = both.select("row", "mix_size", F.explode(copies).alias("part"))
+    both = rows.select("row", "size", F.explode(copies).alias("part"))
     first = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("part").cast("int")), " ")
     text = F.when(F.col("part") < n, first).otherwise(F.col("row.text")).alias("text")
     return both.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

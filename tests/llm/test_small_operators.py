@@ -85,6 +85,24 @@ def test_mix_prefers_by_propensity(spark):
     assert sum(r["taken"] for r in rows) == 18000 and 3 * extra[0] < extra[1] < 5 * extra[0]
 
 
+def test_refined_edges_take_the_same(spark, docs, monkeypatch):
+    """However far a source's edge is refined, in words and in copies; rows that repeat an id count each."""
+    rows = lambda: sorted(tuple(r) for r in mixing.mix_sources(docs).collect())
+    copies = lambda df: sorted((r["doc_id"], r["text"]) for r in mixing.take_copies(df).collect())
+    once, taken = rows(), copies(docs)
+    for buckets, few in ((4, 0), (2, 3), (4096, 0)):
+        monkeypatch.setattr(mixing, "BUCKETS", buckets)
+        monkeypatch.setattr(mixing, "FEW", few)
+        assert rows() == once and copies(docs) == taken
+    words = {}
+    for d, t in copies(docs.union(docs)):
+        words[d] = words.get(d, 0) + len(t.encode().split())
+    twice = {}
+    for r in mixing.mix_sources(docs.union(docs)).collect():
+        twice[r["doc_id"]] = twice.get(r["doc_id"], 0) + r["taken"]
+    assert all(abs(words.get(d, 0) - n) <= 1 for d, n in twice.items())
+
+
 def test_mix_without_words(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None), (None, "x", "a")], "doc_id long, text string, source string")
     assert [(r["target"], r["taken"]) for r in mixing.mix_sources(df).collect()] == [(0.0, 0)] * 2
