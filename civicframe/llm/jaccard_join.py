@@ -7,14 +7,18 @@ which the estimated cost is least: reading the posting lists of its prefix, and
 longer prefix with l required matches leaves fewer.
 
 Posting lists are dealt by token. A short list gives its pairs, and pairs that share enough such tokens are verified: at
-least l, and more for sets of similar size, since beyond a prefix of p tokens a set can share |set| - p at most. A pair that shares a token with a long list is found there: members of long lists that share members form
-a group; its members are dealt into blocks of bounded size, every two blocks meet in one task, which counts all common
-tokens of its sets by products of 0/1 matrices, and returns one link for each member at most. So a group of near copies costs
-a few rows for each member, never a row for each pair, no task holds more than two blocks, and no pair is left out.
+least l, and more for sets of similar size, since beyond a prefix of p tokens a set can share |set| - p at most. A pair
+that shares a token with a long list is found there: members of long lists that share members form a group; its members
+are dealt into blocks of bounded size. First each block, with the member of most lists beside it, is compared in one
+task, which counts all common tokens of its sets by products of 0/1 matrices and returns one link for each member at
+most; in a group of near copies that makes one component of nearly all. Then the members outside the group's largest
+component meet all its blocks: two members of one component need no comparison. So a group of near copies costs a few rows
+for each member, never a row for each pair, no task holds more than two blocks, and no pair is left out.
 
 Document frequencies: each task counts its tokens in a table of fixed size (WIDTH counters); the sums are exact for the
 counters, over all documents, and serve only for order and costs. Of the prefixes that this order gives, tokens with
-long lists are counted exactly and moved to the end of the order, before the lists are made.
+long lists are counted exactly, marked in a bitmap of fixed size (MARKS bits), and moved to the end of the order, before
+the lists are made; a token that shares its mark with one goes there too, which is as good an order as any.
 
 Defined cases: without words the set is empty and linked with nothing; fewer words than a shingle are one shingle; rows
 that repeat a doc_id with its text are one document with a row each; an empty table gives an empty result.
@@ -35,8 +39,8 @@ from civicframe.llm.components import components
 
 #: Counters for document frequencies; longest posting list that gives pairs; most required matches.
 WIDTH, SHORT, MOST = 1 << 21, 8, 4
-#: Common tokens that are sent to executors at most.
-COMMON = 1 << 20
+#: Bits of the marks of tokens with long lists, and of a row of them.
+MARKS, MARKS_ROW = 1 << 26, 1 << 17
 #: Tokens and members of a block, about, and columns of a matrix.
 BLOCK, MEMBERS, COLUMNS = 1 << 18, 500, 4096
 #: Cost of verifying a candidate, in postings read.
@@ -114,7 +118,7 @@ def prefix(tokens: np.ndarray, often: np.ndarray, percent: int, last: np.ndarray
 
 
 def _postings(words: int, percent: int, counts, common=None):
-    """common: a broadcast of sorted tokens that are known to have long lists; they come last in the order."""
+    """common: a broadcast of the marks of tokens that are known to have long lists; they come last in the order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
@@ -129,9 +133,8 @@ def _postings(words: int, percent: int, counts, common=None):
                 seen.add(c)
                 often = np.maximum(table[(tokens & np.uint64(WIDTH - 1)).astype(np.int64)] - base, 1)
                 last = None
-                if common is not None and len(common.value):
-                    own = tokens.view(np.int64)
-                    last = common.value[np.minimum(np.searchsorted(common.value, own), len(common.value) - 1)] == own
+                if common is not None:
+                    last = is_marked(common.value, tokens)
                 first, _ = prefix(tokens, often, percent, last)
                 for x, y in zip(out, (first.view(np.int64), c[0], c[1], len(tokens), len(tokens) - len(first)), strict=True):
                     x.append(y if isinstance(y, np.ndarray) else np.full(len(first), y, np.int64))
@@ -251,20 +254,66 @@ def _cell(percent: int):
     return run
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+def _marked(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows: dict[int, np.ndarray] = {}
+    for pdf in pdfs:
+        for k, bits in pdf.groupby("row")["bit"]:
+            rows.setdefault(k, np.zeros(MARKS_ROW, bool))[bits.to_numpy()] = True
+    yield pd.DataFrame({"row": list(rows), "bits": [np.packbits(x, bitorder="little").tobytes() for x in rows.values()]})
+
+
+def marks(tokens: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size over the last bits of tokens."""
+    at = F.col("token").bitwiseAND(MARKS - 1)
+    rows = tokens.select(F.shiftright(at, MARKS_ROW.bit_length() - 1).cast("int").alias("row"), at.bitwiseAND(MARKS_ROW - 1).cast("int").alias("bit"))
+    out = np.zeros(MARKS // 8, np.uint8)
+    for r in rows.repartition("row").mapInPandas(_marked, "row int, bits binary").collect():  # MARKS / MARKS_ROW rows
+        out[r["row"] * MARKS_ROW // 8 : (r["row"] + 1) * MARKS_ROW // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def is_marked(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    at = (tokens & np.uint64(MARKS - 1)).astype(np.int64)
+    return (bitmap[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int, block_tokens: int, block_members: int = MEMBERS) -> DataFrame:
     """Links (a, b), enough for the components, among members (token, id, n) of lists whose pairs aren't listed."""
     first = members.groupBy("token").agg(F.min("id").alias("b"))
     groups = components(members.join(first, "token").select(F.col("id").alias("a"), "b"))
-    groups = groups.join(members.groupBy("id").agg(F.max("n").alias("n")).withColumnRenamed("id", "node"), "node")
-    size = groups.groupBy("label").agg(F.ceil(F.greatest(F.sum("n") / block_tokens, F.count("*") / MEMBERS)).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = written(groups.join(size, "label").select(F.col("node").alias("id"), "label", "blocks", mine.alias("mine")), "jaccard-blocks")
-    cells = sets.join(dealt, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "id", "tokens")
-    return written(cells.groupBy("label", "i", "j").applyInPandas(_cell(percent), "a long, b long"), "jaccard-links")
-
-
-def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longest: int = SHORT, block_tokens: int = BLOCK) -> DataFrame:
+    about = members.groupBy(F.col("id").alias("node")).agg(F.max("n").alias("n"), F.count("*").alias("lists"))
+    groups = written(groups.join(about, "node").select(F.col("node").alias("id"), "label", "n", "lists"), "jaccard-groups")
+    blocks = F.ceil(F.greatest(F.sum("n") / block_tokens, F.count("*") / block_members)).cast("int").alias("blocks")
+    place = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+
+    def linked(dealt: DataFrame, name: str) -> DataFrame:
+        """``dealt``: id, label, cells (the cells of its group that it is in)"""
+        cells = sets.join(dealt, "id").select("label", F.explode("cells").alias("cell"), "id", "tokens")
+        return written(cells.groupBy("label", "cell").applyInPandas(_cell(percent), "a long, b long"), name)
+
+    size = groups.groupBy("label").agg(blocks, F.max_by("id", F.struct("lists", -F.col("id"))).alias("central"))
+    dealt = written(groups.join(size, "label").withColumn("mine", place("blocks")), "jaccard-blocks")
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    within = linked(dealt.select("id", "label", F.when(F.col("id") == F.col("central"), everywhere).otherwise(F.array("mine")).alias("cells")), "jaccard-links")
+    large = dealt.where("blocks > 1")
+    if large.isEmpty():
+        return within
+    parts = components(within).select(F.col("node").alias("id"), F.col("label").alias("part"))
+    large = large.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    large = written(large, "jaccard-parts")
+    main = large.groupBy("label", "part").agg(F.count("*").alias("its")).groupBy("label").agg(F.max_by("part", F.struct("its", "part")).alias("main"))
+    rest = written(large.join(main, "label").where("part <> main").select("id", "label", "n", "blocks"), "jaccard-rest")
+    if rest.isEmpty():
+        return within
+    own = rest.groupBy("label").agg(blocks.alias("others"))
+    # a cell is a block of the rest beside a block of all; who is of the rest is in both
+    asked = large.join(own, "label").join(rest.select("id", F.lit(True).alias("resting")), "id", "left")
+    as_one_of_all = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: j * F.col("blocks") + F.col("mine"))
+    as_rest = F.when(F.col("resting"), F.transform(everywhere, lambda i: place("others") * F.col("blocks") + i)).otherwise(F.array().cast("array<int>"))
+    return within.unionByName(linked(asked.select("id", "label", F.array_union(as_one_of_all, as_rest).alias("cells")), "jaccard-links"))
+
+
+def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longest: int = SHORT, block_tokens: int = BLOCK, block_members: int = MEMBERS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id it reaches over links with Jaccard >= percent / 100).
 
     ``longest``: members of a posting list that gives its pairs; ``block_tokens``: tokens of a block of longer ones, about.
@@ -278,11 +327,7 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
     counts = spark.sparkContext.broadcast(summed_counters(summary.where("chunk is not null").select("chunk", "counts"), WIDTH))
     # tokens whose lists turn out long, though their counters don't tell, go to the end of the order; only costs depend on it
     posted = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, beyond long")
-    long_tokens = written(posted.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > longest).select("token"), "jaccard-common")
-    common = np.zeros(0, np.int64)
-    if long_tokens.limit(COMMON + 1).count() <= COMMON:
-        common = np.sort(long_tokens.toArrow()["token"].to_numpy())
-    common = spark.sparkContext.broadcast(common)
+    common = spark.sparkContext.broadcast(marks(posted.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > longest).select("token")))
     lists = docs.mapInArrow(_postings(words, percent, counts, common), "token long, c1 long, c2 long, n long, beyond long")
     lists = lists.repartition("token").sortWithinPartitions("token", "c1", "c2")
     lists = written(lists.mapInArrow(_lists(percent, longest), "long boolean, token long, a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long"), "jaccard-lists")
@@ -299,6 +344,6 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
         left = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
         return written(left.join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "jaccard-links")
 
-    labels = components(verified(short).unionByName(block_links(long, sets, percent, block_tokens)))
+    labels = components(verified(short).unionByName(block_links(long, sets, percent, block_tokens, block_members)))
     owner = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("c1", "c2", F.coalesce("label", "id").alias("label"))
     return rows.join(owner, ["c1", "c2"], "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("label", "doc").alias("component_id"))

@@ -67,6 +67,37 @@ def test_lists_that_are_long(spark):
     check(jaccard_join.similarity_classes(df, words=2, percent=80, longest=2, block_tokens=600), dict(enumerate(texts)), 2, 80)
 
 
+@pytest.mark.parametrize("seed", [5, 6, 7])
+def test_blocks_of_chains_and_strangers(spark, seed):
+    """Groups of several blocks whose members link in chains, in parts, or only share a passage."""
+    r = random.Random(seed)
+    word = lambda: f"w{r.randrange(400)}"
+    passage, texts = [word() for _ in range(25)], []
+    for _ in range(3):  # chains: each edits the one before
+        w = passage + [word() for _ in range(30)]
+        for _ in range(25):
+            texts.append(" ".join(w))
+            w = list(w)
+            w[r.randrange(25, len(w))] = word()
+    texts += [" ".join(passage + [word() for _ in range(r.randrange(1, 12))]) for _ in range(30)]
+    texts += [" ".join(r.sample(passage, 3) * 20 + [word()]) for _ in range(10)]
+    r.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for block_members in (3, 20):
+        check(jaccard_join.similarity_classes(df, words=2, percent=85, longest=2, block_members=block_members), dict(enumerate(texts)), 2, 85)
+
+
+def test_marks(spark):
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    tokens = r.integers(-(2**63), 2**63, 3000)
+    bitmap = jaccard_join.marks(spark.createDataFrame([(int(x),) for x in tokens[:1000]], "token long"))
+    found = jaccard_join.is_marked(bitmap, tokens.view(np.uint64))
+    assert found[:1000].all() and found[1000:].mean() < 0.01
+    assert not jaccard_join.is_marked(jaccard_join.marks(spark.createDataFrame([], "token long")), tokens.view(np.uint64)).any()
+
+
 def test_empty_and_repeated_rows(docs, empty, by_id):
     assert jaccard_join.similarity_classes(empty).count() == 0
     got = jaccard_join.similarity_classes(docs.union(docs))
