@@ -24,7 +24,7 @@ from civicframe.llm.common import broadcast_if_small, written
 
 WEIGHTS = (5, 2, 1)
 #: Buckets of ranks, in each of which there are as many again; most levels; rows of an edge that are ordered.
-BUCKETS, FINEST, FEW = 4096, 4, 20_000
+BUCKETS, FINEST, FEW = 256, 6, 20_000
 
 
 def n_words(text: Column) -> Column:
