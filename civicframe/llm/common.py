@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: cuts the lineage, survives lost executors.
 
     Shuffle files of the write are of no use afterwards, so executors drop them when it is done.
@@ -52,7 +52,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get(CLEANUP, None) != "true":
         spark.conf.set(CLEANUP, "true")
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = path or f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -110,3 +110,65 @@ def test_empty(empty):
 def test_the_quick_way_is_taken():
     tok = tokens.WordTokenizer(tokens.default_path())
     assert tok.quick is not tok.tokenizer
+
+
+def brute_scores(docs, seed):
+    """BM25 of each document for all terms of the seed that another document has too."""
+    n, mean = len(docs), sum(map(len, docs)) / len(docs)
+    df = defaultdict(int)
+    for d in docs:
+        for t in set(d):
+            df[t] += 1
+    out = []
+    for d in docs:
+        score = 0.0
+        for t in set(docs[seed]):
+            if df[t] > 1 and t in d:
+                tf = d.count(t)
+                score += np.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(d) / mean))
+        out.append(score)
+    return out
+
+
+def corpus(seed, n=60):
+    r = np.random.default_rng(seed)
+    topics = [r.integers(0, 400, 30) for _ in range(5)]
+    return [np.concatenate([r.choice(topics[r.integers(5)], r.integers(1, 40)), r.integers(0, 400, r.integers(0, 10)), [1]]).astype(np.uint16) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_retrieval_against_brute_force(seed):
+    docs = corpus(seed)
+    index, plain = packing.Index(docs), [d.tolist() for d in docs]
+    for k in range(len(docs)):
+        scores = brute_scores(plain, k)
+        got = index.neighbours(k).tolist()
+        assert set(got) == {i for i, s in enumerate(scores) if s > 0}
+        assert np.allclose([scores[i] for i in got], sorted((s for s in scores if s > 0), reverse=True))
+
+
+def test_windows_against_brute_force():
+    """Each window holds the first unused document and its best unused neighbours, in their order."""
+    docs = corpus(3)
+    plain, window = [d.tolist() for d in docs], 64
+    left, want = [len(d) for d in docs], []
+    scores = {}
+    while sum(left) >= window:
+        line, room = [], window
+        while room:
+            seed = next((k for k, x in enumerate(left) if x), None)
+            if seed is None:
+                break
+            scores.setdefault(seed, brute_scores(plain, seed))
+            for k in [seed, *sorted((i for i, s in enumerate(scores[seed]) if s > 0), key=lambda i: (-round(scores[seed][i], 9), i))]:
+                take = min(room, left[k])
+                if take:
+                    line.append((k, take))
+                    left[k] -= take
+                    room -= take
+        want.append(line)
+    got = defaultdict(list)
+    for doc, _, length, _, _, name, _ in packing.pack_shard([(i, 0, len(d), d) for i, d in enumerate(docs)], window, count()):
+        got[name].append((doc, length))
+    whole = [x for x in got.values() if sum(n for _, n in x) == window]
+    assert whole == want[: len(whole)] and len(whole) >= len(want) - 1

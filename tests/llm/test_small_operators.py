@@ -48,6 +48,72 @@ def test_filters_beyond_64_languages():
     assert (masks[:, 1] >> np.uint64(5) & np.uint64(1)).all()
 
 
+def plain_grams(text):
+    """Trigrams of letters and blanks with two letters at least, one by one."""
+    low = (text or "").lower() + "\n\n"
+    c = [x if x.isalpha() else " " for x in low]
+    return ["".join(c[i : i + 3]) for i in range(len(c) - 2) if sum(x != " " for x in c[i : i + 3]) >= 2]
+
+
+def test_languages_against_plain_sets(spark):
+    """The same decision from plain sets of n-grams, without Bloom filters; false positives corrected by the filters' fill."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.collect()
+    counts, n_rows = {}, {}
+    for r in rows:
+        if r["lang"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            n_rows[r["lang"]] = n_rows.get(r["lang"], 0) + 1
+            own = counts.setdefault(r["lang"], {})
+            for g in plain_grams(r["text"]):
+                own[g] = own.get(g, 0) + 1
+    number = lambda g: int(np.array([sum(ord(x) << 21 * k for k, x in enumerate(g))], np.uint64).view(np.int64)[0])
+    sets, share = {}, {}
+    for lang, own in counts.items():
+        total = sum(own.values())
+        sets[lang] = {g: n / total for g, n in sorted(own.items(), key=lambda x: (-x[1], number(x[0])))[: language_id.TOP]}
+        for g, x in sets[lang].items():
+            share[g] = max(share.get(g, 0), x)
+    sets = {lang: {g for g, x in own.items() if x >= language_id.CONTRAST * share[g]} for lang, own in sets.items()}
+    langs, model = sorted(sets), language_id.fit(docs)
+    assert model.langs == langs and max(model.wrong) < 0.05
+    every = np.array(sorted({number(g) for own in sets.values() for g in own})).view(np.uint64)
+    at = model.places(every)
+    masks = model.table[at[0]] & model.table[at[1]] & model.table[at[2]]
+    have = {lang: {number(g) for g in own} for lang, own in sets.items()}
+    for i, lang in enumerate(langs):
+        hit = {int(x) for x in every.view(np.int64)[(masks[:, 0] >> np.uint64(i) & np.uint64(1)).astype(bool)]}
+        assert have[lang] <= hit and len(hit - have[lang]) <= 0.05 * len(every)  # none is missed, few are wrong
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs).collect()}
+    clear = same = 0
+    for r in rows:
+        grams = plain_grams(r["text"])
+        hits = sorted(((sum(g in sets[lang] for g in grams), lang) for lang in langs), reverse=True)
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert got[r["doc_id"]] == "und"
+        elif hits[0][0] - hits[1][0] > 0.02 * len(grams):
+            clear += 1
+            same += got[r["doc_id"]] == hits[0][1]
+    assert clear > 0.9 * len(rows) and same >= 0.999 * clear
+
+
+def test_ties_of_languages_go_to_the_first(spark):
+    rows = [(i, "abc def ghi", lang) for i, lang in enumerate(["zz", "aa"] * 20)]
+    df = spark.createDataFrame([*rows, (1000, "abc def ghi", None), (1001, "abc", "bb")], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(df.where("doc_id <> 1001")).collect()}
+    assert set(got.values()) == {"aa"}
+
+
+def test_texts_over_100_kb(spark):
+    """Whole texts count: what decides stands at the very end."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null and text is not null").limit(300).collect()
+    one = next(r for r in rows if len(r["text"]) > 500)
+    long = "1234 " * 60_000 + one["text"]
+    df = spark.createDataFrame([(r["doc_id"], r["text"], r["lang"], r["source"]) for r in rows] + [(10**9, long, None, "s"), (10**9 + 1, "x " * 100_000 + "password=abcdefgh", None, "s")], "doc_id long, text string, lang string, source string")
+    assert {r["lang_pred"] for r in language_id.identify(df).where("doc_id = 1000000000").collect()} == {one["lang"]}
+    assert [r["spans"] for r in secrets.digest(df).where("doc_id = 1000000001").collect()] == ["assign:200000:200017"]
+    assert {r["doc_id"]: r["size"] for r in mixing.mix_sources(df).collect()}[10**9 + 1] == 100_001
+
+
 # mixing
 
 
@@ -90,7 +156,7 @@ def test_refined_edges_take_the_same(spark, docs, monkeypatch):
     rows = lambda: sorted(tuple(r) for r in mixing.mix_sources(docs).collect())
     copies = lambda df: sorted((r["doc_id"], r["text"]) for r in mixing.take_copies(df).collect())
     once, taken = rows(), copies(docs)
-    for buckets, few in ((4, 0), (2, 3), (4096, 0)):
+    for buckets, few in ((4, 0), (2, 3), (256, 0)):
         monkeypatch.setattr(mixing, "BUCKETS", buckets)
         monkeypatch.setattr(mixing, "FEW", few)
         assert rows() == once and copies(docs) == taken
@@ -155,6 +221,24 @@ def test_ledger_scans_only_what_is_new(spark):
     assert [r["spans"] for r in rows.collect()] == [""]
 
 
+def test_ledger_is_kept(spark, tmp_path):
+    """A stored ledger serves later scans; what a scan left unfinished isn't read; no rows, no findings."""
+    schema = "doc_id long, text string, blob string, version int, spans string"
+    ledger = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.rows() is None
+    rows = ledger.scan(spark.createDataFrame([(1, "password=abcdefgh", "x", 1, "y"), (2, "x", "x", 1, "y")], schema))
+    assert {r["doc_id"]: r["spans"] for r in rows.collect()} == {1: "assign:0:17", 2: ""}
+    again = secrets.Ledger(spark, str(tmp_path / "ledger"))
+    assert again.rows().count() == 2
+    rows = again.scan(spark.createDataFrame([(3, "password=abcdefgh", "x", 1, "y"), (4, "new", "x", 1, "y"), (4, "new", "x", 1, "y")], schema))
+    assert sorted((r["doc_id"], r["spans"]) for r in rows.collect()) == [(3, "assign:0:17"), (4, ""), (4, "")]
+    assert again.rows().count() == 3 and len(again.batches()) == 2
+    (tmp_path / "ledger" / "segments" / "unfinished").mkdir()
+    assert again.rows().count() == 3
+    assert again.scan(spark.createDataFrame([], schema)).count() == 0 and again.rows().count() == 3
+    assert again.scan(spark.createDataFrame([(5, "x", "", 0, "")], schema), version=2).count() == 1 and again.rows().count() == 4
+
+
 # vector search
 
 
