@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from functools import reduce
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,15 +33,15 @@ def _triple(s: Column, p: str, o: Column, kind: str, datatype: str | None, lang:
     return F.when((s.isNotNull()) & o.isNotNull() & (o != ""), whole)
 
 
-def _exploded(df: DataFrame, triples: list[tuple[str, Column]], only: Collection[str] | None = None) -> DataFrame:
-    """The triples (of the wanted predicates) that have all parts, each once (a graph is a set)."""
+def _exploded(df: DataFrame, triples: list[tuple[str, Column]], only: Collection[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The triples (of the wanted predicates) that have all parts, each once (a graph is a set); ``keep``: further columns."""
     wanted = [t for p, t in triples if only is None or p in only]
     if not wanted:
         return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in TRIPLE))
-    return df.select(F.explode(F.filter(F.array(*wanted), lambda t: t.isNotNull())).alias("t")).select("t.*").dropDuplicates()
+    return df.select(*keep, F.explode(F.filter(F.array(*wanted), lambda t: t.isNotNull())).alias("t")).select("t.*", *keep).dropDuplicates()
 
 
-def paper_triples(papers: DataFrame, only: Collection[str] | None = None) -> DataFrame:
+def paper_triples(papers: DataFrame, only: Collection[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``only``: build just the triples of these predicates; columns that none of them needs aren't read."""
     s, c = F.col("id"), papers.columns
     stamp = lambda n: F.date_format(F.col(n).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
@@ -57,10 +59,10 @@ def paper_triples(papers: DataFrame, only: Collection[str] | None = None) -> Dat
     if "pdf_url" in c:
         out.append(uri(s, X.TERMS + "hasFormat", F.col("pdf_url")))
     out += [literal(s, X.TERMS + n, stamp(n), X.XSD + "dateTime") for n in ("created", "modified") if n in c]
-    return _exploded(papers, out, only)
+    return _exploded(papers, out, only, keep)
 
 
-def location_triples(table: DataFrame, digits: int | None = None, only: Collection[str] | None = None) -> DataFrame:
+def location_triples(table: DataFrame, digits: int | None = None, only: Collection[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Of the locations table: relation, feature, label, type, point, coordinates, names, method, document."""
     paper = F.col("paper_id")
     s = F.concat(F.lit(BASE + "location/"), T.graph_location_id(paper, F.col("location_type"), F.col("location_value")))
@@ -75,7 +77,7 @@ def location_triples(table: DataFrame, digits: int | None = None, only: Collecti
         literal(s, X.GEO + "long", F.when(both, number("longitude")), X.XSD + "double"),
         literal(s, X.OPARL + "displayName", F.col("display_name")), literal(s, X.OPARL + "extractionMethod", F.col("method")),
         uri(s, X.OPARL + "sourceDocument", F.col("pdf_url")),
-    ], only)
+    ], only, keep)
 
 
 def relation_triples(relations: DataFrame, digits: int | None = None) -> DataFrame:
@@ -108,8 +110,59 @@ def turtle_blocks(triples: DataFrame) -> DataFrame:
     return line.groupBy("s").agg(F.array_sort(F.collect_list("po")).alias("pos")).select(F.concat("s", F.lit(" "), F.array_join("pos", " ;\n    "), F.lit(" .")).alias("value"))
 
 
-def write_ntriples(triples: DataFrame, path: str, append: bool = False) -> None:
-    ntriples_lines(triples).write.mode("append" if append else "overwrite").text(path)
+def write_ntriples(triples: DataFrame, path: str, append: bool = False, once: bool = False) -> None:
+    """Lines of N-Triples. ``once``: lines that are there already aren't appended again, so that a run can be repeated."""
+    lines = ntriples_lines(triples)
+    if append and once:
+        lines = lines.distinct()
+        try:
+            there = lines.sparkSession.read.text(path)
+        except AnalysisException as error:  # nothing there yet
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+        else:
+            lines = lines.join(there, "value", "left_anti")
+    lines.write.mode("append" if append else "overwrite").text(path)
+
+
+def write_turtle(triples: DataFrame, path: str) -> None:
+    turtle_blocks(triples).write.mode("overwrite").text(path)
+
+
+def xml_blocks(triples: DataFrame) -> DataFrame:
+    """One RDF/XML description for each subject (column value); a predicate's namespace ends at its last # or /."""
+    clean = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    name, space = F.regexp_extract("p", r"([^#/]*)$", 1), F.regexp_extract("p", r"^(.*[#/])", 1)
+    head = F.concat(F.lit("<v:"), name, F.lit(' xmlns:v="'), clean(space), F.lit('"'))
+    kind = F.when(F.col("datatype").isNotNull(), F.concat(F.lit(' rdf:datatype="'), clean(F.col("datatype")), F.lit('"')))
+    kind = kind.when(F.col("lang").isNotNull(), F.concat(F.lit(' xml:lang="'), "lang", F.lit('"'))).otherwise("")
+    node = F.when(F.col("kind") == "uri", F.concat(F.lit(' rdf:resource="'), clean(F.col("o")), F.lit('"/>')))
+    node = node.when(F.col("kind") == "blank", F.concat(F.lit(' rdf:nodeID="'), F.regexp_replace("o", "^_:", ""), F.lit('"/>')))
+    line = F.concat(F.lit("  "), head, node.otherwise(F.concat(kind, F.lit(">"), clean(F.col("o")), F.lit("</v:"), name, F.lit(">"))))
+    about = F.when(F.col("s").startswith("_:"), F.concat(F.lit('rdf:nodeID="'), F.regexp_replace("s", "^_:", ""))).otherwise(F.concat(F.lit('rdf:about="'), clean(F.col("s"))))
+    blocks = triples.groupBy("s").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("lines"))
+    return blocks.select(F.concat(F.lit("<rdf:Description "), about, F.lit('">\n'), "lines", F.lit("\n</rdf:Description>")).alias("value"))
+
+
+def write_xml(triples: DataFrame, path: str) -> None:
+    """One RDF/XML document in a local file, streamed through the driver; for large graphs use N-Triples."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f'<?xml version="1.0" encoding="UTF-8"?>\n<rdf:RDF xmlns:rdf="{X.RDF_TYPE.removesuffix("type")}">\n')
+        for row in xml_blocks(triples).toLocalIterator():
+            f.write(row["value"] + "\n")
+        f.write("</rdf:RDF>\n")
+
+
+def serialize(triples: DataFrame, path: str, form: str = "turtle") -> str:
+    """Writes the graph as nt, turtle or xml; returns the path, with the form's extension."""
+    writers = {"nt": (".nt", write_ntriples), "turtle": (".ttl", write_turtle), "xml": (".rdf", write_xml)}
+    if form not in writers:
+        raise ValueError(f"unknown form {form!r}; known are {', '.join(writers)}")
+    ending, write = writers[form]
+    path = path if path.endswith(ending) else path + ending
+    write(triples, path)
+    return path
 
 
 def stored(triples: DataFrame) -> DataFrame:

@@ -5,7 +5,12 @@ A paper's mentions stay one array until they meet a table, so dedup and validity
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import time
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
@@ -94,6 +99,54 @@ def geocode(mentions: DataFrame, cache: DataFrame, city: Column) -> DataFrame:
     return m.select(*[F.col(n) for n in mentions.columns if n not in ("latitude", "longitude")], F.coalesce("latitude", "latitude_c").alias("latitude"), F.coalesce("longitude", "longitude_c").alias("longitude"), F.col("display_name_c").alias("display_name"), F.col("geo_type_c").alias("geo_type"), F.col("latitude_c").isNotNull().alias("cached"))
 
 
+CACHED = "cache_key string, latitude double, longitude double, display_name string, geo_type string"
+#: value, type and city of a place -> latitude, longitude, display name, kind; or None
+Resolver = Callable[[str, str, str], tuple[float, float, str, str] | None]
+
+
+def resolve(mentions: DataFrame, cache: DataFrame, city: Column, resolver: Resolver, pause: float = 0.0, tasks: int = 1) -> DataFrame:
+    """Rows for the cache: each place that it lacks is asked for once. Failures aren't cached, so they are tried again.
+
+    ``pause``: seconds between questions of a task; with ``tasks`` that bounds how often a service is asked.
+    """
+    wanted = mentions.select(T.cache_key(F.col("value"), F.col("type"), city).alias("cache_key"), "value", "type", city.alias("city")).dropDuplicates(["cache_key"])
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for key, value, kind, where in pdf.itertuples(index=False):
+                time.sleep(pause)
+                if (found := resolver(value, kind, where)) is not None:
+                    rows.append((key, *found))
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in CACHED.split(", ")])
+
+    return wanted.join(cache.select("cache_key"), "cache_key", "left_anti").coalesce(tasks).mapInPandas(ask, CACHED)
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The stored cache, of each key once; empty before anything was stored."""
+    try:
+        return spark.read.schema(CACHED).parquet(path).dropDuplicates(["cache_key"])
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], CACHED)
+
+
+def put_cache(rows: DataFrame, path: str) -> None:
+    rows.select(*[x.split()[0] for x in CACHED.split(", ")]).write.mode("append").parquet(path)
+
+
+def named_entities(text: Column, model: Callable[[list[str]], list[list[str]]]) -> Column:
+    """array<string>: place names that a model (texts -> names of each) finds; to be joined with ``text.keyword_candidates``."""
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(model(texts.fillna("").tolist()))
+
+    return run(text)
+
+
 def extract(papers: DataFrame, *keep: str, text: str = "full_text", compat: bool = False, wide: bool = False) -> DataFrame:
     """All valid mentions of papers, first ones only, one row each."""
     return explode_mentions(papers, valid(first_wins(T.mentions(F.col(text), wide)), compat), *keep)

@@ -96,16 +96,23 @@ def summary(issues: DataFrame) -> DataFrame:
 
 
 def write_report(issues: DataFrame, folder: str, at: datetime | None = None, most: int = 10_000) -> dict:
-    """report.json, report.txt, report.html with the counts of all issues and the first ``most`` of them; returns the counts."""
+    """All issues as JSON lines in ``issues`` (by Spark), and report.json, report.txt, report.html with the counts of all and
+    the first ``most``; they say how many more there are. Returns the counts.
+    """
+    issues.write.mode("overwrite").json(f"{folder}/issues")
+    issues = issues.sparkSession.read.schema(ISSUE).json(f"{folder}/issues")
     counts = summary(issues).first().asDict()
     rows = [r.asDict() for r in issues.orderBy(*_NAMES).limit(most).collect()]
+    more = counts["errors"] + counts["warnings"] + counts["infos"] - len(rows)
     stamp = (at or datetime.now()).isoformat()
     where = Path(folder)
     where.mkdir(parents=True, exist_ok=True)
-    (where / "report.json").write_text(json.dumps({"generated_at": stamp, "summary": counts, "issues": rows}, ensure_ascii=False, indent=2), encoding="utf-8")
+    (where / "report.json").write_text(json.dumps({"generated_at": stamp, "summary": counts, "issues": rows, "more": more}, ensure_ascii=False, indent=2), encoding="utf-8")
     lines = [f"Report of {stamp}", ", ".join(f"{k}: {v}" for k, v in counts.items()), ""] + [f"[{r['severity']}] {r['category']}: {r['message']} ({r['resource_id']}, {r['field']})" for r in rows]
-    (where / "report.txt").write_text("\n".join(lines), encoding="utf-8")
+    rest = [f"{more} more issues are in the folder issues"] if more else []
+    (where / "report.txt").write_text("\n".join(lines + rest), encoding="utf-8")
     cells = "".join("<tr>" + "".join(f"<td>{html.escape(str(r[n] or ''))}</td>" for n in _NAMES) + "</tr>" for r in rows)
     head = "".join(f"<th>{n}</th>" for n in _NAMES)
-    (where / "report.html").write_text(f"<!DOCTYPE html><meta charset='utf-8'><title>Report</title><p>{html.escape(lines[1])}</p><table><tr>{head}</tr>{cells}</table>", encoding="utf-8")
+    page = f"<!DOCTYPE html><meta charset='utf-8'><title>Report</title><p>{html.escape(lines[1])}</p><table><tr>{head}</tr>{cells}</table>" + "".join(f"<p>{x}</p>" for x in rest)
+    (where / "report.html").write_text(page, encoding="utf-8")
     return counts

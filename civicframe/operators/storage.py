@@ -125,6 +125,26 @@ def write_geojson(features: DataFrame, path: str, city: str | None = None, at: d
     return meta["count"]
 
 
+def write_geojson_lines(features: DataFrame, path: str) -> None:
+    """One feature a line, by all tasks: for tables that are too large for one document."""
+    features.select(F.col("feature").alias("value")).write.mode("overwrite").text(path)
+
+
+def export_csv(table: DataFrame, path: str) -> None:
+    """CSV with a header; nested columns as JSON."""
+    flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("struct", "array", "map") else F.col(f"`{f.name}`") for f in table.schema]
+    table.select(*flat).write.mode("overwrite").option("header", True).csv(path)
+
+
+def current(rows: DataFrame, log: DataFrame, key: str = "paper_id") -> DataFrame:
+    """Of append-only rows (with ``run``) those of the run that last processed their paper; a paper that lost all its rows has none.
+
+    ``log``: the state log, whose seq is the run. Changed papers so need no rewriting of a table.
+    """
+    last = log.groupBy(F.col("resource_id").alias("last_id")).agg(F.max("seq").alias("last_run"))
+    return rows.join(last, (rows[key] == F.col("last_id")) & (rows["run"] == F.col("last_run")), "left_semi")
+
+
 def split_by_success(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(with text, failed)"""
     good = F.coalesce(F.col("success") & (F.length("text") > 0), F.lit(False))

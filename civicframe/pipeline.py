@@ -10,7 +10,8 @@ from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from civicframe import schemas
@@ -39,8 +40,14 @@ class Config:
 
 
 def load_config(path: str | None, **given) -> Config:
-    """A JSON file's values, then what is given; ``${name}`` in a text is another value."""
-    known = json.loads(Path(path).read_text(encoding="utf-8")) if path else {}
+    """The values of a JSON file (or YAML, where a reader is installed), then what is given; ``${name}`` in a text is another value."""
+    text = Path(path).read_text(encoding="utf-8") if path else "{}"
+    if path and path.endswith((".yaml", ".yml")):
+        import yaml
+
+        known = yaml.safe_load(text) or {}
+    else:
+        known = json.loads(text)
     known |= {k: v for k, v in given.items() if v is not None}
     for k, v in known.items():
         if isinstance(v, str):
@@ -63,44 +70,84 @@ def wanted(papers: DataFrame, config: Config, log: DataFrame | None) -> DataFram
     return papers if config.limit is None else papers.orderBy(F.desc_nulls_last("modified"), "id").limit(config.limit)
 
 
-def run(spark: SparkSession, config: Config) -> dict:
-    """Reads, enriches and writes papers, locations, triples, GeoJSON, report, state log; returns the run's statistics."""
-    began, name = datetime.now(timezone.utc), uuid.uuid4().hex
-    out = config.output.rstrip("/")
+def _stored(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     try:
-        log = spark.read.parquet(f"{out}/state")
-    except Exception as error:  # the first run
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    except AnalysisException as error:  # the first run
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        log = None
+        return None
+
+
+def process(papers: DataFrame, config: Config, gazetteer: DataFrame | None, run: int) -> dict:
+    """One batch: papers are upserted by id; places and triples are appended under the number of this run; then the state log says so.
+
+    A batch that is repeated after a failure gets a new number, and what it wrote before isn't current any more.
+    """
+    spark, out = papers.sparkSession, config.output.rstrip("/")
+    seen = Observation("batch")
+    good = F.coalesce(F.length("full_text") > 0, F.lit(False)) if config.texts else F.lit(True)
+    papers = papers.observe(seen, F.count("*").alias("papers"), F.count_if(good).alias("completed"))
+    aside = storage.scratch(spark)
+    papers.write.parquet(aside)
+    papers = spark.read.schema(papers.schema).parquet(aside)
+    mentions = locations.extract(papers, "id")
+    if gazetteer is None:
+        gazetteer = spark.createDataFrame([], "name string, lat double, lon double")
+    else:
+        mentions = locations.firewall(mentions, gazetteer)
+    mentions = locations.with_coordinates(locations.cap(mentions, "id"), gazetteer).withColumn("key", F.col("id")).drop("id")
+    table = storage.locations_table(mentions.withColumn("method", F.lit("regex")), papers.withColumn("key", F.col("id")), "key", config.city)
+    number = F.lit(run).cast("long").alias("run")
+    storage.upsert(storage.prepare(papers, config.city), f"{out}/papers")
+    table = table.dropDuplicates(["location_id"])
+    table.select("*", number).write.mode("append").parquet(f"{out}/{config.city}_locations.parquet")
+    about = papers.withColumn("paper_id", F.col("id"))
+    triples = graph.paper_triples(about, keep=("paper_id",)).unionByName(graph.location_triples(table, keep=("paper_id",)))
+    triples.select("*", number).write.mode("append").parquet(f"{out}/graph")
+    status = F.when(good, "completed").otherwise("failed")
+    log = papers.select(F.col("id").alias("resource_id"), F.lit("paper").alias("resource_type"), status.alias("status"), F.current_timestamp().alias("processed_at"), F.lit(run).cast("long").alias("seq"))
+    log.write.mode("append").parquet(f"{out}/state")
+    return seen.get
+
+
+def run(spark: SparkSession, config: Config) -> dict:
+    """Reads new papers, processes them batch by batch, and writes places, graph, GeoJSON and report of all; returns the run's statistics.
+
+    Batches hold about ``batch_size`` papers, dealt by a hash of their id; each leaves a checkpoint row. A run that breaks
+    off goes on with the papers that the state log lacks.
+    """
+    began, name = datetime.now(timezone.utc), uuid.uuid4().hex
+    out = config.output.rstrip("/")
     raw = parsed(spark.read.text(config.papers), "value")
-    papers = wanted(raw, config, log).withColumn("pdf_url", T.pdf_url(F.col("mainFile"), F.col("file"))).withColumnRenamed("paperType", "paper_type")
+    papers = wanted(raw, config, _stored(spark, f"{out}/state")).withColumn("pdf_url", T.pdf_url(F.col("mainFile"), F.col("file"))).withColumnRenamed("paperType", "paper_type")
     if config.texts:  # by id, whatever order the texts were extracted in
         papers = papers.join(spark.read.parquet(config.texts).select("id", "full_text"), "id", "left")
     else:
         papers = papers.withColumn("full_text", F.lit(None).cast("string"))
-    stored = storage.scratch(spark)
-    papers.write.parquet(stored)
-    papers = spark.read.schema(papers.schema).parquet(stored)
+    aside = storage.scratch(spark)
+    papers.write.parquet(aside)
+    papers = spark.read.schema(papers.schema).parquet(aside)
+    gazetteer = None
     if config.gazetteer:
         gazetteer = files.coordinates(files.geojson(spark, config.gazetteer)).select(F.col("name_key").alias("name"), "lat", "lon")
-        mentions = locations.firewall(locations.extract(papers, "id"), gazetteer)
-    else:
-        gazetteer = spark.createDataFrame([], "name string, lat double, lon double")
-        mentions = locations.extract(papers, "id")
-    mentions = locations.with_coordinates(locations.cap(mentions, "id"), gazetteer).withColumn("key", F.col("id")).drop("id")
-    table = storage.locations_table(mentions.withColumn("method", F.lit("regex")), papers.withColumn("key", F.col("id")), "key", config.city)
-    storage.upsert(storage.prepare(papers, config.city), f"{out}/papers")
-    table.write.mode("append").parquet(f"{out}/{config.city}_locations.parquet")
-    table = spark.read.parquet(f"{out}/{config.city}_locations.parquet").dropDuplicates(["location_id"])
-    triples = graph.paper_triples(papers).unionByName(graph.location_triples(table.join(papers.select(F.col("id").alias("paper_id")), "paper_id", "left_semi")))
-    graph.write_ntriples(triples, f"{out}/graph", append=True)
-    places = storage.write_geojson(storage.geojson_features(table, config.city), f"{out}/{config.city}_locations.geojson", config.city)
+    batches = -(-papers.count() // max(1, config.batch_size))
+    number, total = int(began.timestamp() * 1_000_000), 0
+    for batch in range(batches):
+        one = papers.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == batch)
+        got = process(one, config, gazetteer, number + batch)
+        total += got["completed"]
+        point = ("paper", batch, datetime.now(timezone.utc), got["papers"], total, name)
+        spark.createDataFrame([point], schemas.CHECKPOINT).coalesce(1).write.mode("append").parquet(f"{out}/checkpoints")
+    stats: dict = {"papers": papers.count(), "batches": batches}
+    log = _stored(spark, f"{out}/state")
+    if log is not None:
+        table = storage.current(spark.read.parquet(f"{out}/{config.city}_locations.parquet"), log)
+        graph.write_ntriples(storage.current(spark.read.parquet(f"{out}/graph"), log), f"{out}/graph.nt")
+        places = storage.write_geojson(storage.geojson_features(table, config.city), f"{out}/{config.city}_locations.geojson", config.city)
+        stats |= {"locations": table.count(), "features": places}
     issues = quality.validate_papers(papers.select("id", "name", "date", F.col("mainFile").alias("main_file"), F.lit(0).alias("n")), "n")
-    counts = quality.write_report(issues, f"{out}/report")
-    status = F.when(F.length("full_text") > 0, "completed").otherwise("failed") if config.texts else F.lit("completed")
-    papers.select(F.col("id").alias("resource_id"), F.lit("paper").alias("resource_type"), status.alias("status"), F.current_timestamp().alias("processed_at"), F.lit(0).cast("long").alias("seq")).write.mode("append").parquet(f"{out}/state")
-    stats = {"papers": papers.count(), "locations": table.count(), "features": places, **counts}
+    stats |= quality.write_report(issues, f"{out}/report")
     row = (name, began, datetime.now(timezone.utc), "completed", config.city, json.dumps(asdict(config)), json.dumps(stats))
     spark.createDataFrame([row], schemas.RUN).write.mode("append").parquet(f"{out}/runs")
     return stats

@@ -13,3 +13,4 @@ BODY = "struct<id:string,name:string,shortName:string,paper:string,meeting:strin
 MENTION = "struct<pos:int,type:string,value:string,context:string,latitude:double,longitude:double>"
 STATE = "resource_id string, resource_type string, status string, processed_at timestamp, seq long, metadata string, error_message string"
 RUN = "run_id string, start_time timestamp, end_time timestamp, status string, city string, config string, stats string"
+CHECKPOINT = "resource_type string, batch long, checkpoint_time timestamp, batch_size long, total_processed long, run_id string"

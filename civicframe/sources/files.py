@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -52,6 +54,42 @@ def build_gazetteer(features: DataFrame) -> DataFrame:
     return ways.withColumn("place", place).where("place = 1").select("id", "name", "kind", "lat", "lon", F.lit("osm").alias("source"))
 
 
+def districts(elements: DataFrame, level: str = "10") -> DataFrame:
+    """Features of administrative boundaries of a level: id, name, source; they have no geometry."""
+    tags = F.col("tags")
+    found = elements.where((tags["boundary"] == "administrative") & (tags["admin_level"] == level) & tags["name"].isNotNull())
+    none = lambda kind: F.lit(None).cast(kind)
+    return found.select("id", tags["name"].alias("name"), F.lit("district").alias("kind"), none("double").alias("lat"), none("double").alias("lon"), F.lit("osm").alias("source"))
+
+
+def write_gazetteer(gazetteer: DataFrame, folder: str, city: str) -> dict:
+    """Features (id, name, kind, lat, lon, source) as <city>_streets.geojson, and a summary of them; returns the summary."""
+    point = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")))
+    about = F.struct("id", "name", F.col("kind").alias("highway"), "source")
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), about.alias("properties")))
+    kinds = {r["kind"]: r["n"] for r in gazetteer.groupBy("kind").agg(F.count("*").alias("n")).orderBy("kind").collect()}
+    where = Path(folder)
+    where.mkdir(parents=True, exist_ok=True)
+    with open(where / f"{city}_streets.geojson", "w", encoding="utf-8") as f:
+        f.write('{"type": "FeatureCollection", "features": [')
+        for i, row in enumerate(gazetteer.orderBy("name", "id").select(feature.alias("feature")).toLocalIterator()):
+            f.write(("," if i else "") + "\n" + row["feature"])
+        f.write("\n]}")
+    summary = {"city": city, "features": sum(kinds.values()), "by_kind": kinds}
+    (where / f"{city}_summary.json").write_text(json.dumps(summary, ensure_ascii=False, indent=2), encoding="utf-8")
+    return summary
+
+
+ELEMENT = "struct<type:string,id:long,lat:double,lon:double,center:struct<lat:double,lon:double>,tags:map<string,string>>"
+
+
+def map_elements(spark: SparkSession, query: str, post: Callable[[str], str]) -> DataFrame:
+    """Elements (pos, type, id, lat, lon, center, tags) of a map service's answer. ``post`` sends a query and returns JSON text."""
+    answer = spark.createDataFrame([(post(query),)], "value string")
+    found = answer.select(F.posexplode(F.from_json("value", f"struct<elements:array<{ELEMENT}>>")["elements"]).alias("pos", "e"))
+    return found.select("pos", "e.*")
+
+
 def name_list(spark: SparkSession, path: str) -> DataFrame:
     """The first column of a CSV file."""
     rows = spark.read.csv(path, header=True)

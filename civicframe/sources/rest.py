@@ -35,6 +35,20 @@ def http_json(url: str, params: dict) -> dict:
         return json.load(answer)
 
 
+def post_form(url: str, tries: int = 3, pause: float = 1.0, send: Callable[[str, bytes], str] | None = None, sleep: Callable[[float], None] = time.sleep) -> Callable[[str], str]:
+    """A function that posts a query as the form field ``data`` and returns the answer's text, with the retries of a page."""
+
+    def http(to: str, body: bytes) -> str:
+        with urllib.request.urlopen(urllib.request.Request(to, data=body), timeout=180) as answer:
+            return answer.read().decode()
+
+    def post(query: str) -> str:
+        body = urllib.parse.urlencode({"data": query}).encode()
+        return with_retries(lambda to, _: (send or http)(to, body), url, {}, tries, pause, sleep)
+
+    return post
+
+
 def fetcher(name: str | None) -> Fetch:
     if not name:
         return http_json

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from xml.etree import ElementTree
 
 import pytest
 from hypothesis import given, settings
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from civicframe import pipeline
 from civicframe.functions import fixed as X
 from civicframe.operators import graph as G
+from civicframe.operators import locations as L
 from civicframe.operators import meetings as M
 from civicframe.operators import quality as Q
 from civicframe.operators import state, topics
@@ -270,7 +272,102 @@ def test_run_twice(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "runs")).count() == 2
 
 
+def test_changed_papers_replace_their_places(spark, tmp_path):
+    """Batches of the given size, a checkpoint row each; a paper that is processed again has its new places and triples only."""
+    landing(tmp_path / "in", [[paper(k) for k in range(9)]])
+
+    def texts(what):
+        spark.createDataFrame([(f"https://x/paper/{k}", what(k)) for k in range(9)], "id string, full_text string").write.mode("overwrite").parquet(str(tmp_path / "texts"))
+
+    out = tmp_path / "out"
+    config = pipeline.Config(papers=str(tmp_path / "in"), texts=str(tmp_path / "texts"), output=str(out), batch_size=3, skip_existing=False)
+    texts(lambda k: f"Bebauungsplan {k}0 und Bebauungsplan {k}1")
+    first = pipeline.run(spark, config)
+    assert first["papers"] == 9 and first["batches"] == 3 and first["locations"] == 18
+    points = spark.read.parquet(str(out / "checkpoints")).orderBy("batch").collect()
+    assert [p["batch"] for p in points] == [0, 1, 2] and sum(p["batch_size"] for p in points) == 9 and points[-1]["total_processed"] == 9
+    lines = spark.read.text(str(out / "graph.nt")).count()
+    texts(lambda k: f"Bebauungsplan {k}5" if k else "nichts")
+    again = pipeline.run(spark, config)
+    assert again["locations"] == 8
+    left = {r["value"] for r in spark.read.text(str(out / "graph.nt")).collect()}
+    assert len(left) < lines and not any("_40" in x for x in left) and any("_45" in x for x in left)
+    assert pipeline.run(spark, config)["locations"] == 8
+    assert {r["value"] for r in spark.read.text(str(out / "graph.nt")).collect()} == left
+
+
+def test_graph_forms(spark, tmp_path):
+    t = spark.createDataFrame([("https://x/1", "https://y#name", 'A & "B" <c>', "literal", None, "de"), ("https://x/1", "https://y/z/knows", "https://x/2", "uri", None, None), ("https://x/2", "https://y#n", "5", "literal", "https://w#int", None)], "s string, p string, o string, kind string, datatype string, lang string")
+    path = G.serialize(t, str(tmp_path / "g"), "xml")
+    root = ElementTree.parse(path).getroot()
+    rdf = "{http://www.w3.org/1999/02/22-rdf-syntax-ns#}"
+    got = {(d.get(rdf + "about"), e.tag, e.text or e.get(rdf + "resource"), e.get(rdf + "datatype"), e.get("{http://www.w3.org/XML/1998/namespace}lang")) for d in root for e in d}
+    assert got == {("https://x/1", "{https://y#}name", 'A & "B" <c>', None, "de"), ("https://x/1", "{https://y/z/}knows", "https://x/2", None, None), ("https://x/2", "{https://y#}n", "5", "https://w#int", None)}
+    assert G.serialize(t, str(tmp_path / "h"), "nt").endswith("h.nt") and G.serialize(t, str(tmp_path / "h"), "turtle").endswith("h.ttl")
+    assert spark.read.text(str(tmp_path / "h.nt")).count() == 3
+    G.write_ntriples(t, str(tmp_path / "h.nt"), append=True, once=True)  # repeated: nothing new
+    assert spark.read.text(str(tmp_path / "h.nt")).count() == 3
+    with pytest.raises(ValueError):
+        G.serialize(t, str(tmp_path / "h"), "json")
+
+
+def test_gazetteer_set_up(spark, tmp_path):
+    """A posted query, its elements, districts of a level, the files written."""
+    answer = {"elements": [
+        {"type": "way", "id": 1, "center": {"lat": 48.0, "lon": 10.0}, "tags": {"name": "Lange Gasse", "highway": "residential"}},
+        {"type": "relation", "id": 2, "tags": {"name": "Altstadt", "boundary": "administrative", "admin_level": "10"}},
+        {"type": "relation", "id": 3, "tags": {"name": "Kreis", "boundary": "administrative", "admin_level": "6"}},
+    ]}
+    asked = []
+
+    def send(url, body):
+        asked.append((url, body))
+        if len(asked) == 1:
+            raise OSError("later")
+        return json.dumps(answer)
+
+    elements = files.map_elements(spark, "[out:json];way;", rest.post_form("https://map", send=send, sleep=lambda s: None))
+    assert elements.count() == 3 and asked[0] == asked[1] == ("https://map", b"data=%5Bout%3Ajson%5D%3Bway%3B")
+    parts = files.districts(elements)
+    assert [(r["name"], r["lat"]) for r in parts.collect()] == [("Altstadt", None)]
+    g = files.build_gazetteer(files.osm_features(elements)).select("id", "name", "kind", "lat", "lon", "source").unionByName(parts)
+    assert files.write_gazetteer(g, str(tmp_path / "g"), "x") == {"city": "x", "features": 2, "by_kind": {"district": 1, "residential": 1}}
+    assert [(r["name_key"], r["lat"], r["lon"]) for r in files.coordinates(files.geojson(spark, str(tmp_path / "g" / "x_streets.geojson"))).collect()] == [("lange gasse", 48.0, 10.0)]
+
+
+def test_cache_is_filled_once(spark, tmp_path):
+    """Each unknown place is asked for once; failures are tried again."""
+    m = spark.createDataFrame([("Lange Gasse", "street"), ("lange gasse", "street"), ("Nirgends", "street")], "value string, type string")
+    path, city = str(tmp_path / "cache"), F.lit("x")
+    find = lambda value, kind, where: None if value == "Nirgends" else (48.0, 10.0, value, kind)
+    L.put_cache(L.resolve(m, L.read_cache(spark, path), city, find), path)
+    assert L.read_cache(spark, path).count() == 1
+    assert L.resolve(m, L.read_cache(spark, path), city, lambda *a: (1.0, 2.0, "n", "k")).count() == 1
+    assert L.geocode(m.withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")}), L.read_cache(spark, path), city).where("cached").count() == 2
+    names = spark.createDataFrame([("In Berlin",), (None,)], "t string").select(L.named_entities(F.col("t"), lambda ts: [t.split()[1:] for t in ts]).alias("n"))
+    assert [r["n"] for r in names.collect()] == [["Berlin"], []]
+
+
+def test_exports(spark, tmp_path):
+    df = spark.createDataFrame([(1, [1, 2], 'a "b", c')], "k int, xs array<int>, t string")
+    S.export_csv(df, str(tmp_path / "c"))
+    assert spark.read.option("header", True).option("escape", "\\").csv(str(tmp_path / "c")).first()["xs"] == "[1,2]"
+    S.write_geojson_lines(df.select(F.lit('{"type":"Feature"}').alias("feature")), str(tmp_path / "l"))
+    assert spark.read.json(str(tmp_path / "l")).first()["type"] == "Feature"
+
+
+def test_report_keeps_all_issues(spark, tmp_path):
+    issues = spark.createDataFrame([("ERROR", "c", f"m{i}", str(i), "f", None, None) for i in range(30)], Q.ISSUE)
+    assert Q.write_report(issues, str(tmp_path / "r"), most=10)["errors"] == 30
+    assert spark.read.json(str(tmp_path / "r" / "issues")).count() == 30
+    assert json.loads((tmp_path / "r" / "report.json").read_text())["more"] == 20 and "20 more issues" in (tmp_path / "r" / "report.txt").read_text()
+
+
 def test_config(tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"output": "base", "papers": "${output}/in"}))
     c = pipeline.load_config(str(tmp_path / "c.json"), city="x", limit=None)
     assert (c.papers, c.city, c.limit) == ("base/in", "x", None)
+    pytest.importorskip("yaml")
+    (tmp_path / "c.yaml").write_text("output: base\npapers: ${output}/in\nbatch_size: 7\n")
+    c = pipeline.load_config(str(tmp_path / "c.yaml"))
+    assert (c.papers, c.batch_size) == ("base/in", 7)
