@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
+from civicframe.session import ship
 
 #: Streets of one city that a candidate is compared with, all of them, when the nearest one is asked for.
 MOST_STREETS = 100_000
@@ -98,6 +99,7 @@ def _near(candidates: DataFrame, streets: DataFrame, threshold: int) -> DataFram
 
 def best_matches(candidates: DataFrame, streets: DataFrame, threshold: int = X.FUZZY_THRESHOLD) -> DataFrame:
     """candidate, street, score: the best street of each candidate that reaches the threshold; ties to the first by name."""
+    ship(candidates.sparkSession)
     c = candidates.where("candidate is not null").select(F.col("candidate").alias("text")).distinct().withColumn("key", _joined_tokens(F.col("text")))
     s = streets.where("name is not null").select(F.col("name").alias("text")).distinct().withColumn("key", _joined_tokens(F.col("text")))
     words = lambda df, name: df.where("key <> ''").select(F.col("text").alias(name), F.explode(F.split("key", " ")).alias("word"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from civicframe.functions import fixed as X
 from civicframe.functions import text as T
 from civicframe.functions.text import let
+from civicframe.session import ship
 
 #: Largest gazetteer (names) that is broadcast without asking Spark's statistics.
 SMALL_GAZETTEER = 100_000
@@ -109,6 +110,7 @@ def resolve(mentions: DataFrame, cache: DataFrame, city: Column, resolver: Resol
 
     ``pause``: seconds between questions of a task; with ``tasks`` that bounds how often a service is asked.
     """
+    ship(mentions.sparkSession)
     wanted = mentions.select(T.cache_key(F.col("value"), F.col("type"), city).alias("cache_key"), "value", "type", city.alias("city")).dropDuplicates(["cache_key"])
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

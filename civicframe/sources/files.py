@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
+from civicframe.session import ship
 
 FEATURES = "struct<type:string,features:array<struct<type:string,geometry:struct<type:string,coordinates:array<double>>,properties:struct<id:string,name:string,highway:string,source:string>>>>"
 
@@ -152,4 +153,5 @@ def extract_texts(files: DataFrame, methods: list[tuple[str, Callable[[bytes], t
             out["page_count"] = out["page_count"].astype("Int32")
             yield out[["url", "success", "text", "method", "page_count", "file_size_kb", "error"]]
 
+    ship(files.sparkSession)
     return files.mapInPandas(run, "url string, success boolean, text string, method string, page_count int, file_size_kb double, error string")
