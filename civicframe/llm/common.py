@@ -12,7 +12,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -20,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicframe.session import ship
+
 #: Most rows that a size-checked broadcast sends: ids of 8 bytes and a few numbers, some tens of MB at the very most.
 BROADCAST_ROWS = 500_000
 
@@ -44,6 +45,25 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Paths of the tables that were written and not discarded, in order.
+_TABLES: list[str] = []
+
+
+def tables() -> int:
+    """A mark: how many tables stand so far."""
+    return len(_TABLES)
+
+
+def discard(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Deletes the tables written after the mark ``since``, but for those that ``keep`` reads. Nothing else may need them any more."""
+    kept = {p for df in keep for p in _TABLES[since:] if any(f"/{p.rsplit('/', 1)[1]}/" in x for x in df.inputFiles())}
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in [p for p in _TABLES[since:] if p not in kept]:
+        where = fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _TABLES.remove(path)
+
+
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it again: cuts the lineage, survives lost executors.
 
@@ -52,7 +72,9 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get(CLEANUP, None) != "true":
         spark.conf.set(CLEANUP, "true")
-    path = path or f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        _TABLES.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -183,8 +205,8 @@ def tie_break(column: str, seed: int):
 
 def bound_arrow_batches(spark: SparkSession, megabytes: int = 8) -> None:
     """Before Python runs on executors: Arrow batches are cut by bytes, so that a few long texts in a batch can't exhaust
-    a worker, and workers find this package where the driver has it (where it isn't installed)."""
+    a worker, and workers get this package."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) != str(megabytes << 20):
         spark.conf.set(key, str(megabytes << 20))
-    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    ship(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import written
+from civicframe.llm.common import discard, tables, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,7 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     nodes = written(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct().withColumn("label", F.col("node")), "nodes")
+    spark, mark = links.sparkSession, tables() - 2
     while True:
+        discard(spark, mark, edges, nodes)  # what the rounds before left
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("least"))  # map-side combined: a hub is one row a task
         least = written(least.where("least < u"), "least")

@@ -303,3 +303,19 @@ def test_top_k_of_long_vectors(spark):
     want = [(i, k + 1, j, -s) for i in (50, 100) for k, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in q if j != i)[:5])]
     got = [tuple(x) for x in vector_topk.top_k(spark.createDataFrame(list(v.items()), "vec_id long, embedding array<double>"), block_rows=40).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_intermediate_tables_are_discarded(spark):
+    from pathlib import Path
+
+    from civicframe.llm import common, components
+
+    mark = common.tables()
+    links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    nodes = components.components(links)
+    left = common._TABLES[mark:]
+    assert len(left) <= 8 and nodes.where("label = 0").count() == 301
+    other = common.written(spark.range(3), "other")
+    common.discard(spark, mark, nodes)
+    assert nodes.count() == 301 and not any(Path(p).exists() for p in left if "/nodes-" not in p)
+    assert not Path(next(iter([p for p in [other.inputFiles()[0]]])).removeprefix("file://")).exists()
