@@ -14,7 +14,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,19 +89,19 @@ def counter_rows(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
     return chunks, [counts[k * CHUNK : (k + 1) * CHUNK].astype(np.uint32).tobytes() for k in chunks]
 
 
-def _add_counters(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
-    for pdf in pdfs:
-        for k, x in zip(pdf["chunk"], pdf["counts"], strict=True):
-            x = np.frombuffer(x, np.uint32).astype(np.int64)
+    for batch in batches:
+        for k, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = np.frombuffer(raw.as_py(), np.uint32).astype(np.int64)
             total[k] = total[k] + x if k in total else x
-    yield pd.DataFrame({"chunk": list(total), "counts": [x.tobytes() for x in total.values()]})
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["chunk", "counts"])
 
 
 def summed_counters(parts: DataFrame, width: int) -> np.ndarray:
     """The ``width`` counters over all tasks, of (chunk, counts); a table of fixed size, whatever the corpus."""
     out = np.zeros(width, np.int64)
-    for r in parts.repartition("chunk").mapInPandas(_add_counters, "chunk int, counts binary").collect():  # width / CHUNK rows
+    for r in parts.repartition("chunk").mapInArrow(_add_counters, "chunk int, counts binary").collect():  # width / CHUNK rows
         out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
     return out
 

@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -246,20 +245,26 @@ def spanning_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> tup
 
 
 def _cell(percent: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        a, b = spanning_links(pdf["id"].to_numpy(np.int64), [np.asarray(x, np.int64) for x in pdf["tokens"]], percent)
-        return pd.DataFrame({"a": a[a != b], "b": b[a != b]})
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("id")
+        ids, lists = table.column("id").to_numpy(), table.column("tokens").combine_chunks()
+        values, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+        a, b = spanning_links(ids, [values[i:j] for i, j in zip(at, at[1:], strict=False)], percent)
+        return pa.table({"a": pa.array(a[a != b], pa.int64()), "b": pa.array(b[a != b], pa.int64())})
 
     return run
 
 
-def _marked(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: dict[int, np.ndarray] = {}
-    for pdf in pdfs:
-        for k, bits in pdf.groupby("row")["bit"]:
-            rows.setdefault(k, np.zeros(MARKS_ROW, bool))[bits.to_numpy()] = True
-    yield pd.DataFrame({"row": list(rows), "bits": [np.packbits(x, bitorder="little").tobytes() for x in rows.values()]})
+    for batch in batches:
+        row, bit = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        order = np.argsort(row, kind="stable")
+        row, bit = row[order], bit[order]
+        at = np.flatnonzero(np.diff(row, prepend=-1))
+        for i, j in zip(at, [*at[1:], len(row)], strict=True):
+            rows.setdefault(int(row[i]), np.zeros(MARKS_ROW, bool))[bit[i:j]] = True
+    yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array([np.packbits(x, bitorder="little").tobytes() for x in rows.values()], pa.binary())], ["row", "bits"])
 
 
 def marks(tokens: DataFrame) -> np.ndarray:
@@ -267,7 +272,7 @@ def marks(tokens: DataFrame) -> np.ndarray:
     at = F.col("token").bitwiseAND(MARKS - 1)
     rows = tokens.select(F.shiftright(at, MARKS_ROW.bit_length() - 1).cast("int").alias("row"), at.bitwiseAND(MARKS_ROW - 1).cast("int").alias("bit"))
     out = np.zeros(MARKS // 8, np.uint8)
-    for r in rows.repartition("row").mapInPandas(_marked, "row int, bits binary").collect():  # MARKS / MARKS_ROW rows
+    for r in rows.repartition("row").mapInArrow(_marked, "row int, bits binary").collect():  # MARKS / MARKS_ROW rows
         out[r["row"] * MARKS_ROW // 8 : (r["row"] + 1) * MARKS_ROW // 8] = np.frombuffer(r["bits"], np.uint8)
     return out
 
@@ -289,7 +294,7 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int, block_tokens:
     def linked(dealt: DataFrame, name: str) -> DataFrame:
         """``dealt``: id, label, cells (the cells of its group that it is in)"""
         cells = sets.join(dealt, "id").select("label", F.explode("cells").alias("cell"), "id", "tokens")
-        return written(cells.groupBy("label", "cell").applyInPandas(_cell(percent), "a long, b long"), name)
+        return written(cells.groupBy("label", "cell").applyInArrow(_cell(percent), "a long, b long"), name)
 
     size = groups.groupBy("label").agg(blocks, F.max_by("id", F.struct("lists", -F.col("id"))).alias("central"))
     dealt = written(groups.join(size, "label").withColumn("mine", place("blocks")), "jaccard-blocks")
