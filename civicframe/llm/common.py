@@ -25,6 +25,8 @@ BROADCAST_ROWS = 500_000
 
 #: Setting: shuffle files are removed at the end of each query.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Environment of workers: arrays of 8 MB or more go back to the system as soon as they are freed.
+MALLOC = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": str(8 << 20), "MALLOC_MMAP_THRESHOLD_": str(8 << 20)}
 #: Counters of a row of a table of counters.
 CHUNK = 1 << 14
 
@@ -202,10 +204,13 @@ def tie_break(column: str, seed: int):
     return F.xxhash64(F.col(column), F.lit(seed))
 
 
-def bound_arrow_batches(spark: SparkSession, megabytes: int = 8) -> None:
+def bound_arrow_batches(spark: SparkSession, megabytes: int = 8, lean: bool = True) -> None:
     """Before Python runs on executors: Arrow batches are cut by bytes, so that a few long texts in a batch can't exhaust
-    a worker, and workers get this package."""
+    a worker, and workers get this package. ``lean``: workers give freed memory back, for some more CPU time; it holds
+    for the rest of the session."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) != str(megabytes << 20):
         spark.conf.set(key, str(megabytes << 20))
+    for name, value in MALLOC.items() if lean else ():
+        spark.sparkContext.environment.setdefault(name, value)
     ship(spark)

@@ -201,7 +201,7 @@ def _shards(path: str, window: int, shard_tokens: int):
 
 def pack(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD, path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    bound_arrow_batches(docs.sparkSession)
+    bound_arrow_batches(docs.sparkSession, lean=False)  # its workers hold little
     path = path or default_path()
     rows = written(with_id(docs, "text").mapInArrow(_tokenise(path, window), f"{PIECE}, sketch long, ids binary"), "tokens")
     whole = rows.where("ids is null").select(*NAMES)
