@@ -172,3 +172,22 @@ def test_windows_against_brute_force():
         got[name].append((doc, length))
     whole = [x for x in got.values() if sum(n for _, n in x) == window]
     assert whole == want[: len(whole)] and len(whole) >= len(want) - 1
+
+
+MARKS = [tokens.CUT_PROBE, "H\u0331. h\u0331 T\u0308x W\u030a J\u030c I\u0307 =\u0338a", "A<|ENDOFTEXT|>B. c", "it's.'s a.'T b'.c", "R2.D2 x_1 7%", "\u212bngstr\u00f6m. Caf\u00e9, \u00c9T\u00c9!", "\x00a.\x1cB", "\u0391\u03a3. \u0391\u03a3 A\u03a3"]
+
+
+def test_cut_texts_have_the_tokenizers_ids(plain):
+    """Cutting at signs and lower case changes no id, whatever stands beside them."""
+    tok = tokens.WordTokenizer(tokens.default_path())
+    assert tok.cut is tokens.cut_texts
+    signs = [chr(x) for x in range(1, 128)] + ["\u0331", "\u0308", "\u00e9", "\u4e2d", "\u00a0", "\u0130", "\u00b2"]
+    some = MARKS + [a + b + c + "Z" for a in "aH1" for b in signs for c in signs]
+    for t, raw in zip(some, tok.encode(some), strict=True):
+        assert np.frombuffer(raw, tok.dtype).tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_forms_of_a_word_are_one_part():
+    tok = tokens.WordTokenizer(tokens.default_path())
+    tok.encode(["Alpha alpha, ALPHA. (alpha) alpha/Alpha"])
+    assert set(tok.parts) == {"", "alpha", ",", ".", "(", ")", "/"}
