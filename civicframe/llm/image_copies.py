@@ -248,7 +248,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (token, id) -> pairs of lists up to SHORT (a, b), members of longer ones (token, id); a list of one gives nothing."""
+    """Sorted (token, id) -> pairs of lists up to SHORT (a, b), members of longer ones (token, id, the list's first id); a list of one gives nothing."""
     names = ["token", "a", "b"]
 
     def emit(token: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -256,6 +256,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
         at = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
         size = np.diff(np.append(at, len(token)))
+        first = np.repeat(ids[at], size)
         size = np.repeat(size, size)
         for gap in range(1, SHORT):
             i = np.flatnonzero((token[gap:] == token[:-gap]) & (size[gap:] <= SHORT))
@@ -263,7 +264,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(i), pa.int64()), pa.array(ids[i]), pa.array(ids[i + gap])], names)
         i = np.flatnonzero(size > SHORT)
         if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(token[i]), pa.array(ids[i]), pa.nulls(len(i), pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(token[i]), pa.array(ids[i]), pa.array(first[i])], names)
 
     open_: list[tuple[np.ndarray, np.ndarray]] = []  # the last token's rows, which may go on
     for batch in batches:
@@ -299,7 +300,7 @@ def copies(images: DataFrame) -> DataFrame:
     members = sets.where(F.col("n") >= AGREE).select("id", "places", "bits").mapInArrow(_parts, "token long, id long")
     lists = written(members.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_lists, "token long, a long, b long"), "image-lists")
     pairs = written(lists.where("token is null").select("a", "b").distinct(), "image-pairs")
-    long = written(lists.where("token is not null").select("token", F.col("a").alias("id")), "image-long")
+    long = written(lists.where("token is not null").select("token", F.col("a").alias("id"), F.col("b").alias("first")), "image-long")
 
     def verified(some: DataFrame) -> DataFrame:
         left = some.join(sets.select(F.col("id").alias("a"), F.col("places").alias("pa"), F.col("bits").alias("ba")), "a")

@@ -14,7 +14,9 @@ from civicframe.llm.components import components
 def link_members(short: DataFrame, long: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, label) of all linked nodes.
 
-    ``short``: candidate pairs (a, b). ``long``: members (token, id) of lists that are too long for pairs; in each round
+    ``short``: candidate pairs (a, b). ``long``: members (token, id, first: the list's smallest id) of lists that are too
+    long for pairs. Lists of one component end at once: a group's lists share most of their pairs (first, id), so labels
+    meet each such pair once, not every member of every list. In each round
     some members of a list, the pivots, are compared with all members that aren't yet in their components, and leave the
     list: one at first, the member of most lists, then four times as many each round, those of the smallest components
     first. A list ends when its members are one component. So no pair of a list is left out, and a group whose members
@@ -22,7 +24,11 @@ def link_members(short: DataFrame, long: DataFrame, verified: Callable[[DataFram
     """
     links = verified(short)
     labels = components(links)
-    long = long.withColumn("central", F.count("*").over(Window.partitionBy("id")))
+    named = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"{x}_label"))
+    joins = long.where("first <> id").select("first", "id").distinct().join(named("first"), "first", "left").join(named("id"), "id", "left")
+    split = written(joins.where(F.coalesce("first_label", "first") != F.coalesce("id_label", "id")).select("first", "id"), "split")
+    split = written(long.join(split, ["first", "id"], "left_semi").select("token").distinct(), "split")
+    long = long.join(split, "token", "left_semi").select("token", "id", F.count("*").over(Window.partitionBy("id")).alias("central"))
     done, pivots = short.select("a", "b"), 1
     while True:
         labelled = long.join(labels.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "central", F.coalesce("label", "id").alias("label"))

@@ -3,7 +3,7 @@ from itertools import combinations
 
 import numpy as np
 
-from civicframe.llm import image_copies
+from civicframe.llm import image_copies, linking
 
 
 def picture(seed, h=120, w=120):
@@ -167,3 +167,37 @@ def test_thumbnails_of_vectors(spark):
     df = spark.createDataFrame([(0, v[0]), (1, v[0]), (2, v[1]), (3, None), (4, [1.0]), (5, [float("nan")] * 64)], "vec_id long, embedding array<double>")
     got = {r["image_id"]: r["component_id"] for r in image_copies.copies(image_copies.thumbnails(df)).collect()}
     assert got[1] == got[0] == 0 and got[2] == 2 and got[3] == 3 and got[4] == 4 and got[5] == 5
+
+
+def joined_rows(spark, run):
+    """Rows that joins put out while ``run`` runs, by Spark's metrics."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before, total = store.executionsList().size(), 0
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    done = store.executionsList()
+    for k in range(before, done.size()):
+        name = done.apply(k).executionId()
+        values, nodes = store.executionMetrics(name), store.planGraph(name).allNodes()
+        for i in range(nodes.size()):
+            metrics = nodes.apply(i).metrics() if "Join" in nodes.apply(i).name() else None
+            for j in range(metrics.size() if metrics else 0):
+                if metrics.apply(j).name() == "number of output rows" and values.contains(metrics.apply(j).accumulatorId()):
+                    total += int(values.apply(metrics.apply(j).accumulatorId()).replace(",", ""))
+    return total
+
+
+def test_lists_of_one_component_are_not_joined_by_member(spark):
+    """30 linked copies share 200 long lists: joins take a few rows for each copy, not one for each member of each list."""
+    short = spark.createDataFrame([(i, i + 1) for i in range(29)], "a long, b long")
+    long = spark.createDataFrame([(t, i, 0) for t in range(200) for i in range(30)] + [(300, i, 40) for i in range(40, 48)], "token long, id long, first long")
+    asked, labels = [], []
+
+    def verified(pairs):
+        asked.extend((r["a"], r["b"]) for r in pairs.collect())
+        return pairs.where("a < 30 or b < 44")
+
+    rows = joined_rows(spark, lambda: labels.extend(linking.link_members(short, long, verified).collect()))
+    assert {r["node"]: r["label"] for r in labels} == {i: 0 for i in range(30)} | {i: 40 for i in range(40, 44)}
+    assert set(combinations(range(40, 48), 2)) <= {*asked, (40, 41)} | set(combinations(range(40, 44), 2))  # every pair of an open list, but within a component
+    assert 0 < rows < 3000
