@@ -6,7 +6,7 @@ share t tokens, then the first |set| - t + l tokens of each share at least l (th
 which the estimated cost is least: reading the posting lists of its prefix, and verifying the candidates, of which a
 longer prefix with l required matches leaves fewer.
 
-Posting lists are dealt by token. A short list gives its pairs, and pairs that share enough such tokens are verified: at
+Posting lists are dealt by token. A short list gives its pairs, by slices of all pairs, and pairs that share enough such tokens are verified: at
 least l, and more for sets of similar size, since beyond a prefix of p tokens a set can share |set| - p at most. A pair
 that shares a token with a long list is found there: members of long lists that share members form a group; its members
 are dealt into blocks of bounded size. First each block, with the member of most lists beside it, is compared in one
@@ -27,6 +27,7 @@ that repeat a doc_id with its text are one document with a row each; an empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from civicframe.llm.components import components
 
 #: Counters for document frequencies; longest posting list that gives pairs; most required matches.
 WIDTH, SHORT, MOST = 1 << 21, 8, 4
+#: Pairs of short lists that are on disk at once, at least (more if there are many classes: 8 for each).
+PAIRS = 1 << 22
 #: Bits of the marks of tokens with long lists, and of a row of them.
 MARKS, MARKS_ROW = 1 << 26, 1 << 17
 #: Tokens and members of a block, about, and columns of a matrix.
@@ -143,9 +146,35 @@ def _postings(words: int, percent: int, counts, common=None):
     return run
 
 
+def _fitting(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can link."""
+    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+
+
+def _pairs(percent: int, slices: int, this: int):
+    """Short lists -> their pairs that a hash of the two classes puts into a slice."""
+    names = ["a1", "a2", "an", "b1", "b2", "bn", "beyond"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(0).value_lengths().to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(len(size)), size)
+            c1, c2, n, beyond = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in range(4))
+            for gap in range(1, int(size.max(initial=1))):
+                i = np.flatnonzero(of[gap:] == of[:-gap])
+                i = i[_fitting(n[i], n[i + gap], percent)]
+                j = i + gap
+                mine = mix(c1[i].view(np.uint64) * np.uint64(3) + c1[j].view(np.uint64)) % np.uint64(slices) == this
+                i, j = i[mine], j[mine]
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c1[i], c2[i], n[i], c1[j], c2[j], n[j], np.maximum(beyond[i], beyond[j]))], names)
+
+    return run
+
+
 def _lists(percent: int, short: int):
-    """Sorted postings -> pairs of short lists (long = false) and members of long lists."""
-    names = ["long", "token", "a1", "a2", "an", "b1", "b2", "bn", "beyond"]
+    """Sorted postings -> short lists that have pairs of fitting sizes (a row each: their number, members), members of long lists (token, one member a row)."""
+    names = ["token", "pairs", "c1", "c2", "n", "beyond"]
 
     def emit(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         token, c1, c2, n, beyond = rows
@@ -158,17 +187,18 @@ def _lists(percent: int, short: int):
         new[1:] = token[1:] != token[:-1]
         at = np.flatnonzero(new)
         size = np.repeat(np.diff(np.append(at, len(token))), np.diff(np.append(at, len(token))))
+        pairs, paired = np.zeros(len(token), np.int64), np.zeros(len(token), bool)
         for gap in range(1, short):
             i = np.flatnonzero((token[gap:] == token[:-gap]) & (size[gap:] <= short))
-            j = i + gap
-            fine = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-            i, j = i[fine], j[fine]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), bool)), *(pa.array(x) for x in (token[i], c1[i], c2[i], n[i], c1[j], c2[j], n[j], np.maximum(beyond[i], beyond[j])))], names)
-        i = np.flatnonzero(size > short)
-        if len(i):
-            none = pa.nulls(len(i), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(i), bool)), *(pa.array(x) for x in (token[i], c1[i], c2[i], n[i])), none, none, none, none], names)
+            i = i[_fitting(n[i], n[i + gap], percent)]
+            pairs[i] += 1
+            paired[i] = paired[i + gap] = True
+        for some, long in ((np.flatnonzero(paired), False), (np.flatnonzero(size > short), True)):
+            if len(some):
+                begin = np.arange(len(some)) if long else np.flatnonzero(np.append(True, token[some[1:]] != token[some[:-1]]))
+                offsets = pa.array(np.append(begin, len(some)), pa.int32())
+                number = pa.nulls(len(begin), pa.int64()) if long else pa.array(np.add.reduceat(pairs[some], begin))
+                yield pa.RecordBatch.from_arrays([pa.array(token[some]) if long else pa.nulls(len(begin), pa.int64()), number, *(pa.ListArray.from_arrays(offsets, pa.array(x[some])) for x in (c1, c2, n, beyond))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -318,10 +348,11 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int, block_tokens:
     return within.unionByName(linked(asked.select("id", "label", F.array_union(as_one_of_all, as_rest).alias("cells")), "jaccard-links"))
 
 
-def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longest: int = SHORT, block_tokens: int = BLOCK, block_members: int = MEMBERS) -> DataFrame:
+def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longest: int = SHORT, block_tokens: int = BLOCK, block_members: int = MEMBERS, slice_pairs: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id it reaches over links with Jaccard >= percent / 100).
 
-    ``longest``: members of a posting list that gives its pairs; ``block_tokens``: tokens of a block of longer ones, about.
+    ``longest``: members of a posting list that gives its pairs; ``block_tokens``: tokens of a block of longer ones, about;
+    ``slice_pairs``: pairs of short lists that are on disk at once, about.
     """
     spark = docs.sparkSession
     bound_arrow_batches(spark)
@@ -335,13 +366,21 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
     common = spark.sparkContext.broadcast(marks(posted.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > longest).select("token")))
     lists = docs.mapInArrow(_postings(words, percent, counts, common), "token long, c1 long, c2 long, n long, beyond long")
     lists = lists.repartition("token").sortWithinPartitions("token", "c1", "c2")
-    lists = written(lists.mapInArrow(_lists(percent, longest), "long boolean, token long, a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long"), "jaccard-lists")
+    lists = written(lists.mapInArrow(_lists(percent, longest), "token long, pairs long, c1 array<long>, c2 array<long>, n array<long>, beyond array<long>"), "jaccard-lists")
     named = lambda p: classes.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("id").alias(p))
-    short = lists.where("not long").groupBy("a1", "a2", "b1", "b2").agg(F.count("*").alias("shared"), F.max("beyond").alias("beyond"), F.max(F.col("an") + F.col("bn")).alias("sizes"))
-    # a pair shares at most ``beyond`` tokens after its prefixes, so the rest of what it needs must be in them
-    short = short.where(F.col("shared") >= F.ceil(percent * F.col("sizes") / (100.0 + percent) - 1e-9) - F.col("beyond"))
-    short = written(short.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"]).select("a", "b"), "jaccard-candidates")
-    long = written(lists.where("long").join(named("a"), ["a1", "a2"]).select("token", F.col("a").alias("id"), F.col("an").alias("n")), "jaccard-long")
+    # pairs are made, counted and dropped a slice at a time, so the disk holds a number of them in proportion to the classes
+    number = lists.agg(F.sum("pairs")).first()[0] or 0
+    slices = max(1, -(-number // (slice_pairs or max(PAIRS, 8 * classes.count()))))
+    some, found = lists.where("token is null").select("c1", "c2", "n", "beyond"), []
+    for this in range(slices):
+        short = some.mapInArrow(_pairs(percent, slices, this), "a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long")
+        short = short.groupBy("a1", "a2", "b1", "b2").agg(F.count("*").alias("shared"), F.max("beyond").alias("beyond"), F.max(F.col("an") + F.col("bn")).alias("sizes"))
+        # a pair shares at most ``beyond`` tokens after its prefixes, so the rest of what it needs must be in them
+        short = short.where(F.col("shared") >= F.ceil(percent * F.col("sizes") / (100.0 + percent) - 1e-9) - F.col("beyond"))
+        found.append(written(short.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"]).select("a", "b"), "jaccard-candidates"))
+    short = reduce(DataFrame.unionByName, found)
+    member = lists.where("token is not null").select("token", F.col("c1")[0].alias("a1"), F.col("c2")[0].alias("a2"), F.col("n")[0].alias("n"))
+    long = written(member.join(named("a"), ["a1", "a2"]).select("token", F.col("a").alias("id"), "n"), "jaccard-long")
     wanted = short.select(F.col("a").alias("doc_id")).union(short.select("b")).union(long.select("id")).distinct()
     sets = written(docs.join(broadcast_if_small(written(wanted, "jaccard-wanted")), "doc_id", "left_semi").mapInArrow(_sets(words), "id long, tokens array<long>"), "jaccard-sets")
 

@@ -109,3 +109,13 @@ def test_components_of_a_chain(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.range(1000, 1005).select("id", F.lit(1010)))
     got = {r["node"]: r["label"] for r in components.components(links).collect()}
     assert all(got[i] == 0 for i in range(201)) and all(got[i] == 1000 for i in (*range(1000, 1005), 1010))
+
+
+def test_pairs_by_slices(spark, monkeypatch):
+    """No table or shuffle holds all pairs of the lists at once, and the slices together find the same links."""
+    texts, made = near_copies(4), []
+    pairs = jaccard_join._pairs
+    monkeypatch.setattr(jaccard_join, "_pairs", lambda percent, slices, this: made.append((slices, this)) or pairs(percent, slices, this))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    check(jaccard_join.similarity_classes(df, words=2, percent=80, slice_pairs=12), dict(enumerate(texts)), 2, 80)
+    assert made[0][0] > 2 and made == [(made[0][0], k) for k in range(made[0][0])]
