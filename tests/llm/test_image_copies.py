@@ -201,3 +201,31 @@ def test_lists_of_one_component_are_not_joined_by_member(spark):
     assert {r["node"]: r["label"] for r in labels} == {i: 0 for i in range(30)} | {i: 40 for i in range(40, 44)}
     assert set(combinations(range(40, 48), 2)) <= {*asked, (40, 41)} | set(combinations(range(40, 44), 2))  # every pair of an open list, but within a component
     assert 0 < rows < 3000
+
+
+def test_pairs_within_a_component_are_not_all_verified(spark):
+    """40 images, all candidates of each other: copies cost a few pairs and rows each, what doesn't link is asked whole."""
+    everyone = list(combinations(range(40), 2))
+    short = spark.createDataFrame(everyone, "a long, b long")
+    long = spark.createDataFrame([(t, i, 100 * t) for t in (1, 2) for i in range(100 * t, 100 * t + 9)], "token long, id long, first long")
+    links = {"copies": lambda a, b: True, "two groups, one by a late link": lambda a, b: a % 2 == b % 2 and (b < 39 or a == 37)}
+    for name, link in links.items():
+        asked, labels = [], []
+
+        def verified(pairs, link=link, asked=asked):
+            some = [(r["a"], r["b"]) for r in pairs.collect()]
+            asked.extend(some)
+            return spark.createDataFrame([(a, b) for a, b in some if b < 40 and link(a, b)], "a long, b long")
+
+        rows = joined_rows(spark, lambda verified=verified, labels=labels: labels.extend(linking.link_members(short, long, verified).collect()))
+        want = {i: {i} for i in range(40)}
+        for a, b in everyone:
+            if link(a, b):
+                for k in (both := want[a] | want[b]):
+                    want[k] = both
+        assert {r["node"]: r["label"] for r in labels} == {i: min(x) for i, x in want.items() if len(x) > 1}, name
+        assert len(asked) == len(set(asked)), name
+        assert {(a, b) for a, b in everyone if want[a] is not want[b]} <= set(asked), name  # every pair between components
+        assert {x for t in (100, 200) for x in combinations(range(t, t + 9), 2)} <= set(asked), name
+        if name == "copies":
+            assert len(asked) < 40 * 2 + 2 * 36 + 1 and 0 < rows < 4000, (len(asked), rows)
