@@ -140,14 +140,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Spans:
     """Hashes of any spans of a sequence of 64-bit symbols, from one running sum (equal spans, equal hashes)."""
 
-    def __init__(self, symbols: np.ndarray):
-        power, self.inverse = powers(len(symbols) + 1)
+    def __init__(self, symbols: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None):
+        """``known``: powers of at least as many places as there are symbols, and one."""
+        power, self.inverse = known or powers(len(symbols) + 1)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * power[:-1], out=self.sums[1:])
+        np.cumsum(symbols * power[: len(symbols)], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
 
+    def all(self, length: int) -> np.ndarray:
+        """Of all spans of a length, by their starts."""
+        x = self.sums[length:] - self.sums[:-length]
+        x *= self.inverse[: len(x)]
+        return mix(x)
+
 
 #: A random 64-bit value for each byte.
 BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))

@@ -24,13 +24,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import Spans, bound_arrow_batches, broadcast_if_small, counter_rows, mix, summed_counters, text_parts, with_id, written
+from civicframe.llm.common import Spans, bound_arrow_batches, broadcast_if_small, counter_rows, mix, powers, summed_counters, text_parts, with_id, written
 
 #: Symbols that are treated together (a longer text by itself, in segments), and neighbourhoods that a task gathers before it compares them.
 SEGMENT, HELD = 1 << 19, 1 << 20
@@ -85,30 +86,39 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - done)], x[width - done :]) if width > done else x
 
 
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(n)
+
+
 def _anchored(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Iterator[tuple]:
     """(segment's start, its spans, text, first window start, last one, anchor's place, anchor's hash) of all neighbourhoods, by segments; places count from the segment's start."""
     width = window - gram + 1
+    known = _powers(SEGMENT + window)
+    # by turns, where a text's windows begin and where no window begins any more
+    edges = np.append(np.stack([offsets[:-1], np.maximum(offsets[:-1], offsets[1:] - window + 1)], 1).ravel(), offsets[-1])
     for at in range(0, max(0, len(symbols) - window + 1), SEGMENT):
         part = symbols[at : at + SEGMENT + window - 1]
-        spans = Spans(part)
+        spans = Spans(part, known)
         n = len(part) - window + 1
-        ends = np.arange(gram, len(part) + 1)
-        h = spans(ends - gram, ends)
-        index = np.arange(len(h), dtype=np.uint64)
+        h = spans.all(gram)
         low = np.uint64((1 << 20) - 1)
-        best = (_sliding_min((h & ~low) | index, width) & low).astype(np.int64)
-        starts = np.arange(at, at + n)
-        text = np.searchsorted(offsets, starts, side="right") - 1
-        fine = starts + window <= offsets[text + 1]
+        best = _sliding_min((h & ~low) | np.arange(len(h), dtype=np.uint64), width)
+        inside = np.diff(np.clip(edges - at, 0, n))
+        fine = np.repeat(np.arange(len(inside)) % 2 == 0, inside)
         fresh = np.empty(n, bool)
         fresh[0] = True
-        fresh[1:] = (best[1:] != best[:-1]) | (text[1:] != text[:-1]) | ~fine[:-1]
+        fresh[1:] = (best[1:] != best[:-1]) | ~fine[:-1]
+        begins = offsets[(offsets > at) & (offsets < at + n)] - at
+        fresh[begins] = True
         first = np.flatnonzero(fresh & fine)
         if not len(first):
             continue
         broken = np.flatnonzero(fresh | ~fine)
         last = np.append(broken, n)[np.searchsorted(broken, first, side="right")] - 1
-        yield at, spans, text[first], first, last, best[first], h[best[first]]
+        text = np.searchsorted(offsets, first + at, side="right") - 1
+        place = (best[first] & low).astype(np.int64)
+        yield at, spans, text, first, last, place, h[place]
 
 
 def neighbourhoods(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int, step: int = 1, levels: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:

@@ -1,10 +1,11 @@
 """Suffix arrays by induced sorting, on NumPy arrays.
 
 Suffixes are classified as S (smaller than the next) or L; the leftmost S suffixes (LMS) are put in order by their
-substrings, which a first induction sorts and names; equal names are resolved on the reduced string, whose ranks are
-refined over doubled lengths; a second induction from the ordered LMS suffixes places all others. Both inductions go
-through the buckets once, in waves: all suffixes of a bucket that are known so far deal their predecessors at once, so
-the work is linear and each step is a few array operations (as many waves in a bucket as its longest run of one byte).
+substrings, which a first induction sorts and names; equal names are resolved on the reduced string, where suffixes that
+still have equals are sorted again, over doubled lengths; a second induction from the ordered LMS suffixes places all
+others. Both inductions go through the buckets once, in waves: all suffixes of a bucket that are known so far deal their
+predecessors at once, so the work is linear and each step is a few array operations (as many waves in a bucket as its
+longest run of one byte).
 """
 
 from __future__ import annotations
@@ -77,8 +78,14 @@ def _eights(text: np.ndarray, pad: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(whole, 8)[: len(text) + pad + 1].copy().view("<u8").ravel()
 
 
+def _firsts(new: np.ndarray) -> np.ndarray:
+    """For each place, the last one up to it where something new begins."""
+    at = np.flatnonzero(new)
+    return np.repeat(at, np.diff(np.append(at, len(new))))
+
+
 def _names(text: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> np.ndarray:
-    """Names of the LMS substrings by position in the text; equal substrings share one."""
+    """Ranks of the LMS substrings by place in the reduced string: how many come before the first of their equals."""
     end = np.append(lms[1:], len(text))
     length = np.zeros(len(text), np.int64)
     length[lms] = end - lms + 1
@@ -95,25 +102,37 @@ def _names(text: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> np.ndarra
         same[todo[x != 0]] = False
         todo = todo[(x == 0) & (k > 8)]
         at += 8
-    name = np.zeros(len(text), np.int64)
-    name[in_order] = np.concatenate(([0], np.cumsum(~same)))
+    name = length  # not needed any more
+    name[in_order] = _firsts(np.append(True, ~same))
     return name[lms]
 
 
-def _order(names: np.ndarray, lms: np.ndarray, depth: int | None) -> np.ndarray:
-    """Order of the suffixes of the reduced string: ranks of twice as many names from pairs of ranks, until all differ, or cover ``depth`` bytes."""
-    rank, k = names, 1
-    while True:
-        nxt = np.zeros_like(rank)
-        nxt[:-k] = rank[k:] + 1
-        key = rank * (int(rank.max()) + 2) + nxt
-        order = np.argsort(key, kind="stable")
-        step = key[order]
-        new = np.empty_like(rank)
-        new[order] = np.concatenate(([0], np.cumsum(step[1:] != step[:-1])))
-        rank, k = new, 2 * k
-        if k >= len(rank) or int(rank.max()) == len(rank) - 1 or depth is not None and int((lms[k:] - lms[:-k]).min()) >= depth:
-            return np.argsort(rank, kind="stable")
+def _order(rank: np.ndarray, order: np.ndarray, lms: np.ndarray, depth: int | None) -> np.ndarray:
+    """``order`` of the suffixes of the reduced string, refined from ranks of first names to all names, or to ``depth`` bytes.
+
+    Suffixes with equals are sorted by the ranks of what follows, over doubled lengths; the others stay where they are. No
+    suffix with equals reaches the last name, which has none.
+    """
+    places, k = np.arange(len(rank)), 1
+    tied = rank[order] != places
+    tied[:-1] |= tied[1:]
+    places = places[tied]
+    while len(places):
+        p = order[places]
+        if depth is not None:
+            short = lms[p + k] - lms[p] < depth
+            places, p = places[short], p[short]
+        key = rank[p] * len(rank) + rank[p + k]
+        by = np.argsort(key, kind="stable")
+        key, p = key[by], p[by]
+        new = np.ones(len(p), bool)
+        new[1:] = key[1:] != key[:-1]
+        order[places] = p
+        rank[p] = places[_firsts(new)]
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        places, k = places[tied], 2 * k
+    return order
 
 
 def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
@@ -127,27 +146,50 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
         is_lms = np.zeros(len(text), bool)
         is_lms[lms] = True
         in_order = sa[is_lms[sa]]
-        names = _names(text, lms, in_order)
-        lms = in_order if int(names.max()) == len(lms) - 1 else lms[_order(names, lms, depth)]
+        place = np.zeros(len(text), np.int64)
+        place[lms] = np.arange(len(lms))
+        lms = lms[_order(_names(text, lms, in_order), place[in_order], lms, depth)]
     return _induce(text, s_type, lms)
 
 
+def _common(eight: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefixes from the positions a and b on, by eight bytes at a time, until they reach ``cap``."""
+    out = np.zeros(len(a), np.int64)
+    todo, at = np.arange(len(a)), 0
+    while len(todo) and at < cap:
+        x = eight[a + at] ^ eight[b + at]
+        ends = x != 0
+        x = x[ends]
+        low = (x & (~x + np.uint64(1))).astype(np.float64)  # lowest differing bit, whose exponent says the byte
+        out[todo[ends]] = at + (((low.view(np.int64) >> 52) - 1023) >> 3)
+        todo, a, b = (y[~ends] for y in (todo, a, b))
+        at += 8
+    out[todo] = at
+    return out
+
+
 def permuted_lcp(text: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
-    """For each position, the common prefix with the suffix before it in ``sa``, at most ``cap`` bytes; 0 for the first."""
+    """For each position, the common prefix with the suffix before it in ``sa``, at most ``cap`` bytes; 0 for the first.
+
+    Along consecutive positions with the same distance to their suffix before, a prefix reaches to the next differing
+    byte; so only what follows the last of them is compared.
+    """
     n = len(text)
-    out = np.zeros(n, np.int64)
     if n < 2:
-        return out
-    before = np.full(n, -1)
+        return np.zeros(n, np.int64)
+    before = np.empty(n, np.int64)
     before[sa[1:]] = sa[:-1]
-    eight = _eights(text, cap + 8)
-    todo = np.flatnonzero(before >= 0)
-    at = 0
-    while len(todo) and at < cap:
-        x = eight[todo + at] ^ eight[before[todo] + at]
-        low = x & (~x + np.uint64(1))  # lowest differing bit
-        equal = np.where(x == 0, 8, (np.frexp(low.astype(np.float64))[1] - 1) // 8)
-        out[todo] += equal
-        todo = todo[x == 0]
-        at += 8
-    return np.minimum(np.minimum(out, cap), n - np.maximum(np.arange(n), before))
+    before[sa[0]] = sa[0]
+    differs = text != text[before]
+    differs[sa[0]] = True
+    stops = differs.copy()
+    stops[:-1] |= np.diff(before) != 1
+    stops[-1] = True
+    at = np.flatnonzero(stops)
+    end = at.copy()
+    going = np.flatnonzero(~differs[at])
+    p = at[going] + 1
+    end[going] = p + _common(_eights(text, cap + 8), p, before[p - 1] + 1, cap)
+    places = np.arange(n)
+    out = np.repeat(end, np.diff(at, prepend=-1)) - places
+    return np.minimum(np.minimum(out, cap), n - np.maximum(places, before))

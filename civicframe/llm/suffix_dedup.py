@@ -43,24 +43,34 @@ def shard_repeats(pieces: list[repeats.Piece], window: int) -> Iterator[repeats.
     sizes = np.array([len(p.raw) for p in pieces])
     begin = np.cumsum(sizes) - sizes
     n = np.array([p.n for p in pieces])
-    _, doc = np.unique(np.array([(p.doc, p.ver) for p in pieces], np.int64), axis=0, return_inverse=True)
+    ids, vers, lo = (np.array(x, np.int64) for x in zip(*((p.doc, p.ver, p.lo) for p in pieces), strict=True))
+    order = np.lexsort((vers, ids))
+    doc = np.zeros(len(pieces), np.int64)
+    doc[order[1:]] = np.cumsum((np.diff(ids[order]) != 0) | (np.diff(vers[order]) != 0))
     # when each window starts: its document, and its start there (below 2**40); -1 where no window of a piece starts
     when = np.full(len(text), -1)
     at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    when[at] = np.repeat((doc.ravel() << 40) + np.array([p.lo for p in pieces]) - begin, n) + at
+    when[at] = np.repeat((doc << 40) + lo - begin, n) + at
     sa = suffix_array(text, depth=window)
     fresh = permuted_lcp(text, sa, window)[sa] < window  # in order of suffixes, equal windows stand together
-    starts = when[sa] >= 0
-    run = np.cumsum(fresh)[starts]
-    sa = sa[starts]
+    start = when[sa]
+    here = start >= 0
+    run, sa, start = np.cumsum(fresh)[here], sa[here], start[here]
     new = np.flatnonzero(np.diff(run, prepend=-1))
-    earliest = np.minimum.reduceat(when[sa], new) if len(new) else run
-    again = np.zeros(len(text), bool)
-    again[sa] = when[sa] != np.repeat(earliest, np.diff(np.append(new, len(sa))))
-    for p, x in zip(pieces, begin.tolist(), strict=True):
-        flags = again[x : x + p.n]
-        if flags.any():
-            yield from repeats.flagged(p, flags)
+    earliest = np.minimum.reduceat(start, new) if len(new) else run
+    again = np.zeros(len(text) + 1, bool)
+    again[sa] = start != np.repeat(earliest, np.diff(np.append(new, len(sa))))
+    edge = np.zeros(len(text) + 1, bool)  # where a piece begins
+    edge[begin] = True
+    first = again.copy()
+    first[1:] &= ~again[:-1] | edge[1:]
+    last = again.copy()
+    last[:-1] &= ~again[1:] | edge[1:]
+    first, last = np.flatnonzero(first), np.flatnonzero(last)
+    of = np.searchsorted(begin, first, side="right") - 1
+    shift = lo[of] - begin[of]
+    for k, a, b in zip(of.tolist(), (first + shift).tolist(), (last + shift).tolist(), strict=True):
+        yield pieces[k], a, b
 
 
 def _resolver(window: int, most: int = SHARD) -> repeats.Resolver:

@@ -62,6 +62,41 @@ def test_suffix_array_sorts():
             assert plcp[b] == n
 
 
+def test_suffix_array_sorts_only_what_is_tied(monkeypatch):
+    """Also to a depth; the reduced string isn't sorted as a whole for each doubled length."""
+    r = random.Random(8)
+    passage = "".join(r.choices("abcdefgh", k=300))
+    text = "".join("".join(r.choices("abcdefgh", k=300)) + passage[r.randrange(200) :] for _ in range(60)).encode()
+    x = np.frombuffer(text, np.uint8)
+    assert suffix_array(x).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    wide, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **kwargs: (wide.append(len(a) if a.dtype.itemsize == 8 else 0), argsort(a, *args, **kwargs))[1])
+    sa = suffix_array(x, depth=100).tolist()
+    cut = [text[i : i + 100] for i in sa]
+    assert sorted(sa) == list(range(len(text))) and cut == sorted(cut)
+    assert sum(wide) < len(text)
+
+
+def test_shards_against_brute_force():
+    r = random.Random(9)
+    for window in (1, 2, 3, 5):
+        for _ in range(100):
+            raw = {(d, v): bytes(r.choices(b"ab", k=r.randrange(window, 30))) for d in range(3) for v in r.choice([(0,), (-4, 9)])}
+            pieces = []
+            for (d, v), t in raw.items():
+                lo = r.randrange(len(t) - window + 1)
+                n = r.randrange(1, len(t) - window + 2 - lo)
+                pieces.append(repeats.Piece(d, v, lo, n, t[lo : lo + n + window - 1]))
+            starts = sorted((p.doc, p.ver, p.lo + i, p.raw[i : i + window]) for p in pieces for i in range(p.n))
+            seen, want = set(), set()
+            for *at, w in starts:
+                if w in seen:
+                    want.add(tuple(at))
+                seen.add(w)
+            found = [(p.doc, p.ver, i) for p, a, b in suffix_dedup.shard_repeats(pieces, window) for i in range(a, b + 1)]
+            assert len(found) == len(set(found)) and set(found) == want
+
+
 def test_bytes_against_brute_force(docs, by_id):
     check_bytes(suffix_dedup.digest(docs).collect(), by_id, 100)
     check_bytes(suffix_dedup.dedup_substrings(docs, window=30, gram=8).collect(), by_id, 30)
@@ -177,3 +212,16 @@ def test_long_text_in_segments(monkeypatch):
     x = np.random.default_rng(1).integers(0, 2**63, 400).astype(np.uint64)
     starts = sorted(s for text, lo, hi, _, _ in repeats.neighbourhoods(x, np.array([0, 150, 160, 400]), 20, 5) for t, a, b in zip(text, lo, hi, strict=True) for s in range([0, 150, 160][t] + a, [0, 150, 160][t] + b + 1))
     assert starts == [*range(131), *range(160, 381)]
+
+
+def test_neighbourhoods_of_many_texts(monkeypatch):
+    """All windows once, none over a text's end, whatever the segments; short and empty texts have none."""
+    r = random.Random(10)
+    for segment in (7, 50, 10_000):
+        monkeypatch.setattr(repeats, "SEGMENT", segment)
+        for _ in range(20):
+            sizes = [r.choice([0, 0, 3, 19, 20, 21, 60, 200]) for _ in range(12)]
+            offsets = np.concatenate(([0], np.cumsum(sizes)))
+            x = np.array([r.randrange(3) for _ in range(offsets[-1])], np.uint64)
+            got = [(t, s) for text, lo, hi, _, _ in repeats.neighbourhoods(x, offsets, 20, 5) for t, a, b in zip(text.tolist(), lo.tolist(), hi.tolist(), strict=True) for s in range(a, b + 1)]
+            assert got == [(t, s) for t, n in enumerate(sizes) for s in range(n - 19)]
