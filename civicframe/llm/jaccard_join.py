@@ -8,9 +8,15 @@ longer prefix with l required matches leaves fewer.
 
 Posting lists are dealt by token. A short list gives its pairs, by slices of all pairs, and pairs that share enough such tokens are verified: at
 least l, and more for sets of similar size, since beyond a prefix of p tokens a set can share |set| - p at most. A pair
-that shares a token with a long list is found there: members of long lists that share members form a group; its members
-are dealt into blocks of bounded size. First each block, with the member of most lists beside it, is compared in one
-task, which counts all common tokens of its sets by products of 0/1 matrices and returns one link for each member at
+that shares a token with a long list is found among the members of long lists: each deals its set into more parts than
+two linked sets have differences, so that linked sets have a part in common as a whole. Members of equal parts are listed
+anew. Strangers that only share frequent tokens part there, so the lists of parts grow with copies, not with the corpus.
+
+Before their sets are read, pairs are held against their parities, a bit for each of about |set| classes of tokens: sets
+whose parities differ in more bits than linked sets have differences aren't linked.
+
+Members of long lists of parts that share members form a group; its members are dealt into blocks of bounded size. First
+each block, with the member of most lists beside it, is compared in one task, which counts all common tokens of its sets by products of 0/1 matrices and returns one link for each member at
 most; in a group of near copies that makes one component of nearly all. Then the members outside the group's largest
 component meet all its blocks: two members of one component need no comparison. So a group of near copies costs a few rows
 for each member, never a row for each pair, no task holds more than two blocks, and no pair is left out.
@@ -27,14 +33,15 @@ that repeat a doc_id with its text are one document with a row each; an empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, broadcast_if_small, counter_rows, mix, summed_counters, text_parts, with_id, words_of, written
+from civicframe.llm.common import BYTES, LOWER, Spans, bound_arrow_batches, broadcast_if_small, counter_rows, discard, mix, summed_counters, tables, text_parts, with_id, words_of, written
 from civicframe.llm.components import components
 
 #: Counters for document frequencies; longest posting list that gives pairs; most required matches.
@@ -45,6 +52,10 @@ PAIRS = 1 << 22
 MARKS, MARKS_ROW = 1 << 26, 1 << 17
 #: Tokens and members of a block, about, and columns of a matrix.
 BLOCK, MEMBERS, COLUMNS = 1 << 18, 500, 4096
+#: Most empty parts, as expected for the smallest sets of a level, that are told apart by a second dealing.
+CROSSED = 16
+#: Bits of a set's parities, at least and at most.
+LEAST_BITS, MOST_BITS = 1 << 6, 1 << 15
 #: Cost of verifying a candidate, in postings read.
 VERIFY = 20.0
 
@@ -75,6 +86,62 @@ def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
     return out[0], out[1]
 
 
+@cache
+def _levels(percent: int, bits: int) -> np.ndarray:
+    """Smallest sizes of the levels, over all sizes of so many bits. A set links only within its level and with the next ones."""
+    starts = [1]
+    while starts[-1] < 1 << bits:
+        starts.append(100 * starts[-1] // percent + 1)
+    return np.array([*starts, 100 * starts[-1] // percent + 1])
+
+
+def _differences(sizes: int | np.ndarray, percent: int) -> int | np.ndarray:
+    """Most tokens that two linked sets of these sizes together don't share."""
+    return (100 - percent) * sizes // (100 + percent)
+
+
+def _dealt(hashes: np.ndarray, parts: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each part of a set, and which parts are empty."""
+    h = mix(hashes + np.uint64(salt))
+    part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part)
+    at = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    sums = np.append(np.uint64(0), np.cumsum(mix(h[order]), dtype=np.uint64))
+    return mix(sums[at[1:]] - sums[at[:-1]] + mix(np.arange(1, parts + 1, dtype=np.uint64) + np.uint64(salt))), at[1:] == at[:-1]
+
+
+def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """64-bit keys of a set's parts: linked sets (that aren't equal) have one in common.
+
+    A pair meets in the larger one's level, so each set is dealt for its own level and for the next one, into one part more
+    than two sets of that level can have differences. An empty part says little, so it has a key with each part of a second
+    dealing, but for levels of so many parts that these keys would be more than CROSSED times the parts.
+    """
+    n, out = len(tokens), []
+    starts = _levels(percent, n.bit_length() + 1)
+    own = int(np.searchsorted(starts, n, side="right")) - 1
+    for level in (own, own + 1):
+        parts = int(_differences(2 * (100 * int(starts[level]) // percent), percent)) + 1
+        if parts == 1:  # only equal sets link
+            continue
+        keys, empty = _dealt(tokens, parts, 2 * level + 1)
+        if parts * np.exp(-float(starts[level - 1]) / parts) > CROSSED:  # of the level alone, so that both sets do the same
+            out.append(keys)
+            continue
+        out.append(keys[~empty])
+        if empty.any():
+            again, _ = _dealt(tokens, parts, 2 * level + 2)
+            out.append(mix(keys[empty][:, None] * np.uint64(3) + again[None, :]).ravel())
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def parities(tokens: np.ndarray) -> bytes:
+    """Whether each of a power of two of classes holds an odd number of a set's tokens."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(tokens) - 1).bit_length()))
+    place = (mix(tokens + np.uint64(1)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").tobytes()
+
+
 def _least(n: int, percent: int) -> int:
     """Tokens that a set of n shares with any set it links with."""
     return -(-percent * n // 100)
@@ -83,11 +150,12 @@ def _least(n: int, percent: int) -> int:
 def _summary(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(WIDTH, np.uint32)
-        names = ["doc", "n", "c1", "c2", "chunk", "counts"]
+        names = ["doc", "n", "c1", "c2", "parities", "chunk", "counts"]
         for batch in batches:
-            rows, held, size = [], [], 0
+            rows, bits, held, size = [], [], [], 0
             for _, tokens in shingle_sets(batch.column(1), words):
                 rows.append((len(tokens), *fingerprint(tokens)))
+                bits.append(parities(tokens) if len(tokens) else None)
                 held.append(tokens)
                 size += len(tokens)
                 if size > 1 << 20:
@@ -95,10 +163,10 @@ def _summary(words: int):
                     held, size = [], 0
             if held:
                 counts += np.bincount((np.concatenate(held) & np.uint64(WIDTH - 1)).astype(np.int64), minlength=WIDTH).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in rows], pa.int64()) for i in range(3)), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in rows], pa.int64()) for i in range(3)), pa.array(bits, pa.binary()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())], names)
         chunks, parts = counter_rows(counts)
         none = pa.nulls(len(chunks), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(chunks), pa.binary()), pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], names)
 
     return run
 
@@ -146,6 +214,48 @@ def _postings(words: int, percent: int, counts, common=None):
     return run
 
 
+def _signed(words: int, percent: int):
+    """Postings of the parts of sets. What a pair shares beyond a part isn't known, so it needs no more of them than one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for _, tokens in shingle_sets(batch.column(1), words):
+                c = fingerprint(tokens)
+                if not len(tokens) or c in seen:
+                    continue
+                seen.add(c)
+                keys = signatures(tokens, percent)
+                for x, y in zip(out, (keys.view(np.int64), c[0], c[1], len(tokens), len(tokens)), strict=True):
+                    x.append(y if isinstance(y, np.ndarray) else np.full(len(keys), y, np.int64))
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["token", "c1", "c2", "n", "beyond"])
+
+    return run
+
+
+def _near(percent: int):
+    """Pairs whose parities don't differ in more bits than linked sets have differences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(4), batch.column(5)
+            long = [np.array(c.to_numpy(zero_copy_only=False), object) for c in (x, y)]
+            wide = [pc.binary_length(c).to_numpy() for c in (x, y)]
+            most = _differences(batch.column(2).to_numpy() + batch.column(3).to_numpy(), percent)
+            keep = np.zeros(batch.num_rows, bool)
+            for a, b in {*zip(*(w.tolist() for w in wide), strict=True)}:
+                rows = np.flatnonzero((wide[0] == a) & (wide[1] == b))
+                least = min(a, b)
+                folded = [np.bitwise_xor.reduce(np.frombuffer(b"".join(c[rows]), np.uint8).reshape(len(rows), -1, least), axis=1) for c in long]
+                keep[rows] = np.bitwise_count(folded[0] ^ folded[1]).sum(1, dtype=np.int64) <= most[rows]
+            mask = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    return run
+
+
 def _fitting(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of these sizes can link."""
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
@@ -357,30 +467,41 @@ def similarity_classes(docs: DataFrame, words: int = 3, percent: int = 90, longe
     spark = docs.sparkSession
     bound_arrow_batches(spark)
     docs = with_id(docs, "text")
-    summary = written(docs.mapInArrow(_summary(words), "doc long, n long, c1 long, c2 long, chunk int, counts binary"), "jaccard-summary")
+    mark = tables()
+    summary = written(docs.mapInArrow(_summary(words), "doc long, n long, c1 long, c2 long, parities binary, chunk int, counts binary"), "jaccard-summary")
     rows = summary.where("doc is not null").select("doc", "n", "c1", "c2")
-    classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(F.min("doc").alias("id"), F.max("n").alias("n")), "jaccard-classes")
+    about = F.struct(F.col("doc").alias("id"), "n", "parities")  # of equal sets the smallest document counts
+    classes = written(summary.where("doc is not null and n > 0").groupBy("c1", "c2").agg(F.min(about).alias("of")).select("c1", "c2", "of.*"), "jaccard-classes")
     counts = spark.sparkContext.broadcast(summed_counters(summary.where("chunk is not null").select("chunk", "counts"), WIDTH))
     # tokens whose lists turn out long, though their counters don't tell, go to the end of the order; only costs depend on it
-    posted = docs.mapInArrow(_postings(words, percent, counts), "token long, c1 long, c2 long, n long, beyond long")
+    posting = "token long, c1 long, c2 long, n long, beyond long"
+    posted = docs.mapInArrow(_postings(words, percent, counts), posting)
     common = spark.sparkContext.broadcast(marks(posted.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > longest).select("token")))
-    lists = docs.mapInArrow(_postings(words, percent, counts, common), "token long, c1 long, c2 long, n long, beyond long")
-    lists = lists.repartition("token").sortWithinPartitions("token", "c1", "c2")
-    lists = written(lists.mapInArrow(_lists(percent, longest), "token long, pairs long, c1 array<long>, c2 array<long>, n array<long>, beyond array<long>"), "jaccard-lists")
-    named = lambda p: classes.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("id").alias(p))
+    named = lambda p: classes.select(F.col("c1").alias(f"{p}1"), F.col("c2").alias(f"{p}2"), F.col("id").alias(p), F.col("parities").alias(f"{p}_parities"))
+
+    def listed(postings: DataFrame) -> DataFrame:
+        sorted_ = postings.repartition("token").sortWithinPartitions("token", "c1", "c2")
+        return written(sorted_.mapInArrow(_lists(percent, longest), "token long, pairs long, c1 array<long>, c2 array<long>, n array<long>, beyond array<long>"), "jaccard-lists")
+
+    def members(lists: DataFrame) -> DataFrame:
+        return lists.where("token is not null").select("token", F.col("c1")[0].alias("a1"), F.col("c2")[0].alias("a2"), F.col("n")[0].alias("n"))
+
+    lists = listed(docs.mapInArrow(_postings(words, percent, counts, common), posting))
+    often = written(members(lists).select("a1", "a2").distinct().join(named("a"), ["a1", "a2"]).select(F.col("a").alias("doc_id")), "jaccard-often")
+    parts = listed(docs.join(broadcast_if_small(often), "doc_id", "left_semi").mapInArrow(_signed(words, percent), posting))
     # pairs are made, counted and dropped a slice at a time, so the disk holds a number of them in proportion to the classes
-    number = lists.agg(F.sum("pairs")).first()[0] or 0
-    slices = max(1, -(-number // (slice_pairs or max(PAIRS, 8 * classes.count()))))
-    some, found = lists.where("token is null").select("c1", "c2", "n", "beyond"), []
+    some, found = lists.unionByName(parts).where("token is null").select("pairs", "c1", "c2", "n", "beyond"), []
+    slices = max(1, -(-(some.agg(F.sum("pairs")).first()[0] or 0) // (slice_pairs or max(PAIRS, 8 * classes.count()))))
     for this in range(slices):
-        short = some.mapInArrow(_pairs(percent, slices, this), "a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long")
-        short = short.groupBy("a1", "a2", "b1", "b2").agg(F.count("*").alias("shared"), F.max("beyond").alias("beyond"), F.max(F.col("an") + F.col("bn")).alias("sizes"))
+        short = some.drop("pairs").mapInArrow(_pairs(percent, slices, this), "a1 long, a2 long, an long, b1 long, b2 long, bn long, beyond long")
+        short = short.groupBy("a1", "a2", "b1", "b2").agg(F.count("*").alias("shared"), F.max("beyond").alias("beyond"), F.max("an").alias("an"), F.max("bn").alias("bn"))
         # a pair shares at most ``beyond`` tokens after its prefixes, so the rest of what it needs must be in them
-        short = short.where(F.col("shared") >= F.ceil(percent * F.col("sizes") / (100.0 + percent) - 1e-9) - F.col("beyond"))
-        found.append(written(short.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"]).select("a", "b"), "jaccard-candidates"))
+        short = short.where(F.col("shared") >= F.ceil(percent * (F.col("an") + F.col("bn")) / (100.0 + percent) - 1e-9) - F.col("beyond"))
+        short = short.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"]).select("a", "b", "an", "bn", "a_parities", "b_parities")
+        found.append(written(short.mapInArrow(_near(percent), "a long, b long"), "jaccard-candidates"))
     short = reduce(DataFrame.unionByName, found)
-    member = lists.where("token is not null").select("token", F.col("c1")[0].alias("a1"), F.col("c2")[0].alias("a2"), F.col("n")[0].alias("n"))
-    long = written(member.join(named("a"), ["a1", "a2"]).select("token", F.col("a").alias("id"), "n"), "jaccard-long")
+    long = written(members(parts).join(named("a"), ["a1", "a2"]).select("token", F.col("a").alias("id"), "n"), "jaccard-long")
+    discard(spark, mark, summary, classes, long, *found)
     wanted = short.select(F.col("a").alias("doc_id")).union(short.select("b")).union(long.select("id")).distinct()
     sets = written(docs.join(broadcast_if_small(written(wanted, "jaccard-wanted")), "doc_id", "left_semi").mapInArrow(_sets(words), "id long, tokens array<long>"), "jaccard-sets")
 

@@ -119,3 +119,38 @@ def test_pairs_by_slices(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     check(jaccard_join.similarity_classes(df, words=2, percent=80, slice_pairs=12), dict(enumerate(texts)), 2, 80)
     assert made[0][0] > 2 and made == [(made[0][0], k) for k in range(made[0][0])]
+
+
+def test_strangers_with_frequent_tokens_meet_no_blocks(spark, monkeypatch):
+    """Texts that share long lists but don't link aren't dealt to blocks; copies among them are still found."""
+    r = random.Random(9)
+    texts = [" ".join(r.sample([f"w{i}" for i in range(300)], 150)) for _ in range(200)]
+    texts += [t + " again" for t in texts[::7]]
+    met, blocks = [], jaccard_join.block_links
+    monkeypatch.setattr(jaccard_join, "block_links", lambda members, *a, **k: met.append(members.select("id").distinct().count()) or blocks(members, *a, **k))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    check(jaccard_join.similarity_classes(df, words=1), dict(enumerate(texts)), 1)
+    assert met[0] < 20
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 95, 100])
+def test_linked_sets_share_a_part_and_their_parities_are_near(percent):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for n in [*range(1, 60), 300, 2000, 9000]:
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for way in range(3):  # tokens dropped, added, or both, as many as two linked sets can differ in
+            lost, new = (0, n * (100 - percent) // percent) if way == 0 else (n - -(-n * percent // 100), 0) if way == 1 else [n * (100 - percent) // (100 + percent)] * 2
+            b = np.unique(np.concatenate([rng.permutation(a)[lost:], rng.integers(0, 2**63, new).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if not len(b) or 100 * both < percent * (len(a) + len(b) - both) or np.array_equal(a, b):
+                continue
+            assert len(np.intersect1d(jaccard_join.signatures(a, percent), jaccard_join.signatures(b, percent)))
+            row = [[0], [1], [len(a)], [len(b)], [jaccard_join.parities(a)], [jaccard_join.parities(b)]]
+            batch = pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["a", "b", "an", "bn", "x", "y"])
+            assert next(jaccard_join._near(percent)(iter([batch]))).num_rows == 1
+            linked += 1
+    assert linked > 20 or percent == 100
