@@ -62,8 +62,7 @@ def prefix_join(mentions: DataFrame, gazetteer: DataFrame, value: Column) -> Dat
 def firewall(mentions: DataFrame, gazetteer: DataFrame, compat: bool = False) -> DataFrame:
     """Keeps mentions whose text is a street, or begins one. By default an address is looked up without its number, and
     plans and parcels pass; ``compat`` looks up everything as it stands."""
-    text = F.lower(_matched(F.col("value"), F.col("type"), compat))
-    m = mentions.withColumns({"short_": text, "five_": F.left(text, F.lit(5))})
+    m = mentions.withColumn("short_", F.lower(_matched(F.col("value"), F.col("type"), compat))).withColumn("five_", F.left("short_", F.lit(5)))
     names = small(gazetteer.select(F.lower("name").alias("name_")).withColumn("five_g", F.left("name_", F.lit(5))))
     known = names.where((F.col("five_g") == F.col("five_").outer()) & prefix_matches(F.col("short_").outer(), F.col("name_"))).exists()
     keep = known if compat else F.col("type").isin("bplan", "flurnummer") | known
