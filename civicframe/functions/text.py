@@ -45,7 +45,7 @@ def addresses(text: Column) -> Column:
 
 def _free_streets(text: Column, taken: Column) -> Column:
     first = F.transform(taken, lambda a: F.lower(F.split_part(a["street"], F.lit(" "), F.lit(1))))
-    return let(first, lambda words: F.filter(matches(text, X.STREET), lambda s: ~F.array_contains(words, F.lower(s))))
+    return let(first, lambda words: F.filter(matches(text, X.STREET_FAST), lambda s: ~F.array_contains(words, F.lower(s))))
 
 
 def streets(text: Column) -> Column:

@@ -59,14 +59,15 @@ def prefix_join(mentions: DataFrame, gazetteer: DataFrame, value: Column) -> Dat
     return left.join(right, (F.col("five_") == F.col("five_g")) & prefix_matches(F.col("short_"), F.col("name_")), "left_semi").drop("short_", "five_")
 
 
-def firewall(mentions: DataFrame, gazetteer: DataFrame, compat: bool = False) -> DataFrame:
+def firewall(mentions: DataFrame, gazetteer: DataFrame, compat: bool = False, look: str | None = None) -> DataFrame:
     """Keeps mentions whose text is a street, or begins one. By default an address is looked up without its number, and
-    plans and parcels pass; ``compat`` looks up everything as it stands."""
-    m = mentions.withColumn("short_", F.lower(_matched(F.col("value"), F.col("type"), compat))).withColumn("five_", F.left("short_", F.lit(5)))
+    plans and parcels pass; ``compat`` looks up everything as it stands. ``look``: name for the text that was looked up, if it stays."""
+    m = mentions.withColumn("short_", _matched(F.col("value"), F.col("type"), compat)).withColumn("five_", F.left("short_", F.lit(5)))
     names = small(gazetteer.select(F.lower("name").alias("name_")).withColumn("five_g", F.left("name_", F.lit(5))))
     known = names.where((F.col("five_g") == F.col("five_").outer()) & prefix_matches(F.col("short_").outer(), F.col("name_"))).exists()
     keep = known if compat else F.col("type").isin("bplan", "flurnummer") | known
-    return m.where(keep).drop("short_", "five_")
+    m = m.where(keep).drop("five_")
+    return m.withColumnRenamed("short_", look) if look else m.drop("short_")
 
 
 def cap(mentions: DataFrame, key: str, most: int = X.CAP) -> DataFrame:
@@ -84,13 +85,19 @@ def capped(locations: Column, most: int = X.CAP) -> Column:
     return F.when(F.size(locations) <= most, locations).otherwise(F.slice(firsts, 1, most))
 
 
-def with_coordinates(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Adds latitude, longitude and geo_precision from the gazetteer, by the street part of the text."""
+def with_coordinates(mentions: DataFrame, gazetteer: DataFrame, look: str | None = None) -> DataFrame:
+    """Adds latitude, longitude and geo_precision from the gazetteer, by the street part of the text, which column ``look`` may hold already."""
     g = small(gazetteer.select(F.lower("name").alias("name_"), F.col("lat").alias("latitude"), F.col("lon").alias("longitude")))
-    m = mentions.join(g, _matched(F.col("value"), F.col("type"), False) == F.col("name_"), "left").drop("name_")
+    text = F.col(look) if look else _matched(F.col("value"), F.col("type"), False)
+    m = mentions.join(g, text == F.col("name_"), "left").drop("name_", *[look] * bool(look))
     return m.withColumn("geo_precision", F.when(F.col("latitude").isNotNull(), F.when(F.col("type") == "address", "street").otherwise("exact")))
 
 
+def located(mentions: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """Mentions behind the firewall with coordinates; each is looked up by the same text in both."""
+    return with_coordinates(firewall(mentions, gazetteer, look="look_"), gazetteer, "look_")
+
+
 def geocode(mentions: DataFrame, cache: DataFrame, city: Column) -> DataFrame:
     """Adds what the cache (cache_key, latitude, longitude, display_name, geo_type) knows; what a mention has already stays."""
     m = mentions.withColumn("cache_key", T.cache_key(F.col("value"), F.col("type"), city))
@@ -155,7 +162,7 @@ def extract(papers: DataFrame, *keep: str, text: str = "full_text", compat: bool
 
 def enrich(papers: DataFrame, gazetteer: DataFrame, key: str = "key") -> DataFrame:
     """Papers with ``locations`` (array of structs, in order) and ``location_count``."""
-    m = with_coordinates(firewall(extract(papers, key), gazetteer), gazetteer)
+    m = located(extract(papers, key), gazetteer)
     loc = F.struct("pos", "type", "value", "context", "latitude", "longitude")
     nested = m.groupBy(key).agg(F.array_sort(F.collect_list(loc)).alias("locations")).withColumn("locations", capped(F.col("locations")))
     none = F.array().cast("array<struct<pos:int,type:string,value:string,context:string,latitude:double,longitude:double>>")

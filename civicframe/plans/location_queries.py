@@ -48,11 +48,9 @@ def _papers(spark, d):
     return V.papers(spark, d)
 
 
-def _located(spark, d):
-    """Mentions behind the firewall with coordinates."""
-    g = V.gazetteer(spark, d)
-    m = L.firewall(L.extract(_papers(spark, d), "key", "date"), g)
-    return L.with_coordinates(m, g)
+def _located(spark, d, *keep):
+    """Mentions behind the firewall with coordinates; ``keep``: further columns of their papers."""
+    return L.located(L.extract(_papers(spark, d), "key", "date", *keep), V.gazetteer(spark, d))
 
 
 def _joined(column):

@@ -79,3 +79,19 @@ def test_local_time_across_dst(spark):
 @pytest.mark.parametrize(("text", "good"), [("2024-01-15", True), ("2024-01-15T18:00:00Z", True), ("2024-01-15T18:00:00.5+01:00", True), ("15.01.2024", False), ("2024-02-30", False), ("x", False)])
 def test_iso_dates(spark, text, good):
     assert one(spark, D.is_iso(F.col("t")), t=text) is good
+
+
+def test_quick_patterns_find_the_same(spark):
+    """Odd runs of letters, addresses without a gap, folded letters, line ends: the same matches as the plain patterns."""
+    import random
+
+    r = random.Random(3)
+    bits = ["ß", "ẞ", "Ä", "x", "K", "ſtraße", "straße", "STRAẞE", "weg", "Weg 5b", " ", "\n", "-", "'", "7", "12 ", "Haupt", "str.", "str. 9", " ", "é", "gasse", "Programm", "A B"]
+    texts = ["Hauptstraße 5bHauptstraße 7", "ßAstraße 5", "Weg 3", "Abc\n", *("".join(r.choices(bits, k=r.randrange(1, 14))) for _ in range(3000))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = [F.regexp_extract_all("t", F.lit(X.FLAGS + p), F.lit(g)) == F.regexp_extract_all("t", F.lit(X.FLAGS + q), F.lit(g)) for p, q in ((X.ADDRESS, X.ADDRESS_FAST), (X.STREET, X.STREET_FAST)) for g in (0, 1)]
+    both += [T.passes_gate(F.col("t")) == F.trim("t").rlike("(?U)" + X.GATE)]
+    low = F.lower(F.trim("t"))
+    both += [T.not_blocked(F.col("t")) == (~low.isin(*X.BLOCKLIST) & ~F.split_part(low, F.lit(" "), F.lit(1)).isin(*X.BLOCKLIST))]
+    assert df.select(F.count_if(~F.forall(F.array(*both), lambda x: x)).alias("n")).first()["n"] == 0
+    assert df.select(F.count_if(F.size(F.regexp_extract_all("t", F.lit(X.FLAGS + X.ADDRESS_FAST), F.lit(0))) > 0)).first()[0] > 100
