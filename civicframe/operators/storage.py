@@ -82,15 +82,16 @@ def read_partition(spark: SparkSession, path: str, city: str, year: int | None =
     return p if year is None else p.where(F.col("year") == year)
 
 
-def locations_table(mentions: DataFrame, papers: DataFrame, key: str, city: str) -> DataFrame:
-    """The 14 columns of the flat table, from mentions (with ``key``) and their papers."""
-    p = papers.select(key, F.col("id").alias("paper_id"), F.col("name").alias("paper_name"), F.col("date").cast("string").alias("paper_date"), F.coalesce("pdf_url", F.lit("")).alias("pdf_url"))
-    have = set(mentions.columns)
+def locations_table(mentions: DataFrame, papers: DataFrame | None, key: str, city: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 14 columns of the flat table, from mentions (with ``key``) and their papers; without ``papers`` mentions have their
+    id, name, date and pdf_url beside them. ``keep``: further columns of mentions."""
+    about = (F.col("id").alias("paper_id"), F.col("name").alias("paper_name"), F.col("date").cast("string").alias("paper_date"), F.coalesce("pdf_url", F.lit("")).alias("pdf_url"))
+    have = set(mentions.columns) - (set() if papers is not None else {"id", "name", "date", "pdf_url"})
     text = lambda c: (F.col(c) if c in have else F.lit(None)).cast("string")
-    m = mentions.join(p, key)
+    m = mentions.select(*sorted(have), *about) if papers is None else mentions.join(papers.select(key, *about), key)
     return m.select(
         T.location_id(F.col("paper_id"), F.col("type"), F.col("value")).alias("location_id"), "paper_id", "paper_name", "paper_date", "pdf_url", F.col("type").alias("location_type"), F.col("value").alias("location_value"),
-        "latitude", "longitude", text("display_name").alias("display_name"), text("query").alias("query"), text("method").alias("method"), text("context").alias("context"), F.lit(city).alias("city"),
+        "latitude", "longitude", text("display_name").alias("display_name"), text("query").alias("query"), text("method").alias("method"), text("context").alias("context"), F.lit(city).alias("city"), *keep,
     )
 
 

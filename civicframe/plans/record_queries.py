@@ -45,8 +45,8 @@ def read_partition(spark, d):
 _TABLE = _GEO + ", lt as (select concat(p.id, '_', type, '_', replace(value, ' ', '_')) as location_id, p.id as paper_id, p.name as paper_name, cast(p.date as varchar) as paper_date, coalesce(p.pdf_url, '') as pdf_url, type as location_type, value as location_value, latitude, longitude, cast(null as varchar) as display_name, cast(null as varchar) as query, 'regex' as method, 'musterstadt' as city from geo g join papers p on p.key = g.key)"
 
 
-def _table(spark, d):
-    return S.locations_table(_located(spark, d).drop("date", "context").withColumn("method", F.lit("regex")), V.papers(spark, d), "key", "musterstadt")
+def _table(spark, d, *keep):
+    return S.locations_table(_located(spark, d, "id", "name", "pdf_url").drop("context").withColumn("method", F.lit("regex")), None, "key", "musterstadt", keep)
 
 
 @query(V.sql(_TABLE + " select * from lt", "papers", "gazetteer"))
