@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicframe.functions import fixed as X
@@ -104,16 +104,31 @@ def ntriples(spark: SparkSession, path: str) -> DataFrame:
 _OBJECT = r'^(?:<([^>]*)>|(_:\S+)|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*\.\s*(?:#.*)?$'
 
 
+_HEAD = r"^(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(.*)$"
+#: The same objects as _OBJECT, without steps back in a literal.
+_OBJECT_FAST = _OBJECT.replace(r'"((?:[^"\\]|\\.)*)"', r'"((?:[^"\\]++|\\.)*+)"')
+_CUT = "\x01"
+
+
+def _grouped(df: DataFrame, column: str, pattern: str, number: int, name: str) -> DataFrame:
+    """Adds array<string>: the groups of a pattern of whole texts, by one run of it; empty ones if there is no match."""
+    at = range(1, number + 1)
+    df = df.withColumn("cut_", F.regexp_replace(column, pattern + "(?s:.*)", _CUT + _CUT.join(f"${i}" for i in at)))
+    quick = F.when(F.col("cut_").startswith(F.lit(_CUT)), F.slice(F.split("cut_", _CUT), 2, number)).otherwise(F.array(*[F.lit("") for _ in at]))
+    one_by_one = F.array(*[F.regexp_extract(column, pattern, i) for i in at])
+    return df.withColumn(name, F.when(F.contains(F.col(column), F.lit(_CUT)), one_by_one).otherwise(quick)).drop("cut_")
+
+
 def parse_ntriples(lines: DataFrame, column: str) -> DataFrame:
     """s, p, o, kind (uri, blank, literal), datatype, lang of each line; comments and blank lines go."""
     line = F.trim(F.col(column))
-    t = lines.where(~line.startswith("#") & (line != "")).select(F.regexp_extract(line, r"^(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(.*)$", 0).alias("l"))
-    head = r"^(?:<([^>]*)>|(_:\S+))\s+<([^>]*)>\s+(.*)$"
-    part = lambda n: F.regexp_extract("l", head, n)
-    t = t.where("l <> ''").select(F.coalesce(F.nullif(part(1), F.lit("")), part(2)).alias("s"), part(3).alias("p"), part(4).alias("rest"))
-    got = lambda n: F.nullif(F.regexp_extract("rest", _OBJECT, n), F.lit(""))
+    t = lines.where(~line.startswith("#") & (line != "")).select(line.alias("l"))
+    t = _grouped(t.where(F.col("l").rlike(_HEAD)), "l", _HEAD, 4, "h")
+    t = t.select(F.coalesce(F.nullif(F.col("h")[0], F.lit("")), F.col("h")[1]).alias("s"), F.col("h")[2].alias("p"), F.col("h")[3].alias("rest"))
+    t = _grouped(t, "rest", _OBJECT_FAST, 5, "g")
+    got = lambda n: F.nullif(F.col("g")[n - 1], F.lit(""))
     kind = F.when(F.col("rest").startswith("<"), "uri").when(F.col("rest").startswith("_:"), "blank").otherwise("literal")
-    text = F.regexp_extract("rest", _OBJECT, 3)
+    text = F.col("g")[2]
     # single escapes; a doubled backslash is set aside first
     for a, b in (("\\\\", "\x00"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\x00", "\\")):
         text = F.replace(text, F.lit(a), F.lit(b))
