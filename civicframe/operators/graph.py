@@ -7,7 +7,7 @@ from functools import reduce
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,12 +19,16 @@ BASE = "https://records.example.org/"
 TRIPLE = ["s", "p", "o", "kind", "datatype", "lang"]
 
 
-def uri(s: Column, p: str, o: Column) -> tuple[str, Column]:
-    return p, _triple(s, p, o, "uri", None, None)
+#: A triple of a row: subject, object, kind, datatype, language.
+Parts = tuple[Column, Column, str, str | None, str | None]
 
 
-def literal(s: Column, p: str, o: Column, datatype: str | None = None, lang: str | None = None) -> tuple[str, Column]:
-    return p, _triple(s, p, o.cast("string"), "literal", datatype, lang)
+def uri(s: Column, p: str, o: Column) -> tuple[str, Parts]:
+    return p, (s, o, "uri", None, None)
+
+
+def literal(s: Column, p: str, o: Column, datatype: str | None = None, lang: str | None = None) -> tuple[str, Parts]:
+    return p, (s, o.cast("string"), "literal", datatype, lang)
 
 
 def _triple(s: Column, p: str, o: Column, kind: str, datatype: str | None, lang: str | None) -> Column:
@@ -33,16 +37,35 @@ def _triple(s: Column, p: str, o: Column, kind: str, datatype: str | None, lang:
     return F.when((s.isNotNull()) & o.isNotNull() & (o != ""), whole)
 
 
-def _exploded(df: DataFrame, triples: list[tuple[str, Column]], only: Collection[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The triples (of the wanted predicates) that have all parts, each once (a graph is a set); ``keep``: further columns."""
-    wanted = [t for p, t in triples if only is None or p in only]
+def _exploded(df: DataFrame, triples: list[tuple[str, Parts]], only: Collection[str] | None = None, keep: tuple[str, ...] = (), node: Column | None = None, within: tuple[str, ...] = ()) -> DataFrame:
+    """The triples (of the wanted predicates) that have all parts, each once (a graph is a set); ``keep``: further columns.
+
+    ``node``: only rows with the same one have triples in common, and these are in the same place of the list. Then rows, not
+    triples, are brought together, and a row leaves out what rows of its node before it had. ``within``: columns that the node
+    determines; a table that is dealt by one of them needn't be dealt anew.
+    """
+    wanted = [(p, *t) for p, t in triples if only is None or p in only]
     if not wanted:
         return df.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in TRIPLE))
-    return df.select(*keep, F.explode(F.filter(F.array(*wanted), lambda t: t.isNotNull())).alias("t")).select("t.*", *keep).dropDuplicates()
-
-
-def paper_triples(papers: DataFrame, only: Collection[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``only``: build just the triples of these predicates; columns that none of them needs aren't read."""
+    # all texts are made once, in a projection of their own; arrays that a lambda filters would be computed without compiled code
+    exploded = lambda rows, some: rows.select(*keep, F.explode(some).alias("t")).where("t is not null").select("t.*", *keep)
+    names = [f"end{i}_" for i in range(len(wanted))]
+    if node is None:
+        rows = df.select(*keep, *[F.struct(t[1].alias("s"), t[2].alias("o")).alias(n) for n, t in zip(names, wanted, strict=True)])
+        return exploded(rows, F.array(*[_triple(F.col(n)["s"], p, F.col(n)["o"], *rest) for n, (p, _, _, *rest) in zip(names, wanted, strict=True)])).dropDuplicates()
+    ends = [(t[1] if t[2] is node else t[2]).alias(n) for n, t in zip(names, wanted, strict=True)]  # what isn't the node
+    own = list(dict.fromkeys((*within, *keep)))
+    before = Window.partitionBy(*own, "node_").orderBy("node_").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.select(*own, node.alias("node_"), *ends).withColumn("before_", F.collect_list(F.struct(*names)).over(before))
+    cells = [_triple(F.col(n if o is node else "node_"), p, F.col("node_" if o is node else n), *rest) for n, (p, _, o, *rest) in zip(names, wanted, strict=True)]
+    had = lambda n: F.exists("before_", lambda r: r[n].eqNullSafe(F.col(n)))
+    fresh = [F.when(~had(n), t) for n, t in zip(names, cells, strict=True)]
+    return exploded(rows, F.when(F.size("before_") == 0, F.array(*cells)).otherwise(F.array(*fresh)))
+
+
+def paper_triples(papers: DataFrame, only: Collection[str] | None = None, keep: tuple[str, ...] = (), within: tuple[str, ...] = ()) -> DataFrame:
+    """``only``: build just the triples of these predicates; columns that none of them needs aren't read. ``within``: columns
+    that a paper's id determines."""
     s, c = F.col("id"), papers.columns
     stamp = lambda n: F.date_format(F.col(n).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
     out = [uri(s, X.RDF_TYPE, F.lit(X.OPARL + "Paper"))]
@@ -59,11 +82,12 @@ def paper_triples(papers: DataFrame, only: Collection[str] | None = None, keep:
     if "pdf_url" in c:
         out.append(uri(s, X.TERMS + "hasFormat", F.col("pdf_url")))
     out += [literal(s, X.TERMS + n, stamp(n), X.XSD + "dateTime") for n in ("created", "modified") if n in c]
-    return _exploded(papers, out, only, keep)
+    return _exploded(papers, out, only, keep, s, within)
 
 
-def location_triples(table: DataFrame, digits: int | None = None, only: Collection[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Of the locations table: relation, feature, label, type, point, coordinates, names, method, document."""
+def location_triples(table: DataFrame, digits: int | None = None, only: Collection[str] | None = None, keep: tuple[str, ...] = (), within: tuple[str, ...] = ()) -> DataFrame:
+    """Of the locations table: relation, feature, label, type, point, coordinates, names, method, document. ``within``: columns
+    that a place's node determines."""
     paper = F.col("paper_id")
     s = F.concat(F.lit(BASE + "location/"), T.graph_location_id(paper, F.col("location_type"), F.col("location_value")))
     number = (lambda c: F.col(c).cast("string")) if digits is None else (lambda c: F.format_string(f"%.{digits}f", F.col(c)))
@@ -77,7 +101,7 @@ def location_triples(table: DataFrame, digits: int | None = None, only: Collecti
         literal(s, X.GEO + "long", F.when(both, number("longitude")), X.XSD + "double"),
         literal(s, X.OPARL + "displayName", F.col("display_name")), literal(s, X.OPARL + "extractionMethod", F.col("method")),
         uri(s, X.OPARL + "sourceDocument", F.col("pdf_url")),
-    ], only, keep)
+    ], only, keep, s, within)
 
 
 def relation_triples(relations: DataFrame, digits: int | None = None) -> DataFrame:

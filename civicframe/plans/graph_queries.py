@@ -35,11 +35,11 @@ _PLACES = " union ".join([
 
 
 def _papers(spark, d, *only):
-    return G.paper_triples(V.papers(spark, d), only or None)
+    return G.paper_triples(V.papers(spark, d), only or None, within=("key",))
 
 
 def _places(spark, d, *only):
-    return G.location_triples(_table(spark, d), digits=3, only=only or None)
+    return G.location_triples(_table(spark, d, "key"), digits=3, only=only or None, within=("key",))
 
 
 def _all(spark, d, *only):

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from civicframe import pipeline
+from civicframe import pipeline, plans
 from civicframe.functions import fixed as X
 from civicframe.operators import graph as G
 from civicframe.operators import locations as L
@@ -371,3 +371,36 @@ def test_config(tmp_path):
     (tmp_path / "c.yaml").write_text("output: base\npapers: ${output}/in\nbatch_size: 7\n")
     c = pipeline.load_config(str(tmp_path / "c.yaml"))
     assert (c.papers, c.batch_size) == ("base/in", 7)
+
+
+def test_triples_meet_by_node(spark):
+    """Each triple once, also where values or papers share a node; rows are brought together, not triples."""
+    columns = "paper_id string, location_type string, location_value string, latitude double, longitude double, display_name string, method string, pdf_url string"
+    rows = [("p", "street", v, lat, 10.0, None, "regex", u) for v in ("A 1", "A_1", "A 1", "B/2", "B-2", "", None) for lat, u in ((48.0, "u"), (None, "u"), (48.0001, ""))]
+    rows += [("q r", "street", "C", 1.0, 2.0, "n", "m", "u"), ("q_r", "street", "C", 1.0, 2.0, "n", "m", "u")]
+    df = spark.createDataFrame(rows, columns)
+    t = G.location_triples(df, digits=3)
+    got = [tuple(r) for r in t.collect()]
+    assert len(got) == len(set(got))
+    alone = G.location_triples(df.withColumn("i", F.monotonically_increasing_id()), digits=3, keep=("i",)).drop("i").distinct()
+    assert set(got) == {tuple(r) for r in alone.collect()}
+    assert sum(r[1].endswith("relatesToLocation") and r[2].endswith("q_r_street_C") for r in got) == 2
+    assert "Aggregate" not in t._jdf.queryExecution().executedPlan().toString()
+
+
+def test_papers_are_built_once(spark):
+    plan = plans.QUERIES["locations_table"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_orderkey#") and plan.count("l_linenumber#") and sum("Relation" in line and "o_orderkey" in line for line in plan.splitlines()) == 1
+
+
+def test_ntriples_by_one_run(spark):
+    """Odd lines: the groups are those of the patterns one by one, and a long literal doesn't exhaust the stack."""
+    heads = ["<a> <b> ", "_:n <b> ", "<> <> ", "<a\x01> <b> ", "<a> b ", "  <a>\t<b>  "]
+    tails = ['"x" .', '"x\\"y\\n"@de .', '"x"^^<t> . # c', "<u> .", "_:m .", '"" .', '"x', '"a\x01b"@en .', "<> .", '"x"@de .\n', '"$1 \\\\ \\t" .', "z .", '"' + "\\\\n" * 20000 + '" .']
+    df = spark.createDataFrame([(h + o,) for h in heads for o in tails], "value string")
+    own = files._grouped(df, "value", files._HEAD, 4, "g").where(F.col("value").rlike(files._HEAD))
+    assert own.where(~(F.col("g") == F.array(*[F.regexp_extract("value", files._HEAD, i) for i in range(1, 5)]))).count() == 0
+    rest = spark.createDataFrame([(o,) for o in tails[:-1]], "rest string")
+    own = files._grouped(rest, "rest", files._OBJECT_FAST, 5, "g")
+    assert own.where(~(F.col("g") == F.array(*[F.regexp_extract("rest", files._OBJECT, i) for i in range(1, 6)]))).count() == 0
+    assert files.parse_ntriples(df, "value").where(F.length("o") == 40000).count() == 5
